@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import chat, sharding
+from . import chat, fixity, sharding
 
 QUERIES = {
     "op3_chat_prefix_targets": chat.query,
+    "op9_warc_fixity": fixity.query,
     "op10_feistel_shards": sharding.query,
 }
 
 ORACLES = {
     "op3_chat_prefix_targets": chat.ORACLE,
+    "op9_warc_fixity": fixity.ORACLE,
     "op10_feistel_shards": sharding.ORACLE,
 }
