@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, fixity, sharding
+from . import chat, fingerprint, fixity, sharding
 
 QUERIES = {
+    "op2_paragraph_sketches": fingerprint.query,
     "op3_chat_prefix_targets": chat.query,
     "op9_warc_fixity": fixity.query,
     "op10_feistel_shards": sharding.query,
