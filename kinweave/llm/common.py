@@ -66,3 +66,15 @@ def row_numbers(df: DataFrame, order: list[str], out: str = "row_number", name:
 def levels(n: int, fan_out: int) -> int:
     """Levels that a tree of this fan-out needs above n leaves, one at least."""
     return max(1, math.ceil(math.log(n, fan_out) - 1e-12)) if n > 1 else 1
+
+
+def pack(df: DataFrame, *wanted: str) -> DataFrame:
+    """The wanted columns and all columns of df as one struct `_row`, so that no extra column can clash with ours."""
+    return df.select(*wanted, F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+
+
+def unpack(df: DataFrame, packed: DataFrame, **new: Column) -> DataFrame:
+    """The columns of `packed` (as it was before pack()) with those in `new` put in; a column of such a name is replaced."""
+    taken = {name.lower() for name in new}
+    kept = [F.col("_row").getField(c).alias(c) for c in packed.columns if c.lower() not in taken]
+    return df.select(*kept, *[c.alias(name) for name, c in new.items()])

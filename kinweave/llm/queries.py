@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from . import chat, fingerprint, fixity, sharding
+from . import chat, decontaminate, fingerprint, fixity, sharding
 
 QUERIES = {
     "op2_paragraph_sketches": fingerprint.query,
     "op3_chat_prefix_targets": chat.query,
+    "op7_positional_index": decontaminate.query,
     "op9_warc_fixity": fixity.query,
     "op10_feistel_shards": sharding.query,
 }
 
 ORACLES = {
     "op3_chat_prefix_targets": chat.ORACLE,
+    "op7_positional_index": decontaminate.ORACLE,
     "op9_warc_fixity": fixity.ORACLE,
     "op10_feistel_shards": sharding.ORACLE,
 }
