@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprint, fixity, sharding
+from . import chat, decontaminate, fingerprint, fixity, neardup, sharding
 
 QUERIES = {
+    "op1_probminhash_groups": neardup.query,
     "op2_paragraph_sketches": fingerprint.query,
     "op3_chat_prefix_targets": chat.query,
     "op7_positional_index": decontaminate.query,
