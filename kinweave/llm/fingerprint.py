@@ -4,7 +4,7 @@ A text is cut at line ends and, inside a line, behind sentence ends into short p
 the k-th repeat of a paragraph one of its own. Every digest goes to three cells (one in each third of the sketch); a
 cell holds a count, the digests xored and their checks xored. Sketches of two versions subtract cell by cell, and
 peeling cells that hold a single digest recovers exactly the digests that only one version has. If peeling gets stuck
-the difference is larger than the sketch can tell, and both sketches are built again four times as large.
+the difference is larger than the sketch can tell, and both sketches are built again eight times as large.
 
 likeness = common / (common + digests of either alone), 1 for two texts without paragraphs.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import table
 
 #: Cells of the stored fingerprint, and how much larger each retry is. Cells come in thirds.
-CELLS, LARGER = 24, 4
+CELLS, LARGER = 24, 8
 _CELL = np.dtype([("count", "<i2"), ("key", "<u8"), ("check", "<u2")])
 _ENDS = re.compile(r"(?<=[.!?])[ \t]+|[\r\n]+")
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -53,25 +53,34 @@ def _mix(keys: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(29))
 
 
+_SHIFTS = np.array([[4], [24], [44]], dtype=np.uint64)
+
+
 def _places(mixed: np.ndarray, cells: int) -> np.ndarray:
-    """The three cells of each key: 3 x n."""
-    third = np.uint64(cells // 3)
-    parts = [(mixed >> np.uint64(s)) & np.uint64(0xFFFFF) for s in (4, 24, 44)]
-    return np.stack([(p * third >> np.uint64(20)).astype(np.int64) + k * (cells // 3) for k, p in enumerate(parts)])
+    """The three cells of each key, one in each third: all first ones, all second ones, all third ones."""
+    third = cells // 3
+    at = (((mixed >> _SHIFTS) & np.uint64(0xFFFFF)) * np.uint64(third) >> np.uint64(20)).astype(np.int64)
+    at += np.array([[0], [third], [2 * third]])
+    return at.ravel()
+
+
+def _thrice(x: np.ndarray) -> np.ndarray:
+    return np.concatenate((x, x, x))
 
 
 def _check(mixed: np.ndarray) -> np.ndarray:
     return ((mixed * _M1) >> np.uint64(48)).astype(np.uint16)
 
 
-def sketch(keys: np.ndarray, cells: int = CELLS) -> np.ndarray:
-    """The sketch of a set of digests."""
-    out, mixed = np.zeros(cells, dtype=_CELL), _mix(keys)
-    at, check = _places(mixed, cells), _check(mixed)
-    for row in at:
-        np.add.at(out["count"], row, 1)
-        np.bitwise_xor.at(out["key"], row, keys)
-        np.bitwise_xor.at(out["check"], row, check)
+def sketch(keys: np.ndarray, cells: int = CELLS, mixed: np.ndarray | None = None) -> np.ndarray:
+    """The sketch of a set of digests; mixed: their hashes, where they are known."""
+    mixed = _mix(keys) if mixed is None else mixed
+    out, at = np.zeros(cells, dtype=_CELL), _places(mixed, cells)
+    out["count"] = np.bincount(at, minlength=cells)
+    key, check = np.zeros(cells, dtype=np.uint64), np.zeros(cells, dtype=np.uint16)
+    np.bitwise_xor.at(key, at, _thrice(keys))
+    np.bitwise_xor.at(check, at, _thrice(_check(mixed)))
+    out["key"], out["check"] = key, check
     return out
 
 
@@ -83,23 +92,24 @@ def subtract(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def peel(diff: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
     """Digests of the first side alone and of the second side alone; None if the sketch holds too many."""
-    count, key, check = (diff[x].copy() for x in ("count", "key", "check"))
+    count, key, check = (np.ascontiguousarray(diff[x]) for x in ("count", "key", "check"))
     cells, ours, theirs = len(diff), [], []
     for _ in range(4 * cells):
-        single = np.flatnonzero(np.abs(count) == 1)
+        single = np.flatnonzero((count == 1) | (count == -1))
         mixed = _mix(key[single])
-        good = check[single] == _check(mixed)
-        single, mixed = single[good], mixed[good]
-        if not len(single):
+        checks = _check(mixed)
+        good = np.flatnonzero(check[single] == checks)
+        if not len(good):
             break
-        keys, first = np.unique(key[single], return_index=True)
-        sign, mixed = count[single][first], mixed[first]
+        keys, first = np.unique(key[single[good]], return_index=True)
+        good = good[first]
+        sign, mixed, checks = count[single[good]], mixed[good], checks[good]
         ours.append(keys[sign > 0])
         theirs.append(keys[sign < 0])
-        for row in _places(mixed, cells):
-            np.subtract.at(count, row, sign)
-            np.bitwise_xor.at(key, row, keys)
-            np.bitwise_xor.at(check, row, _check(mixed))
+        at = _places(mixed, cells)
+        np.subtract.at(count, at, _thrice(sign))
+        np.bitwise_xor.at(key, at, _thrice(keys))
+        np.bitwise_xor.at(check, at, _thrice(checks))
     if count.any() or key.any() or check.any():
         return None
     none = np.empty(0, dtype=np.uint64)
@@ -107,10 +117,14 @@ def peel(diff: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
 
 
 def difference(a: np.ndarray, b: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of a alone and of b alone, by sketches alone; sketches grow until they can be peeled."""
+    """Digests of a alone and of b alone, by sketches alone; sketches grow until they can be peeled.
+
+    Sizes that can't even hold what the sides' numbers of digests differ by are left out.
+    """
+    apart, mixed_a, mixed_b = abs(len(a) - len(b)), _mix(a), _mix(b)
     while True:
-        # a peel that ends with as many digests as the sides' sizes differ by is right but for a false check
-        found = peel(subtract(sketch(a, cells), sketch(b, cells)))
+        found = peel(subtract(sketch(a, cells, mixed_a), sketch(b, cells, mixed_b))) if cells >= apart else None
+        # as many digests as the sides' sizes differ by: all is right but for a false check
         if found is not None and len(found[0]) - len(found[1]) == len(a) - len(b):
             return found
         cells *= LARGER
