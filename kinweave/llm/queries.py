@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprint, fixity, language, linededup, neardup, sharding
+from . import chat, decontaminate, fingerprint, fixity, language, linededup, neardup, packing, sharding
 
 QUERIES = {
     "op1_probminhash_groups": neardup.query,
     "op2_paragraph_sketches": fingerprint.query,
     "op3_chat_prefix_targets": chat.query,
     "op4_mixture_em": language.query,
+    "op5_retrieval_packing": packing.query,
     "op6_deletion_neighbours": linededup.query,
     "op7_positional_index": decontaminate.query,
     "op9_warc_fixity": fixity.query,
