@@ -208,11 +208,12 @@ def _across(members: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of docs of which one of each group is kept: the one of least doc_id, then least hash of the text."""
-    found = near_duplicates(docs)
+    found = materialize(near_duplicates(docs), "classes")
     best = found.groupBy("class_id").agg(F.min(F.struct("doc_id", "tie")).alias("best")).select("best.*").withColumnRenamed("doc_id", "_id")
     packed = pack(docs, "doc_id", "text").withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
     kept = packed.join(best, (F.col("doc_id").eqNullSafe(F.col("_id"))) & (packed["tie"] == best["tie"]), "left_semi")
-    return unpack(kept.dropDuplicates(["doc_id", "tie"]), docs)
+    repeated = found.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return unpack(kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "tie"]), docs)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprint, fixity, language, linededup, neardup, packing, sharding
+from . import chat, decontaminate, fingerprint, fixity, language, linededup, lmscore, neardup, packing, sharding
 
 QUERIES = {
     "op1_probminhash_groups": neardup.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_retrieval_packing": packing.query,
     "op6_deletion_neighbours": linededup.query,
     "op7_positional_index": decontaminate.query,
+    "op8_backoff_automaton": lmscore.query,
     "op9_warc_fixity": fixity.query,
     "op10_feistel_shards": sharding.query,
 }
