@@ -32,6 +32,8 @@ from .shingles import blocks, mix, shingle_counts
 
 #: A pair of similarity 0.8 shares no band of 24 with a chance of 7e-5; one of similarity 0.3 shares one in 6 %.
 BANDS, ROWS, SIMILARITY, WIDTH = 24, 5, 0.8, 5
+#: Shingles whose frequency orders the prefixes; see _prefixes().
+FREQUENT = 200_000
 _U = np.uint64
 
 
@@ -181,7 +183,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if leader:
             pairs = _stars(at, leader)
         else:
-            pairs = _across(at)
+            pairs = _across(at, texts)
         fresh = _verified(pairs if edges is None else pairs.join(tried, ["a", "b"], "left_anti"), texts, "links")
         tried = materialize(pairs if edges is None else tried.unionByName(pairs), "tried") if leader else None
         edges = fresh if edges is None else edges.unionByName(fresh)
@@ -194,15 +196,61 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return own.join(groups, "label").select("doc_id", "tie", "class_id", "class_size")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """All pairs (a, b) of members of one band that are in different components.
+def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, block in blocks(batch.column("text").to_pylist()):
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_counts(block, WIDTH)[1].view(np.int64))], names=["h"])
+
 
-    What is left in a band after the stars: the pairs that no comparison so far has decided.
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """node, h: the first shingles of each text, in an order common to all texts, that hold over 1 - SIMILARITY of its weight.
+
+    A term of the probability Jaccard similarity is at most the shingle's share of either text, so common shingles of a
+    verified pair hold at least SIMILARITY of the weight of both, and the first common one is in both prefixes. Any order
+    will do; this one puts frequent shingles (of the FREQUENT most frequent ones) last, so that passages which many
+    texts share bring none of them together.
+    """
+    counts = texts.mapInArrow(_hashes, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n >= 8")
+    often = counts.orderBy(F.desc("n"), "h").limit(FREQUENT).toArrow()
+    keys = np.sort(often.column("h").to_numpy())
+    ranks = often.column("n").to_numpy()[np.argsort(often.column("h").to_numpy(), kind="stable")]
+    shared = texts.sparkSession.sparkContext.broadcast((keys, ranks))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ranks = shared.value
+        for batch in batches:
+            nodes = batch.column("node")
+            for begin, block in blocks(batch.column("text").to_pylist()):
+                doc, h, n = shingle_counts(block, WIDTH)
+                h = h.view(np.int64)
+                rank = np.zeros(len(h), dtype=np.int64)
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+                    rank[keys[at] == h] = ranks[at[keys[at] == h]]
+                order = np.lexsort((h, rank, doc))
+                doc, h, n = doc[order], h[order], n[order].astype(np.float64)
+                total = np.bincount(doc, weights=n, minlength=len(block))
+                before = np.cumsum(n) - n
+                before -= before[np.searchsorted(doc, doc)]
+                keep = before <= (1 - SIMILARITY + 1e-9) * total[doc]
+                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(begin + doc[keep])), pa.array(h[keep])], names=["node", "h"])
+
+    return texts.mapInArrow(first, "node binary, h long")
+
+
+def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components that can be alike, among the members of bands with several components.
+
+    This decides exactly what the stars left open, by prefix filtering in place of all pairs of a band.
     """
     open_ = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("band")
-    left = members.join(open_, "band")
-    right = left.select("band", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    pairs = left.select("band", F.col("node").alias("a"), "label").join(right, "band")
+    left = members.join(open_, "band").groupBy("node").agg(F.first("label").alias("label"))
+    left = materialize(left, "open-nodes")
+    first = materialize(_prefixes(texts.join(left, "node", "left_semi")).join(left, "node"), "prefixes")
+    several = first.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("h")
+    one = first.join(several, "h")
+    two = one.select("h", F.col("node").alias("b"), F.col("label").alias("label_b"))
+    pairs = one.select("h", F.col("node").alias("a"), "label").join(two, "h")
     return pairs.filter("label <> label_b AND a < b").select("a", "b").distinct()
 
 
