@@ -1,7 +1,8 @@
 """Line de-duplication by a deletion-neighbourhood join.
 
-Lines are compared as sequences of lower-cased words; the edit distance is Levenshtein's over words, and the bound is
-one. A line goes if an equal line, or one within the bound, comes earlier; the earliest stays. Earlier means by doc_id
+Lines are equal if their lower-cased texts are, but for blanks at their ends; near lines are compared as sequences of
+words, where the edit distance is Levenshtein's over words and the bound is one. A line goes if an equal line, or one
+within the bound, comes earlier; the earliest stays. Earlier means by doc_id
 (null first), then by a hash of the text, then by line number, over the whole table. Lines of fewer than MIN_WORDS words
 go only if an equal line comes earlier, as one word is too much of them. Blank lines always stay.
 
@@ -29,15 +30,23 @@ BROADCAST_ROWS = 300_000
 _MASK = (1 << 40) - 1
 
 
-def line_words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"\s+"), lambda w: w != "")
+_BLANKS = " \t\r\x0b\x0c"
+
+
+def line_key(line: Column) -> Column:
+    """What makes lines equal: their lower-cased text without blanks at either end."""
+    return F.lower(F.trim(line, F.lit(_BLANKS)))
+
+
+def line_words(key: Column) -> Column:
+    return F.split(key, r"\s+")
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """doc_id, tie, line_no, words, k1, k2 (128-bit key of the words), without blank lines."""
+    """doc_id, tie, line_no, key, k1, k2 (128-bit hash of the key), without blank lines."""
     each = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    rows = each.select("doc_id", "tie", "line_no", line_words(F.col("line")).alias("words")).filter(F.size("words") > 0)
-    return rows.withColumns({"k1": F.xxhash64("words"), "k2": F.xxhash64(F.lit(7), "words")})
+    rows = each.select("doc_id", "tie", "line_no", line_key(F.col("line")).alias("key")).filter("key <> ''")
+    return rows.withColumns({"k1": F.xxhash64("key"), "k2": F.xxhash64(F.lit(7), "key")})
 
 
 def _halves(words: Column) -> Column:
@@ -144,7 +153,7 @@ def _later_neighbours(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     joined = texts.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
     split = joined.withColumn("lines", F.split("text", "\n")).select("lines", F.explode("here").alias("x"))
     order = F.struct("x.first.doc_id", "x.first.tie", "x.first.line_no", "x.k1", "x.k2")
-    own = split.select(order.alias("o"), "x.kinds", line_words(F.get("lines", F.col("x.line_no"))).alias("words")).dropDuplicates(["o"])
+    own = split.select(order.alias("o"), "x.kinds", line_words(line_key(F.get("lines", F.col("x.line_no")))).alias("words")).dropDuplicates(["o"])
     own = materialize(own, "open-words")
     variants = _variants(own)
     earliest = variants.groupBy("v1", "v2").agg(
@@ -164,9 +173,11 @@ def _later_neighbours(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 def removals(docs: DataFrame) -> DataFrame:
     """doc_id, tie and the numbers (from 0) of the lines that go."""
     each = lines(docs)
+    # explode() makes the words a column that is worked out once
+    worded = each.withColumn("words", F.explode(F.array(line_words(F.col("key")))))
     halves = F.when(F.size("words") >= MIN_WORDS, _halves(F.col("words")))
     place = F.struct("doc_id", "tie", "line_no")
-    distinct = each.select("k1", "k2", place.alias("place"), halves.alias("halves")).groupBy("k1", "k2").agg(
+    distinct = worded.select("k1", "k2", place.alias("place"), halves.alias("halves")).groupBy("k1", "k2").agg(
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves")
     )
     distinct = materialize(distinct, "distinct-lines")
@@ -197,27 +208,27 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = f"""
 WITH each AS (
-  SELECT doc_id, i - 1 AS line_no, line, list_filter(string_split_regex(lower(line), '\\s+'), lambda w: w <> '') AS ws
+  SELECT doc_id, i - 1 AS line_no, line, lower(trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12))) AS k
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)
 ), firsts AS (
-  SELECT ws, min((doc_id, line_no)) AS p FROM each WHERE len(ws) > 0 GROUP BY ws
+  SELECT k, string_split_regex(k, '\\s+') AS ws, min((doc_id, line_no)) AS p FROM each WHERE k <> '' GROUP BY k
 ), longish AS (
-  SELECT row_number() OVER () AS r, ws, p, len(ws) AS n FROM firsts WHERE len(ws) >= {MIN_WORDS}
+  SELECT row_number() OVER () AS r, k, ws, p, len(ws) AS n FROM firsts WHERE len(ws) >= {MIN_WORDS}
 ), halves AS (
   SELECT r, m, 0 AS side, list_slice(ws, 1, m // 2) AS h FROM (SELECT *, unnest([n, n + 1]) AS m FROM longish)
   UNION ALL SELECT r, m, 1, list_slice(ws, n - (m - m // 2) + 1, n) FROM (SELECT *, unnest([n, n + 1]) AS m FROM longish)
 ), pairs AS (
   SELECT DISTINCT a.r AS x, b.r AS y FROM halves a JOIN halves b ON a.m = b.m AND a.side = b.side AND a.h = b.h AND a.r <> b.r
 ), near AS (
-  SELECT DISTINCT x.ws FROM pairs JOIN longish x ON x.r = pairs.x JOIN longish y ON y.r = pairs.y
+  SELECT DISTINCT x.k FROM pairs JOIN longish x ON x.r = pairs.x JOIN longish y ON y.r = pairs.y
   WHERE y.p < x.p AND CASE
     WHEN x.n = y.n THEN len(list_filter(range(1, x.n + 1), lambda i: x.ws[i] <> y.ws[i])) <= 1
     WHEN x.n = y.n + 1 THEN len(list_filter(range(1, x.n + 1), lambda i: list_slice(x.ws, 1, i - 1) = list_slice(y.ws, 1, i - 1) AND list_slice(x.ws, i + 1, x.n) = list_slice(y.ws, i, y.n))) > 0
     WHEN y.n = x.n + 1 THEN len(list_filter(range(1, y.n + 1), lambda i: list_slice(y.ws, 1, i - 1) = list_slice(x.ws, 1, i - 1) AND list_slice(y.ws, i + 1, y.n) = list_slice(x.ws, i, x.n))) > 0
     ELSE FALSE END
 ), judged AS (
-  SELECT doc_id, line_no, line, len(each.ws) > 0 AND (near.ws IS NOT NULL OR (doc_id, line_no) <> p) AS gone
-  FROM each LEFT JOIN firsts ON firsts.ws = each.ws LEFT JOIN near ON near.ws = each.ws
+  SELECT doc_id, line_no, line, each.k <> '' AND (near.k IS NOT NULL OR (doc_id, line_no) <> p) AS gone
+  FROM each LEFT JOIN firsts ON firsts.k = each.k LEFT JOIN near ON near.k = each.k
 ), texts AS (
   SELECT doc_id, count(*)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS removed, coalesce(string_agg(CASE WHEN NOT gone THEN line END, chr(10) ORDER BY line_no), '') AS kept
   FROM judged GROUP BY doc_id
