@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+from itertools import groupby
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -117,17 +120,32 @@ def place_gapped(seqs: list[str], weights: list[float], match: float = 2.0, mism
 def laid_out(members: DataFrame, model: str) -> DataFrame:
     """clusterId, chain, seq, weight, row: members placed by `ungapped` or `gapped`, in the order of rn.
 
-    Groups are bounded by the cap, so one family and chain is at most MAX_MEMBERS short sequences.
+    Groups are bounded by the cap, so one family and chain is at most MAX_MEMBERS short sequences. Partitions are read
+    sorted, group after group, which costs much less than a call for each of many small groups.
     """
     place = place_ungapped if model == "ungapped" else place_gapped
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rn")
-        seqs, weights = pdf["seq"].tolist(), pdf["weight"].tolist()
-        equal = len(set(map(len, seqs))) == 1
-        return pdf.assign(row=seqs if equal and model == "ungapped" else place(seqs, weights))[["clusterId", "chain", "seq", "weight", "row"]]
-
-    return members.groupBy("clusterId", "chain").applyInPandas(one, _ROWS)
+    names = ["clusterId", "chain", "seq", "weight"]
+
+    def group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in zip(*(b.column(c).to_pylist() for c in names), strict=True))
+        out: list[tuple] = []
+        for _, group in groupby(rows, key=lambda r: r[:2]):
+            held = list(group)
+            seqs, weights = [r[2] for r in held], [r[3] for r in held]
+            equal = model == "ungapped" and len(set(map(len, seqs))) == 1
+            out += [(*r, row) for r, row in zip(held, seqs if equal else place(seqs, weights), strict=True)]
+            if len(out) >= 10_000:
+                yield _batch(out)
+                out = []
+        if out:
+            yield _batch(out)
+
+    dealt = members.repartition("clusterId", "chain").sortWithinPartitions("clusterId", "chain", "rn")
+    return dealt.select(*names).mapInArrow(group_rows, _ROWS)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["clusterId", "chain", "seq", "weight", "row"])
 
 
 def cells(members: DataFrame, model: str) -> DataFrame:

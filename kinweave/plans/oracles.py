@@ -122,7 +122,8 @@ def _spread(source: str, name: str, prefix: str) -> str:
 
 _RADIUS = f"(1.0::DOUBLE - {IDENTITY}::DOUBLE)"
 #: Pairs by brute force: only words long enough for an edit within the radius.
-_PAIRS = f"""{_seqs(1)}, long AS (SELECT clonotypeKey AS key, sequence_0 AS seq, length(sequence_0) AS l FROM seqs WHERE 1.0::DOUBLE / length(sequence_0)::DOUBLE <= {_RADIUS})
+_WORDS = f"""{_seqs(1)}, clean AS (SELECT min(clonotypeKey) AS key, regexp_replace(sequence_0, '[^A-Za-z]', 'X', 'g') AS seq, length(sequence_0) AS l FROM seqs GROUP BY 2, 3)"""
+_PAIRS = f"""{_WORDS}, long AS (SELECT key, seq, l FROM clean WHERE 1.0::DOUBLE / (l + 1)::DOUBLE <= {_RADIUS})
 , pairs AS (
   SELECT a.key AS a, b.key AS b, levenshtein(a.seq, b.seq)::BIGINT AS distance, a.l AS la, b.l AS lb FROM long a JOIN long b ON a.key < b.key AND abs(a.l - b.l) <= {_RADIUS} * greatest(a.l, b.l)
   WHERE levenshtein(a.seq, b.seq)::DOUBLE / greatest(a.l, b.l)::DOUBLE <= {_RADIUS})
@@ -192,11 +193,11 @@ ORACLES = {
     "levenshtein_pairs": f"WITH {_PAIRS} SELECT a, b, distance FROM pairs",
     "connected_components": f"""WITH RECURSIVE {_PAIRS}, reach AS (
   SELECT a AS node, a AS seen FROM ways UNION SELECT reach.node, ways.b FROM reach JOIN ways ON ways.a = reach.seen
-) SELECT coalesce(c, clonotypeKey) AS clusterId, clonotypeKey FROM seqs LEFT JOIN (SELECT node, min(seen) AS c FROM reach GROUP BY node) ON node = clonotypeKey""",
-    "one_hop_clusters": f"""WITH {_PAIRS}, least AS (SELECT clonotypeKey AS key, least(clonotypeKey, coalesce(min(b), clonotypeKey)) AS goes FROM seqs LEFT JOIN ways ON a = clonotypeKey GROUP BY clonotypeKey)
+) SELECT coalesce(c, key) AS clusterId, key AS clonotypeKey FROM clean LEFT JOIN (SELECT node, min(seen) AS c FROM reach GROUP BY node) ON node = key""",
+    "one_hop_clusters": f"""WITH {_PAIRS}, least AS (SELECT key, least(key, coalesce(min(b), key)) AS goes FROM clean LEFT JOIN ways ON a = key GROUP BY key)
 SELECT CASE WHEN h.key IS NOT NULL THEN l.goes ELSE l.key END AS clusterId, l.key AS clonotypeKey FROM least l LEFT JOIN least h ON h.key = l.goes AND h.key = h.goes""",
-    "kmer_candidates": f"""WITH {_seqs(1)}, grams AS (
-  SELECT DISTINCT clonotypeKey AS key, length(sequence_0) AS l, unnest(list_transform(range(1, length(sequence_0) - 3), lambda i: substr(sequence_0, i, 5))) AS kmer FROM seqs WHERE length(sequence_0) >= 5)
+    "kmer_candidates": f"""WITH {_WORDS}, grams AS (
+  SELECT DISTINCT key, l, unnest(list_transform(range(1, l - 3), lambda i: substr(seq, i, 5))) AS kmer FROM clean WHERE l >= 5)
 SELECT kmer, count(*)::BIGINT AS n, arg_min(key, (-l, key)) AS centre FROM grams GROUP BY kmer""",
     "coverage_modes": f"WITH {_PAIRS} SELECT a, b, {', '.join(f'{_coverage(m)} AS mode_{m}' for m in range(6))} FROM pairs",
     "weighted_distinct_members": f"WITH {_rows(2)} SELECT * FROM dist",
@@ -224,11 +225,14 @@ FROM sizes s LEFT JOIN labels USING (clusterId) LEFT JOIN radius USING (clusterI
 }
 # singletons against the larger families' representatives, by brute force over words long enough for an edit
 ORACLES["reassign_singletons"] = f"""WITH {_members(1)}{_report(1)}
+, plain AS (SELECT clonotypeKey, regexp_replace(trimmed_fullSequence, '[^A-Za-z]', 'X', 'g') AS x FROM report WHERE trimmed_fullSequence <> '')
 , n AS (SELECT clusterId, count(*) AS rep_size FROM clusters GROUP BY clusterId)
-, s AS (SELECT clonotypeKey AS m, trimmed_fullSequence AS x FROM clusters JOIN n USING (clusterId) JOIN report USING (clonotypeKey) WHERE rep_size = 1)
-, c AS (SELECT clusterId, rep_size, trimmed_fullSequence AS y FROM n JOIN report ON clonotypeKey = clusterId WHERE rep_size > 1)
-, near AS (SELECT m, clusterId, rep_size, levenshtein(x, y)::DOUBLE / greatest(length(x), length(y))::DOUBLE AS d FROM s JOIN c ON abs(length(x) - length(y)) <= {_RADIUS} * greatest(length(x), length(y)) AND (length(x) >= 10 OR length(y) >= 10)
-  WHERE levenshtein(x, y)::DOUBLE / greatest(length(x), length(y))::DOUBLE <= {_RADIUS})
+, s AS (SELECT clonotypeKey AS m, x FROM clusters JOIN n USING (clusterId) JOIN plain USING (clonotypeKey) WHERE rep_size = 1)
+, c AS (SELECT clusterId, rep_size, x AS y FROM n JOIN plain ON clonotypeKey = clusterId WHERE rep_size > 1)
+, near AS (
+  SELECT m, clusterId, rep_size, levenshtein(x, y)::DOUBLE / greatest(length(x), length(y))::DOUBLE AS d FROM (SELECT * FROM s WHERE length(x) >= 10) JOIN (SELECT * FROM c WHERE length(y) >= 10) ON abs(length(x) - length(y)) <= {_RADIUS} * greatest(length(x), length(y))
+  WHERE levenshtein(x, y)::DOUBLE / greatest(length(x), length(y))::DOUBLE <= {_RADIUS}
+  UNION ALL SELECT m, clusterId, rep_size, 0.0::DOUBLE FROM s JOIN c ON x = y WHERE length(x) < 10)
 , best AS (SELECT m, arg_min(clusterId, (d, -rep_size, clusterId)) AS new_id FROM near GROUP BY m)
 SELECT coalesce(new_id, clusterId) AS clusterId, clonotypeKey FROM clusters LEFT JOIN best ON m = clonotypeKey"""
 ORACLES["cluster_to_seq_top"] = f"""WITH {_CTS}, top AS (

@@ -189,7 +189,9 @@ def levenshtein_pairs(spark, sf):
 
 
 def _words(spark, sf) -> DataFrame:
-    return tables.sequence_table(tables.clone_table(spark, sf)).select(F.col("clonotypeKey").alias("key"), F.col("sequence_0").alias("seq"))
+    """key, seq: one key for each distinct sanitised word (DuckDB's levenshtein() counts bytes)."""
+    words = tables.sequence_table(tables.clone_table(spark, sf)).select("clonotypeKey", exprs.sanitize(F.col("sequence_0")).alias("seq"))
+    return words.groupBy("seq").agg(F.min("clonotypeKey").alias("key")).select("key", "seq")
 
 
 def connected_components(spark, sf):
@@ -220,14 +222,15 @@ def kmer_candidates(spark, sf):
 def coverage_modes(spark, sf):
     """For pairs within the identity, which coverage modes accept them at 0.95 of the length (b: query, a: target)."""
     pairs = candidates.similar_pairs(_words(spark, sf), IDENTITY)
-    q, t = F.length("b") - 2, F.length("a") - 2
+    q, t = F.length("b") - 2, F.length("a") - 2  # keys begin with two more characters
     return pairs.select("a", "b", *[exprs.coverage(m, q, t, 0.95).alias(f"mode_{m}") for m in range(6)])
 
 
 def reassign_singletons(spark, sf):
     """Rule families, whose lone members are reassigned."""
     f = Families(spark, sf)
-    return reassign.reassign_singletons(stored(rule_clusters(f.reps)), f.values.select("clonotypeKey", "trimmed_fullSequence"), IDENTITY)
+    seqs = f.values.select("clonotypeKey", exprs.sanitize(F.col("trimmed_fullSequence")).alias("trimmed_fullSequence"))
+    return reassign.reassign_singletons(stored(rule_clusters(f.reps)), seqs, IDENTITY)
 
 
 def weighted_distinct_members(spark, sf):
