@@ -36,6 +36,8 @@ TERMS, ROUTES = 1 << 16, 1 << 16
 K1, B = 1.2, 0.75
 #: Neighbours that are looked through, best first, for ones that fit in whole.
 LOOKED_AT = 64
+#: Words are hashed in blocks of this many bytes, which stay in the cache.
+BLOCK = 1 << 19
 _U = np.uint64
 _ENCODERS: dict[str, object] = {}
 
@@ -72,7 +74,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: kind, key, n. Kinds: document frequency by bucket, bytes by route, and documents and words in all."""
     frequency, route_bytes, totals = np.zeros(TERMS, np.int64), np.zeros(ROUTES, np.int64), np.zeros(2, np.int64)
     for batch in batches:
-        for _, block in blocks(batch.column("text").to_pylist()):
+        for _, block in blocks(batch.column("text").to_pylist(), BLOCK):
             doc, bucket, route = _words(block)
             frequency += np.bincount(np.unique(doc * TERMS + bucket) % TERMS, minlength=TERMS)
             np.add.at(route_bytes, route, [len(t) + 1 for t in block])
@@ -190,12 +192,12 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
         import pandas as pd
 
         first, splits = shared_plan.value
-        route = np.concatenate([np.empty(0, np.int32), *[_words(block)[2] for _, block in blocks(list(text))]])
+        route = np.concatenate([np.empty(0, np.int32), *[_words(block)[2] for _, block in blocks(list(text), BLOCK)]])
         return pd.Series(first[route] + row_hash.to_numpy() % splits[route])
 
     def pack_shard(shard: int, members: list[tuple[int | None, str]]) -> pa.RecordBatch:
         ids = [token_ids(text, path) for _, text in members]
-        words = [w for _, block in blocks([text for _, text in members]) for w in _split_words(block)]
+        words = [w for _, block in blocks([text for _, text in members], BLOCK) for w in _split_words(block)]
         pieces = fill([len(x) for x in ids], Index(words, shared_idf.value, mean_words), window)
         cut = [ids[d][s : s + k].astype("<u4").tobytes() for d, s, k, _, _ in pieces]
         d, s, k, q, o = (np.array(x, dtype=np.int64) for x in zip(*pieces, strict=True))

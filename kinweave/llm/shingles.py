@@ -77,14 +77,14 @@ def shingle_counts(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.n
     return doc[where], h[where], np.diff(np.append(where, len(h)))
 
 
-def blocks(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
+def blocks(texts: list[str | None], size: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Lower-cased UTF-8 texts in blocks of limited size, with the index of each block's first text."""
     begin, block, held = 0, [], 0
     for k, text in enumerate(texts):
         raw = (text or "").lower().encode()
         block.append(raw)
         held += len(raw)
-        if held >= BLOCK_BYTES:
+        if held >= size:
             yield begin, block
             begin, block, held = k + 1, [], 0
     if block:
