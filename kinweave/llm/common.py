@@ -77,4 +77,6 @@ def unpack(df: DataFrame, packed: DataFrame, **new: Column) -> DataFrame:
     """The columns of `packed` (as it was before pack()) with those in `new` put in; a column of such a name is replaced."""
     taken = {name.lower() for name in new}
     kept = [F.col("_row").getField(c).alias(c) for c in packed.columns if c.lower() not in taken]
-    return df.select(*kept, *[c.alias(name) for name, c in new.items()])
+    # in two steps, or an expression could take up the alias of a kept column
+    ready = df.select("_row", *[c.alias(f"_new{k}") for k, c in enumerate(new.values())])
+    return ready.select(*kept, *[F.col(f"_new{k}").alias(name) for k, name in enumerate(new)])
