@@ -121,12 +121,15 @@ def _spread(source: str, name: str, prefix: str) -> str:
 
 
 _RADIUS = f"(1.0::DOUBLE - {IDENTITY}::DOUBLE)"
-#: Pairs by brute force: only words long enough for an edit within the radius.
+#: Pairs of words long enough for an edit within the radius. One edit leaves the first five letters or the last four as they
+#: are; words long enough for two are compared with each other.
 _WORDS = f"""{_seqs(1)}, clean AS (SELECT min(clonotypeKey) AS key, regexp_replace(sequence_0, '[^A-Za-z]', 'X', 'g') AS seq, length(sequence_0) AS l FROM seqs GROUP BY 2, 3)"""
 _PAIRS = f"""{_WORDS}, long AS (SELECT key, seq, l FROM clean WHERE 1.0::DOUBLE / (l + 1)::DOUBLE <= {_RADIUS})
-, pairs AS (
-  SELECT a.key AS a, b.key AS b, levenshtein(a.seq, b.seq)::BIGINT AS distance, a.l AS la, b.l AS lb FROM long a JOIN long b ON a.key < b.key AND abs(a.l - b.l) <= {_RADIUS} * greatest(a.l, b.l)
-  WHERE levenshtein(a.seq, b.seq)::DOUBLE / greatest(a.l, b.l)::DOUBLE <= {_RADIUS})
+, met AS (
+  SELECT a.key AS ka, b.key AS kb, a.seq AS sa, b.seq AS sb FROM long a JOIN long b ON left(a.seq, 5) = left(b.seq, 5) AND abs(a.l - b.l) <= 2 AND a.key < b.key
+  UNION SELECT a.key, b.key, a.seq, b.seq FROM long a JOIN long b ON right(a.seq, 4) = right(b.seq, 4) AND abs(a.l - b.l) <= 2 AND a.key < b.key
+  UNION SELECT a.key, b.key, a.seq, b.seq FROM long a JOIN long b ON a.l >= 19 AND b.l >= 19 AND a.key < b.key)
+, pairs AS (SELECT ka AS a, kb AS b, levenshtein(sa, sb)::BIGINT AS distance FROM met WHERE levenshtein(sa, sb)::DOUBLE / greatest(length(sa), length(sb))::DOUBLE <= {_RADIUS})
 , ways AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs)"""
 _BODY = "upper(left(regexp_replace(to_base64(unhex(sha256(plurality_centroid_trimmed_fullSequence))), '[^A-Za-z]', '', 'g'), 5))"
 _LABELLED = f""", bodies AS (SELECT *, CASE WHEN length(plurality_centroid_trimmed_fullSequence) > 0 THEN {_BODY} END AS body FROM wide)
@@ -230,7 +233,10 @@ ORACLES["reassign_singletons"] = f"""WITH {_members(1)}{_report(1)}
 , s AS (SELECT clonotypeKey AS m, x FROM clusters JOIN n USING (clusterId) JOIN plain USING (clonotypeKey) WHERE rep_size = 1)
 , c AS (SELECT clusterId, rep_size, x AS y FROM n JOIN plain ON clonotypeKey = clusterId WHERE rep_size > 1)
 , near AS (
-  SELECT m, clusterId, rep_size, levenshtein(x, y)::DOUBLE / greatest(length(x), length(y))::DOUBLE AS d FROM (SELECT * FROM s WHERE length(x) >= 10) JOIN (SELECT * FROM c WHERE length(y) >= 10) ON abs(length(x) - length(y)) <= {_RADIUS} * greatest(length(x), length(y))
+  SELECT m, clusterId, rep_size, levenshtein(x, y)::DOUBLE / greatest(length(x), length(y))::DOUBLE AS d FROM (
+    SELECT * FROM s JOIN c ON left(x, 5) = left(y, 5) AND abs(length(x) - length(y)) <= 2 WHERE length(x) >= 10 AND length(y) >= 10
+    UNION SELECT * FROM s JOIN c ON right(x, 4) = right(y, 4) AND abs(length(x) - length(y)) <= 2 WHERE length(x) >= 10 AND length(y) >= 10
+    UNION SELECT * FROM s JOIN c ON length(x) >= 19 AND length(y) >= 19)
   WHERE levenshtein(x, y)::DOUBLE / greatest(length(x), length(y))::DOUBLE <= {_RADIUS}
   UNION ALL SELECT m, clusterId, rep_size, 0.0::DOUBLE FROM s JOIN c ON x = y WHERE length(x) < 10)
 , best AS (SELECT m, arg_min(clusterId, (d, -rep_size, clusterId)) AS new_id FROM near GROUP BY m)
