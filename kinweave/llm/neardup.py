@@ -1,16 +1,17 @@
 """Near-duplicate groups by ProbMinHash over weighted word shingles.
 
-A document is a weighted set: its shingles of five lower-cased words, each weighing as often as it occurs. Every
-shingle runs a Poisson process of its own, with its weight as rate and its hash as seed; each arrival claims one of
-the registers at random, the earliest arrival keeps it, and a process ends as soon as its time passes the latest
-register (early termination). Two documents agree in a register with a chance equal to their probability Jaccard
-similarity. Registers are hashed in bands; documents that share a band are candidates, and candidates are verified by
-their exact probability Jaccard similarity, from the texts. Groups are the connected components of verified pairs.
+A document is a weighted set: its shingles of five lower-cased words (runs of letters, digits and non-ASCII characters),
+each weighing as often as it occurs. Every shingle runs a Poisson process of its own, with its weight as rate and its
+hash as seed; each arrival claims one of the registers at random, the earliest arrival keeps it, and a process ends as
+soon as its time passes the latest register (early termination). Two documents agree in a register with a chance equal
+to their probability Jaccard similarity. Registers are hashed in bands; documents that share a band are candidates, and
+candidates are verified by their exact probability Jaccard similarity, from the texts. Groups are the connected
+components of verified pairs.
 
 Documents with equal weighted sets form one class first, and only one of each goes on. Inside a band no pairs are
-listed: members are compared to one leader, then those not yet in its component to another one, and only members that
-are still in different components are compared with each other, since only such pairs can change a component. So every
-candidate pair that matters is verified, and no band is capped.
+listed: members are compared to one leader, then those not yet in its component to another one. Members of bands that
+still hold several components are then joined by prefix filtering (rarest shingles first), which loses no pair of the
+wanted similarity; only pairs across components are verified, as no others can change one. No band is capped.
 
 Nulls: a null text counts as empty; all texts without words are equal to each other. A text of fewer than five words
 is one shingle. Rows are told apart by doc_id and text; a null doc_id is kept and counts as larger than others for

@@ -7,8 +7,10 @@ from functools import lru_cache
 
 import numpy as np
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes between words: ASCII white space, or all of ASCII but letters and digits.
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
 #: Texts are worked on in blocks of about this many bytes.
@@ -33,11 +35,11 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word (run of bytes that are no ASCII white space), and the number of words before each text (n + 1)."""
+def word_hashes(texts: list[bytes], between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word (run of bytes that aren't `between` words), and the number of words before each text (n + 1)."""
     joined = b" ".join(texts) + b" "
     buf = np.frombuffer(joined, dtype=np.uint8)
-    space = _SPACE[buf]
+    space = between[buf]
     edge = np.diff(space.astype(np.int8), prepend=1)
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     if space[0]:
@@ -55,9 +57,10 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def shingle_counts(texts: list[bytes], width: int = 5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each text with their counts: text index (ascending), shingle hash (ascending in a text), count.
 
-    A text of fewer words than `width`, but not none, is a single shingle.
+    Words are runs of letters, digits and non-ASCII characters. A text of fewer words than `width`, but not none, is a
+    single shingle.
     """
-    words, first = word_hashes(texts)
+    words, first = word_hashes(texts, PUNCTUATION)
     n = np.diff(first)
     padded = np.concatenate([words, np.zeros(width, dtype=np.uint64)])
     per_text = np.where(n >= width, n - width + 1, (n > 0).astype(np.int64))

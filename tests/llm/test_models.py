@@ -35,7 +35,7 @@ def _text(rng, n, words="abcdefghijklmnop"):
 
 
 def _set(text):
-    w = (text or "").lower().split()
+    w = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").lower())
     return Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else Counter()
 
 
