@@ -204,7 +204,8 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(texts: DataFrame) -> DataFrame:
-    """node, h: the first shingles of each text, in an order common to all texts, that hold over 1 - SIMILARITY of its weight.
+    """node, h, before: the first shingles of each text, in an order common to all texts, that hold over 1 - SIMILARITY of
+    its weight, and the share of the weight that comes before each.
 
     A term of the probability Jaccard similarity is at most the shingle's share of either text, so common shingles of a
     verified pair hold at least SIMILARITY of the weight of both, and the first common one is in both prefixes. Any order
@@ -233,16 +234,19 @@ def _prefixes(texts: DataFrame) -> DataFrame:
                 total = np.bincount(doc, weights=n, minlength=len(block))
                 before = np.cumsum(n) - n
                 before -= before[np.searchsorted(doc, doc)]
-                keep = before <= (1 - SIMILARITY + 1e-9) * total[doc]
-                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(begin + doc[keep])), pa.array(h[keep])], names=["node", "h"])
+                before /= total[doc]
+                keep = before <= 1 - SIMILARITY + 1e-9
+                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(begin + doc[keep])), pa.array(h[keep]), pa.array(before[keep])], names=["node", "h", "before"])
 
-    return texts.mapInArrow(first, "node binary, h long")
+    return texts.mapInArrow(first, "node binary, h long, before double")
 
 
 def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) in different components that can be alike, among the members of bands with several components.
 
-    This decides exactly what the stars left open, by prefix filtering in place of all pairs of a band.
+    This decides exactly what the stars left open, by prefix filtering in place of all pairs of a band. What comes before
+    the first common shingle isn't common; with shares x and y of such weight, the similarity is at most
+    (1 - x) (1 - y) / (1 - x y), as each term is at most a concave function of the two shares of its shingle.
     """
     open_ = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("band")
     left = members.join(open_, "band").groupBy("node").agg(F.first("label").alias("label"))
@@ -250,9 +254,10 @@ def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
     first = materialize(_prefixes(texts.join(left, "node", "left_semi")).join(left, "node"), "prefixes")
     several = first.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("h")
     one = first.join(several, "h")
-    two = one.select("h", F.col("node").alias("b"), F.col("label").alias("label_b"))
-    pairs = one.select("h", F.col("node").alias("a"), "label").join(two, "h")
-    return pairs.filter("label <> label_b AND a < b").select("a", "b").distinct()
+    two = one.select("h", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("before").alias("y"))
+    pairs = one.select("h", F.col("node").alias("a"), "label", F.col("before").alias("x")).join(two, "h")
+    can = (1 - F.col("x")) * (1 - F.col("y")) >= F.lit(SIMILARITY - 1e-9) * (1 - F.col("x") * F.col("y"))
+    return pairs.filter((F.col("label") != F.col("label_b")) & (F.col("a") < F.col("b")) & can).select("a", "b").distinct()
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
