@@ -32,7 +32,7 @@ from .shingles import mix, word_hashes
 
 #: Weight of the unigram estimate, in occurrences; chosen on held-out documents at two sizes.
 MU = 400.0
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 _U = np.uint64
 #: Keys of the start and the end of a text.
 START, END = _U(0x5A17E57A27), _U(0xE4D0F7E870)
