@@ -35,6 +35,7 @@ from .shingles import blocks, mix, shingle_counts
 BANDS, ROWS, SIMILARITY, WIDTH = 24, 5, 0.8, 5
 #: Shingles whose frequency orders the prefixes; see _prefixes().
 FREQUENT = 200_000
+LAST = 6
 _U = np.uint64
 
 
@@ -204,8 +205,8 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(texts: DataFrame) -> DataFrame:
-    """node, h, before: the first shingles of each text, in an order common to all texts, that hold over 1 - SIMILARITY of
-    its weight, and the share of the weight that comes before each.
+    """node, h, before, last: the first shingles of each text, in an order common to all texts, that hold over
+    1 - SIMILARITY of its weight; the share of the weight that comes before each, and the LAST shingles before it.
 
     A term of the probability Jaccard similarity is at most the shingle's share of either text, so common shingles of a
     verified pair hold at least SIMILARITY of the weight of both, and the first common one is in both prefixes. Any order
@@ -236,9 +237,15 @@ def _prefixes(texts: DataFrame) -> DataFrame:
                 before -= before[np.searchsorted(doc, doc)]
                 before /= total[doc]
                 keep = before <= 1 - SIMILARITY + 1e-9
-                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(begin + doc[keep])), pa.array(h[keep]), pa.array(before[keep])], names=["node", "h", "before"])
+                at = np.flatnonzero(keep)
+                start = np.searchsorted(doc, doc)[at]
+                n_last = np.minimum(LAST, at - start)
+                ends = np.cumsum(n_last)
+                place = np.arange(n_last.sum()) - np.repeat(ends - n_last, n_last) + np.repeat(at - n_last, n_last)
+                last = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), h[place])
+                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(begin + doc[at])), pa.array(h[at]), pa.array(before[at]), last], names=["node", "h", "before", "last"])
 
-    return texts.mapInArrow(first, "node binary, h long, before double")
+    return texts.mapInArrow(first, "node binary, h long, before double, last array<long>")
 
 
 def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -246,7 +253,8 @@ def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
 
     This decides exactly what the stars left open, by prefix filtering in place of all pairs of a band. What comes before
     the first common shingle isn't common; with shares x and y of such weight, the similarity is at most
-    (1 - x) (1 - y) / (1 - x y), as each term is at most a concave function of the two shares of its shingle.
+    (1 - x) (1 - y) / (1 - x y), as each term is at most a concave function of the two shares of its shingle. A pair is
+    wanted once, at its first common shingle; where the shingles just before have one in common, it has been met there.
     """
     open_ = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("band")
     left = members.join(open_, "band").groupBy("node").agg(F.first("label").alias("label"))
@@ -254,10 +262,10 @@ def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
     first = materialize(_prefixes(texts.join(left, "node", "left_semi")).join(left, "node"), "prefixes")
     several = first.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("h")
     one = first.join(several, "h")
-    two = one.select("h", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("before").alias("y"))
-    pairs = one.select("h", F.col("node").alias("a"), "label", F.col("before").alias("x")).join(two, "h")
+    two = one.select("h", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("before").alias("y"), F.col("last").alias("last_b"))
+    pairs = one.select("h", F.col("node").alias("a"), "label", F.col("before").alias("x"), "last").join(two, "h")
     can = (1 - F.col("x")) * (1 - F.col("y")) >= F.lit(SIMILARITY - 1e-9) * (1 - F.col("x") * F.col("y"))
-    return pairs.filter((F.col("label") != F.col("label_b")) & (F.col("a") < F.col("b")) & can).select("a", "b").distinct()
+    return pairs.filter((F.col("label") != F.col("label_b")) & (F.col("a") < F.col("b")) & can & ~F.arrays_overlap("last", "last_b")).select("a", "b").distinct()
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
