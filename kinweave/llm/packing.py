@@ -146,10 +146,8 @@ def fill(lengths: list[int], index: Index, window: int) -> list[tuple[int, int,
         of, seed = seed, None
         if not offset:
             continue
-        scores = index.scores(of)
-        scores[~unused] = -1
-        ranked = np.argsort(-scores, kind="stable")[:LOOKED_AT]
-        ranked = ranked[scores[ranked] >= 0]
+        left = np.flatnonzero(unused)
+        ranked = left[np.argsort(-index.scores(of)[left], kind="stable")[:LOOKED_AT]]
         for d in ranked:
             if lengths[d] <= window - offset:
                 unused[d] = False
