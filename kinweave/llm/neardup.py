@@ -15,7 +15,9 @@ wanted similarity; only pairs across components are verified, as no others can c
 
 Nulls: a null text counts as empty; all texts without words are equal to each other. A text of fewer than five words
 is one shingle. Rows are told apart by doc_id and text; a null doc_id is kept and counts as larger than others for
-class_id unless all are null. Ties: class_id is the least doc_id of the group. An empty table gives an empty result.
+class_id unless all are null. Ties: class_id is the least doc_id of the group. Groups whose doc_ids are all null, or that
+have their least doc_id in common, share a class_id; class_key (the least set hash of the group, in hexadecimal) tells
+them apart, and deduplicate() goes by it. An empty table gives an empty result.
 Extra columns are kept by deduplicate() and ignored by near_duplicates().
 """
 
@@ -168,7 +170,7 @@ def _stars(members: DataFrame, leader) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row for each row of docs: doc_id, tie (hash of the text), class_id, class_size."""
+    """One row for each row of docs: doc_id, tie (hash of the text), class_id, class_size, class_key."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     signed = materialize(rows.mapInArrow(_sign, "doc_id long, tie long, node binary, bands array<long>"), "signatures")
     classes = signed.groupBy("node").agg(F.min(F.struct("doc_id", "tie")).alias("rep"), F.first("bands").alias("bands"))
@@ -193,9 +195,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             continue
         labels = components(edges)
         at = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
-    own = signed.select("doc_id", "tie", "node").join(labels, "node", "left").select("doc_id", "tie", F.coalesce("label", "node").alias("label"))
-    groups = own.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return own.join(groups, "label").select("doc_id", "tie", "class_id", "class_size")
+    own = signed.select("doc_id", "tie", "node").join(labels, "node", "left").select("doc_id", "tie", "node", F.coalesce("label", "node").alias("label"))
+    groups = own.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.hex(F.min("node")).alias("class_key"))
+    return own.join(groups, "label").select("doc_id", "tie", "class_id", "class_size", "class_key")
 
 
 def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +273,7 @@ def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of docs of which one of each group is kept: the one of least doc_id, then least hash of the text."""
     found = materialize(near_duplicates(docs), "classes")
-    best = found.groupBy("class_id").agg(F.min(F.struct("doc_id", "tie")).alias("best")).select("best.*").withColumnRenamed("doc_id", "_id")
+    best = found.groupBy("class_key").agg(F.min(F.struct("doc_id", "tie")).alias("best")).select("best.*").withColumnRenamed("doc_id", "_id")
     packed = pack(docs, "doc_id", "text").withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
     kept = packed.join(best, (F.col("doc_id").eqNullSafe(F.col("_id"))) & (packed["tie"] == best["tie"]), "left_semi")
     repeated = found.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -279,4 +281,4 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size", "class_key")

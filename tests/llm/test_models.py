@@ -105,6 +105,17 @@ def test_near_duplicates(spark):
     assert neardup.near_duplicates(_docs(spark, [])).count() == 0
 
 
+def test_near_duplicates_without_telling_ids(spark):
+    rng = random.Random(11)
+    a, b, c, d = (_text(rng, 60) for _ in range(4))
+    rows = [(None, a), (None, a.upper()), (None, b), (7, c), (7, d), (8, d)]
+    found = neardup.near_duplicates(_docs(spark, rows)).collect()
+    assert Counter(Counter(r.class_key for r in found).values()) == Counter([2, 1, 1, 2])
+    assert all((r.class_id, r.class_size) == (7, 1 + (r.tie == s.tie)) for r in found for s in found if s.doc_id == 8 and r.doc_id == 7)
+    kept = sorted((str(r.doc_id), r.text.lower()) for r in neardup.deduplicate(_docs(spark, rows)).collect())
+    assert kept == sorted([("None", a), ("None", b), ("7", c), ("7", d)])
+
+
 def test_sketch_recovers_differences():
     rng = np.random.default_rng(1)
     for size, apart in ((0, 0), (5, 1), (200, 3), (500, 400)):
