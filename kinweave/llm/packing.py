@@ -34,8 +34,6 @@ WINDOW, END, SHARD_BYTES = 2048, 1, 4 << 20
 #: Buckets of hashed words, and of the min-hashes by which shards are planned; both tables are bounded by these.
 TERMS, ROUTES = 1 << 16, 1 << 16
 K1, B = 1.2, 0.75
-#: Neighbours that are looked through, best first, for ones that fit in whole.
-LOOKED_AT = 64
 #: Words are hashed in blocks of this many bytes, which stay in the cache.
 BLOCK = 1 << 19
 _U = np.uint64
@@ -127,6 +125,7 @@ class Index:
 def fill(lengths: list[int], index: Index, window: int) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of one shard's documents."""
     out, unused, first = [], np.ones(len(lengths), dtype=bool), 0
+    size = np.array(lengths, dtype=np.int64)
     sequence, offset = 0, 0
     seed, start = None, 0
     while True:
@@ -147,14 +146,15 @@ def fill(lengths: list[int], index: Index, window: int) -> list[tuple[int, int,
         if not offset:
             continue
         left = np.flatnonzero(unused)
-        ranked = left[np.argsort(-index.scores(of)[left], kind="stable")[:LOOKED_AT]]
-        for d in ranked:
-            if lengths[d] <= window - offset:
-                unused[d] = False
-                out.append((int(d), 0, lengths[d], sequence, offset))
-                offset += lengths[d]
-                if offset == window:
-                    break
+        ranked = left[np.argsort(-index.scores(of)[left], kind="stable")]
+        # room only shrinks, so who doesn't fit once never will
+        fits = ranked[size[ranked] <= window - offset]
+        while len(fits):
+            d = int(fits[0])
+            unused[d] = False
+            out.append((d, 0, lengths[d], sequence, offset))
+            offset += lengths[d]
+            fits = fits[1:][size[fits[1:]] <= window - offset]
         if offset == window:
             sequence, offset = sequence + 1, 0
             continue

@@ -194,6 +194,18 @@ def test_retrieval_order():
     assert packing.fill([5, 5, 3, 5], index, 8)[:2] == [(0, 0, 5, 0, 0), (2, 0, 3, 0, 5)]
 
 
+def test_retrieval_walks_all_neighbours():
+    n = 70
+    words = [np.array([1, 2, 3])] + [np.array([1, 2])] * n + [np.array([1])]
+    index = packing.Index(words, np.ones(packing.TERMS), 2.0)
+    # only the last of 71 ranked neighbours fits in whole; then the best one is cut
+    assert packing.fill([5, *[20] * n, 3], index, 9)[:3] == [(0, 0, 5, 0, 0), (n + 1, 0, 3, 0, 5), (1, 0, 1, 0, 8)]
+    # more than 64 that all fit: document 1 isn't like the seed and comes after those that are
+    words = [np.array([1, 2, 3]), np.array([9])] + [np.array([1, 2])] * n
+    index = packing.Index(words, np.ones(packing.TERMS), 2.0)
+    assert [p[0] for p in packing.fill([5, *[1] * (n + 1)], index, 100)] == [0, *range(2, n + 2), 1]
+
+
 def test_lm_scores(spark):
     rng = random.Random(5)
     rows = [(k, " ".join(rng.choices(["A", "b", "c\td", "é", "longer"], k=rng.randint(0, 30)))) for k in range(50)] + EDGES[:-2]
