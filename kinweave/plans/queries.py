@@ -194,6 +194,11 @@ def _words(spark, sf) -> DataFrame:
     return words.groupBy("seq").agg(F.min("clonotypeKey").alias("key")).select("key", "seq")
 
 
+def _full_words(spark, sf) -> DataFrame:
+    """key, seq: every word as it is, for queries that no SQL holds to sanitised words."""
+    return tables.sequence_table(tables.clone_table(spark, sf)).select(F.col("clonotypeKey").alias("key"), F.col("sequence_0").alias("seq"))
+
+
 def connected_components(spark, sf):
     words = stored(_words(spark, sf))
     return cluster.connected_components(words.select("key"), stored(candidates.similar_pairs(words, IDENTITY)))
@@ -205,12 +210,12 @@ def one_hop_clusters(spark, sf):
 
 
 def set_cover_clusters(spark, sf):
-    words = stored(_words(spark, sf))
+    words = stored(_full_words(spark, sf))
     return cluster.set_cover(words.select("key"), stored(candidates.similar_pairs(words, IDENTITY)))
 
 
 def linear_time_clusters(spark, sf):
-    words = stored(_words(spark, sf))
+    words = stored(_full_words(spark, sf))
     radius = F.lit(1.0 - 0.8)
     return cluster.linear_time(words, 5, lambda c, s: F.levenshtein(c, s) / F.greatest(F.length(c), F.length(s)).cast("double") <= radius)
 

@@ -119,5 +119,15 @@ def test_against_sql(spark, name):
     assert got == sorted(str([clean(r[i]) for i in at]) for r in want.fetchall())
 
 
+@pytest.mark.parametrize("name", ["set_cover_clusters", "linear_time_clusters"])
+def test_all_words_stay(spark, tmp_path, name):
+    words = ["aaaaaaaaaaaaaaaé", "aaaaaaaaaaaaaaaè", "жжжжж", "ддддд", "plain"]
+    spark.createDataFrame([("x", " ".join(words))], "lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r.clusterId, r.clonotypeKey) for r in __spark_entry__.queries()[name](spark, str(tmp_path)).collect()}
+    # brute force: one letter of sixteen makes neighbours, any other two words are apart
+    assert len(got) == 5 and {k for _, k in got} == {f"k-{w}" for w in words}
+    assert {c for c, _ in got} == {"k-aaaaaaaaaaaaaaaè", "k-жжжжж", "k-ддддд", "k-plain"}
+
+
 def test_registry():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
