@@ -1,7 +1,7 @@
 """Line de-duplication by a deletion-neighbourhood join.
 
-Lines are equal if their lower-cased texts are, but for blanks at their ends; near lines are compared as sequences of
-words, where the edit distance is Levenshtein's over words and the bound is one. A line goes if an equal line, or one
+Lines are equal if their lower-cased words are, however much white space is around them; near lines are compared as
+sequences of words, where the edit distance is Levenshtein's over words and the bound is one. A line goes if an equal line, or one
 within the bound, comes earlier; the earliest stays. Earlier means by doc_id
 (null first), then by a hash of the text, then by line number, over the whole table. Lines of fewer than MIN_WORDS words
 go only if an equal line comes earlier, as one word is too much of them. Blank lines always stay.
@@ -34,8 +34,8 @@ _BLANKS = " \t\r\x0b\x0c"
 
 
 def line_key(line: Column) -> Column:
-    """What makes lines equal: their lower-cased text without blanks at either end."""
-    return F.lower(F.trim(line, F.lit(_BLANKS)))
+    """What makes lines equal: their lower-cased text without blanks at either end, one blank for any white space inside."""
+    return F.regexp_replace(F.lower(F.trim(line, F.lit(_BLANKS))), r"[\t\r\x0b\x0c]\s*| \s+", " ")
 
 
 def line_words(key: Column) -> Column:

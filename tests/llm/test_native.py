@@ -65,6 +65,12 @@ def test_line_dedup_cases(spark):
     assert linededup.dedup_lines(_docs(spark, [])).count() == 0
 
 
+def test_line_dedup_inner_blanks(spark):
+    rows = [(1, "Click here now"), (2, "click  here now\nnew"), (3, "Click\there \t now"), (4, "Click here\x0b\x0cnow \r"), (5, "Clickhere now")]
+    got = {r.doc_id: (r.text, r.removed) for r in linededup.dedup_lines(_docs(spark, rows)).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("new", 1), 3: ("", 1), 4: ("", 1), 5: (rows[4][1], 0)}
+
+
 def _near(a, b):
     if len(a) == len(b):
         return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
