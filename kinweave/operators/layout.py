@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,72 +50,84 @@ def cells_of_rows(laid: DataFrame) -> DataFrame:
     return laid.select("clusterId", "chain", "seq", "weight", F.posexplode(F.split("row", "")).alias("pos", "residue"))
 
 
+def _codes(seq: str) -> np.ndarray:
+    return np.frombuffer(seq.encode("ascii"), dtype=np.uint8)
+
+
+_GAP = ord("-")
+
+
 def place_ungapped(seqs: list[str], weights: list[float]) -> list[str]:
-    """Rows without inner gaps, as wide as the longest: each sequence goes where it agrees most with those before it."""
-    width = max(map(len, seqs))
-    votes: list[dict[str, float]] = [{} for _ in range(width)]
-    rows = []
-    for seq, weight in zip(seqs, weights, strict=True):
-        room = width - len(seq)
-        agreement = [sum(votes[at + i].get(r, 0.0) for i, r in enumerate(seq)) for at in range(room + 1)]
-        at = agreement.index(max(agreement)) if room else 0
-        for i, r in enumerate(seq):
-            votes[at + i][r] = votes[at + i].get(r, 0.0) + weight
-        rows.append("-" * at + seq + "-" * (room - at))
-    return rows
+    """Rows without inner gaps, as wide as the longest sequence.
+
+    One after the other, each sequence slides along the weights that the rows before it have left in the columns; of all
+    its places, scored at once, the first of the best is its own.
+    """
+    coded = [_codes(s) for s in seqs]
+    width = max(map(len, coded))
+    held = np.zeros((width, 128))
+    laid = np.full((len(coded), width), _GAP, dtype=np.uint8)
+    for row, code, weight in zip(laid, coded, weights, strict=True):
+        inside = np.arange(len(code))
+        shifts = np.arange(width - len(code) + 1)
+        at = int(held[shifts[:, None] + inside, code].sum(axis=1).argmax()) if len(shifts) > 1 else 0
+        held[at + inside, code] += weight
+        row[at + inside] = code
+    return [row.tobytes().decode() for row in laid]
 
 
 def place_gapped(seqs: list[str], weights: list[float], match: float = 2.0, mismatch: float = -1.0, gap: float = -3.0) -> list[str]:
     """Progressive alignment in the given order, each sequence to the weighted profile of those before it.
 
     Scores are averages over the profile's weight; ties prefer the diagonal, then a gap in the sequence. Members of equal
-    length without a better gapped placement are simply stacked.
+    length without a better gapped placement are simply stacked. The profile is kept from one sequence to the next, and
+    a row of the score table is worked out at once: what a run of gaps in the profile carries to the right is a running
+    maximum.
     """
-    rows = [seqs[0]]
-    for k in range(1, len(seqs)):
-        seq, total = seqs[k], sum(weights[:k])
-        columns: list[dict[str, float]] = []
-        for col in zip(*rows, strict=True):
-            tally: dict[str, float] = {}
-            for r, w in zip(col, weights, strict=False):
-                tally[r] = tally.get(r, 0.0) + w / total
-            columns.append(tally)
-        n, m = len(columns), len(seq)
-        filled = [1.0 - t.get("-", 0.0) for t in columns]
-        best = [[0.0] * (m + 1) for _ in range(n + 1)]
-        move = [[""] * (m + 1) for _ in range(n + 1)]
-        for i in range(1, n + 1):
-            best[i][0], move[i][0] = best[i - 1][0] + gap * filled[i - 1], "u"
-        for j in range(1, m + 1):
-            best[0][j], move[0][j] = best[0][j - 1] + gap, "l"
-        for i in range(1, n + 1):
-            tally, f = columns[i - 1], filled[i - 1]
-            for j in range(1, m + 1):
-                same = tally.get(seq[j - 1], 0.0)
-                d = best[i - 1][j - 1] + match * same + mismatch * (f - same)
-                u, left = best[i - 1][j] + gap * f, best[i][j - 1] + gap
-                if d >= u and d >= left:
-                    best[i][j], move[i][j] = d, "d"
-                elif u >= left:
-                    best[i][j], move[i][j] = u, "u"
-                else:
-                    best[i][j], move[i][j] = left, "l"
-        i, j, path = n, m, []
-        while i or j:
-            path.append(move[i][j])
-            i, j = i - (path[-1] != "l"), j - (path[-1] != "u")
-        path.reverse()
-        fresh, at = [], [0] * len(rows)
-        widened: list[list[str]] = [[] for _ in rows]
-        j = 0
-        for step in path:
-            for r, row in enumerate(rows):
-                widened[r].append("-" if step == "l" else row[at[r]])
-                at[r] += step != "l"
-            fresh.append("-" if step == "u" else seq[j])
-            j += step != "u"
-        rows = ["".join(w) for w in widened] + ["".join(fresh)]
-    return rows
+    first = _codes(seqs[0])
+    rows = first[None, :]
+    held = np.zeros((len(first), 128))
+    held[np.arange(len(first)), first] = weights[0]
+    for seq, weight in zip(seqs[1:], weights[1:], strict=True):
+        code = _codes(seq)
+        total = held[:1].sum() if len(held) else 1.0
+        path = _path(held[:, code] / total, 1.0 - held[:, _GAP] / total, match, mismatch, gap)
+        column, inserted = np.cumsum(path != _LEFT) - 1, path == _LEFT
+        wider = np.zeros((len(path), 128))
+        wider[~inserted] = held[column[~inserted]]
+        wider[inserted, _GAP] = total
+        fresh = np.full(len(path), _GAP, dtype=np.uint8)
+        fresh[path != _UP] = code
+        wider[np.arange(len(path)), fresh] += weight
+        if inserted.any():
+            spread = np.full((len(rows), len(path)), _GAP, dtype=np.uint8)
+            spread[:, ~inserted] = rows
+            rows = spread
+        rows, held = np.vstack([rows, fresh]), wider
+    return [row.tobytes().decode() for row in rows]
+
+
+_DIAGONAL, _UP, _LEFT = 0, 1, 2
+
+
+def _path(same: np.ndarray, filled: np.ndarray, match: float, mismatch: float, gap: float) -> np.ndarray:
+    """Steps of the best global alignment; same: share of each residue of the sequence in each column, filled: of non-gaps."""
+    n, m = same.shape
+    pair = match * same + mismatch * (filled[:, None] - same)
+    run = gap * np.arange(m + 1)
+    before, moves = run, np.full((n + 1, m + 1), _LEFT, dtype=np.uint8)
+    for i in range(n):
+        up = before + gap * filled[i]
+        diagonal = np.concatenate(([-np.inf], before[:-1] + pair[i]))
+        best = np.maximum.accumulate(np.maximum(up, diagonal) - run) + run
+        moves[i + 1] = np.where(diagonal >= best - 1e-9, _DIAGONAL, np.where(up >= best - 1e-9, _UP, _LEFT))
+        before = best
+    i, j, back = n, m, []
+    while i or j:
+        step = int(moves[i, j])
+        back.append(step)
+        i, j = i - (step != _LEFT), j - (step != _UP)
+    return np.array(back[::-1], dtype=np.uint8)
 
 
 def laid_out(members: DataFrame, model: str) -> DataFrame:

@@ -3,83 +3,49 @@
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass, field, fields
-from typing import Any
-
-SIMILARITY_TYPES = ("sequence-identity", "blosum40", "blosum50", "blosum62", "blosum80", "blosum90")
-TOOLS = ("easy-cluster", "easy-linclust")
-ALIGNMENTS = ("auto", "gapped", "ungapped")
-
-
-def _one_of(*choices: Any):
-    return lambda v: v in choices, "one of " + ", ".join(map(str, choices))
-
-
-def _number(v: Any) -> bool:
-    return isinstance(v, int | float) and not isinstance(v, bool)
-
-
-_TEXT = (lambda v: isinstance(v, str), "a string")
-_BOOL = (lambda v: isinstance(v, bool), "a boolean")
-_NUMBER = (_number, "a number")
-#: For each key of the contract: a test of its value, and what to say if it fails. Ranges are not enforced.
-CONTRACT = {
-    "datasetRef": _TEXT,
-    "sequencesRef": (lambda v: isinstance(v, list) and all(isinstance(x, str) for x in v), "a list of strings"),
-    "sequenceType": _one_of("aminoacid", "nucleotide"),
-    "identity": _NUMBER,
-    "similarityType": _one_of(*SIMILARITY_TYPES),
-    "coverageThreshold": _NUMBER,
-    "coverageMode": _one_of(0, 1, 2, 3, 4, 5),
-    "highPrecision": _BOOL,
-    "trimStart": _NUMBER,
-    "trimEnd": _NUMBER,
-    "clusteringTool": _one_of(*TOOLS),
-    "consensusThreshold": _NUMBER,
-    "gapThreshold": _NUMBER,
-    "centroidAlignment": _one_of(*ALIGNMENTS),
-    "weightByAbundance": _BOOL,
-    "generateDataset": _BOOL,
-    "mem": _NUMBER,
-    "cpu": _NUMBER,
-    "customBlockLabel": _TEXT,
-}
+from typing import Any, Literal, get_args, get_origin, get_type_hints
 
 
 @dataclass(frozen=True)
 class ClusterParams:
+    """What a family analysis can be asked for; the annotations are the contract, ranges are not enforced."""
+
     datasetRef: str | None = None
     sequencesRef: list[str] = field(default_factory=list)
-    sequenceType: str = "aminoacid"
+    sequenceType: Literal["aminoacid", "nucleotide"] = "aminoacid"
     identity: float = 0.8
-    similarityType: str = "blosum62"
+    similarityType: Literal["sequence-identity", "blosum40", "blosum50", "blosum62", "blosum80", "blosum90"] = "blosum62"
     coverageThreshold: float = 0.8
-    coverageMode: int = 0
+    coverageMode: Literal[0, 1, 2, 3, 4, 5] = 0
     highPrecision: bool = False
-    trimStart: int = 0
-    trimEnd: int = 0
-    clusteringTool: str = "easy-cluster"
+    trimStart: float = 0
+    trimEnd: float = 0
+    clusteringTool: Literal["easy-cluster", "easy-linclust"] = "easy-cluster"
     consensusThreshold: float = 0.6
     gapThreshold: float = 0.5
-    centroidAlignment: str = "auto"
+    centroidAlignment: Literal["auto", "gapped", "ungapped"] = "auto"
     weightByAbundance: bool = False
     generateDataset: bool = False
     mem: float = 32
     cpu: float = 16
     customBlockLabel: str | None = None
-    keepGaps: bool = False
+    #: An option of this library, which stored records don't carry.
+    keepGaps: bool = field(default=False, metadata={"stored": False})
+
+    @classmethod
+    def _stored(cls) -> dict[str, Any]:
+        hints = get_type_hints(cls)
+        return {f.name: hints[f.name] for f in fields(cls) if f.metadata.get("stored", True)}
 
     @classmethod
     def from_dict(cls, given: dict[str, Any]) -> ClusterParams:
-        """Unknown keys are dropped, absent (or None) ones keep their defaults, a wrong type raises ValueError."""
+        """Unknown keys are dropped, absent (or None) ones keep their defaults, a value against its annotation raises ValueError."""
         if not isinstance(given, dict):
-            raise ValueError("parameters must be an object.")
-        kept = {}
-        for name, (test, kind) in CONTRACT.items():
-            if given.get(name) is not None:
-                if not test(given[name]):
-                    raise ValueError(f"'{name}' must be {kind}.")
-                kept[name] = given[name]
-        return cls(**kept)
+            raise ValueError(f"parameters come as a dict, not as {type(given).__name__}")
+        chosen = {name: given[name] for name in cls._stored() if given.get(name) is not None}
+        if wrong := [name for name, value in chosen.items() if not _conforms(value, cls._stored()[name])]:
+            raise ValueError("unfit values: " + ", ".join(f"{name}={chosen[name]!r}" for name in wrong))
+        return cls(**chosen)
 
     @classmethod
     def upgrade(cls, old: dict[str, Any]) -> ClusterParams:
@@ -92,7 +58,7 @@ class ClusterParams:
     def to_dict(self) -> dict[str, Any]:
         """Inverse of from_dict: only what differs from the defaults."""
         default = ClusterParams()
-        return {f.name: v for f in fields(self) if f.name in CONTRACT and (v := asdict(self)[f.name]) != getattr(default, f.name)}
+        return {f.name: v for f in fields(self) if f.name in self._stored() and (v := asdict(self)[f.name]) != getattr(default, f.name)}
 
     def runnable(self) -> None:
         if not self.datasetRef:
@@ -119,6 +85,19 @@ class ClusterParams:
         return ", ".join(parts)
 
 
+def _conforms(value: Any, kind: Any) -> bool:
+    """Whether a value fits an annotation; whole numbers are floats too, booleans aren't numbers."""
+    if get_origin(kind) is Literal:
+        return any(value == x and isinstance(value, bool) == isinstance(x, bool) for x in get_args(kind))
+    if get_origin(kind) is list:
+        return isinstance(value, list) and all(_conforms(x, get_args(kind)[0]) for x in value)
+    if inner := get_args(kind):
+        return any(_conforms(value, k) for k in inner)
+    if kind is float:
+        return isinstance(value, int | float) and not isinstance(value, bool)
+    return isinstance(value, kind)
+
+
 def suggest_similarity(labels: list[str]) -> str:
     """BLOSUM80 where every chosen sequence is a framework region, else BLOSUM62."""
     low = [x.lower() for x in labels]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib.util
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,8 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from kinweave import catalog
 from kinweave.params import ClusterParams, suggest_similarity, warnings
-from kinweave.plans import analysis, views
+from kinweave.plans import analysis, oracles, views
+from kinweave.plans import queries as family
 from kinweave.schemas import clone_table, result_schemas
 from kinweave.sources import files
 from kinweave.streaming import rollup as stream
@@ -21,7 +24,7 @@ def test_params():
     p = ClusterParams.from_dict({"identity": 0.9, "unknown": 1, "trimEnd": None, "sequencesRef": ["a"]})
     assert p.identity == 0.9 and p.trimEnd == 0
     assert ClusterParams.from_dict(p.to_dict()) == p
-    with pytest.raises(ValueError, match="'identity' must be"):
+    with pytest.raises(ValueError, match="identity='high'"):
         ClusterParams.from_dict({"identity": "high"})
     old = ClusterParams.upgrade({"similarityType": "alignment-score"})
     assert (old.similarityType, old.centroidAlignment) == ("blosum62", "gapped")
@@ -131,3 +134,11 @@ def test_all_words_stay(spark, tmp_path, name):
 
 def test_registry():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_registry_without_the_subpackage(monkeypatch):
+    """The family queries stay where kinweave/llm is gone and corpus_pipeline.py is still there."""
+    found = importlib.util.find_spec
+    monkeypatch.setattr(importlib.util, "find_spec", lambda name, *a: None if name.startswith("kinweave.llm") else found(name, *a))
+    assert set(__spark_entry__.queries()) == set(family.QUERIES)
+    assert set(__spark_entry__.oracle_sql()) == set(oracles.ORACLES)
