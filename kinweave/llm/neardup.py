@@ -9,9 +9,11 @@ candidates are verified by their exact probability Jaccard similarity, from the
 components of verified pairs.
 
 Documents with equal weighted sets form one class first, and only one of each goes on. Inside a band no pairs are
-listed: members are compared to one leader, then those not yet in its component to another one. Members of bands that
-still hold several components are then joined by prefix filtering (rarest shingles first), which loses no pair of the
-wanted similarity; only pairs across components are verified, as no others can change one. No band is capped.
+listed: members are compared to one leader, the one that shares bands with most others and so stands in the middle of
+its group, and then, as long as that still joins many, to a leader outside the components that have led the band. What
+the leaders leave open is decided exactly by prefix filtering (rarest shingles first), which loses no pair of the wanted
+similarity: only members of bands that still hold several components take part, only pairs across components are met,
+and each of those only if the shingles around its first common one leave the similarity possible. No band is capped.
 
 Nulls: a null text counts as empty; all texts without words are equal to each other. A text of fewer than five words
 is one shingle. Rows are told apart by doc_id and text; a null doc_id is kept and counts as larger than others for
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, pack, table, unpack
@@ -37,7 +39,10 @@ from .shingles import blocks, mix, shingle_counts
 BANDS, ROWS, SIMILARITY, WIDTH = 24, 5, 0.8, 5
 #: Shingles whose frequency orders the prefixes; see _prefixes().
 FREQUENT = 200_000
-LAST = 6
+#: Shingles before and behind a posting that go with it, to tell which pairs can't be alike; see _across().
+LAST, NEXT = 6, 12
+#: Leaders' rounds go on while a round joins more than this share of the members; what is left is decided anyway.
+WORTH = 0.01
 _U = np.uint64
 
 
@@ -161,12 +166,19 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _stars(members: DataFrame, leader) -> DataFrame:
-    """Pairs (a, b) of each member and its band's leader, of different components."""
-    leaders = members.groupBy("band").agg(leader(F.struct("node", "label")).alias("leader"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-    leaders = leaders.filter("lo <> hi").select("band", "leader")
+def _stars(members: DataFrame, led: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of each member and its band's leader, of different components; and the components that have led.
+
+    members: band, node, degree, label. led: band, label (of components as they are now), or None.
+    """
+    mixed = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("band")
+    free = members if led is None else members.join(led, ["band", "label"], "left_anti")
+    leaders = free.join(mixed, "band", "left_semi").groupBy("band").agg(F.max(F.struct("degree", "node", "label")).alias("leader"))
+    leaders = materialize(leaders, "leaders")
     pairs = members.join(leaders, "band").filter(F.col("label") != F.col("leader.label"))
-    return pairs.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+    pairs = pairs.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+    now = leaders.select("band", F.col("leader.label").alias("label"))
+    return pairs, now if led is None else led.unionByName(now)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -175,26 +187,32 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signed = materialize(rows.mapInArrow(_sign, "doc_id long, tie long, node binary, bands array<long>"), "signatures")
     classes = signed.groupBy("node").agg(F.min(F.struct("doc_id", "tie")).alias("rep"), F.first("bands").alias("bands"))
     bands = classes.select("node", "rep", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("band")
-    members = materialize(bands.join(shared, "band").select("band", "node", "rep"), "band-members")
+    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = materialize(bands.join(shared, "band").select("band", "node", "rep", "n"), "band-members")
     wanted = members.select("node", "rep.doc_id", "rep.tie").dropDuplicates(["node"])
     found = rows.join(wanted.withColumnRenamed("doc_id", "_id"), (F.col("doc_id").eqNullSafe(F.col("_id"))) & (rows["tie"] == wanted["tie"]))
     texts = materialize(found.select("node", "text").dropDuplicates(["node"]), "candidate-texts")
 
-    at = members.select("band", "node", F.col("node").alias("label"))
-    edges, labels = None, None
-    for leader in (F.min, F.max, None):
-        if leader:
-            pairs = _stars(at, leader)
-        else:
-            pairs = _across(at, texts)
-        fresh = _verified(pairs if edges is None else pairs.join(tried, ["a", "b"], "left_anti"), texts, "links")
-        tried = materialize(pairs if edges is None else tried.unionByName(pairs), "tried") if leader else None
+    degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
+    seated = materialize(members.select("band", "node").join(degrees, "node"), "seated")
+    n_nodes = degrees.count()
+    at, edges, led, tried, labels = seated.withColumn("label", F.col("node")), None, None, None, None
+    while True:
+        pairs, led = _stars(at, led)
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "star-pairs")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        fresh = _verified(pairs, texts, "links")
         edges = fresh if edges is None else edges.unionByName(fresh)
-        if fresh.isEmpty() and labels is not None:
-            continue
         labels = components(edges)
-        at = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+        current = F.coalesce("label", "node").alias("label")
+        at = materialize(seated.join(labels, "node", "left").select("band", "node", "degree", current), "labelled")
+        if fresh.count() <= WORTH * n_nodes:
+            break
+        moved = led.withColumnRenamed("label", "node").join(labels, "node", "left")
+        led = materialize(moved.select("band", current).distinct(), "led")
+    fresh = _verified(_across(at, texts), texts, "links")
+    if not fresh.isEmpty():
+        labels = components(edges.unionByName(fresh))
     own = signed.select("doc_id", "tie", "node").join(labels, "node", "left").select("doc_id", "tie", "node", F.coalesce("label", "node").alias("label"))
     groups = own.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.hex(F.min("node")).alias("class_key"))
     return own.join(groups, "label").select("doc_id", "tie", "class_id", "class_size", "class_key")
@@ -207,8 +225,10 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(texts: DataFrame) -> DataFrame:
-    """node, h, before, last: the first shingles of each text, in an order common to all texts, that hold over
-    1 - SIMILARITY of its weight; the share of the weight that comes before each, and the LAST shingles before it.
+    """node, h, before, last, next, size: the first shingles of each text, in an order common to all texts, that hold
+    over 1 - SIMILARITY of its weight; the share of the weight that comes before each, the LAST shingles before it, the
+    NEXT ones behind it, with their place in the order (o, then h) and their share of the weight, and the number of the
+    text's shingles if none of them is repeated, else 0.
 
     A term of the probability Jaccard similarity is at most the shingle's share of either text, so common shingles of a
     verified pair hold at least SIMILARITY of the weight of both, and the first common one is in both prefixes. Any order
@@ -233,7 +253,7 @@ def _prefixes(texts: DataFrame) -> DataFrame:
                     at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                     rank[keys[at] == h] = ranks[at[keys[at] == h]]
                 order = np.lexsort((h, rank, doc))
-                doc, h, n = doc[order], h[order], n[order].astype(np.float64)
+                doc, h, n, rank = doc[order], h[order], n[order].astype(np.float64), rank[order]
                 total = np.bincount(doc, weights=n, minlength=len(block))
                 before = np.cumsum(n) - n
                 before -= before[np.searchsorted(doc, doc)]
@@ -241,33 +261,76 @@ def _prefixes(texts: DataFrame) -> DataFrame:
                 keep = before <= 1 - SIMILARITY + 1e-9
                 at = np.flatnonzero(keep)
                 start = np.searchsorted(doc, doc)[at]
-                n_last = np.minimum(LAST, at - start)
-                ends = np.cumsum(n_last)
-                place = np.arange(n_last.sum()) - np.repeat(ends - n_last, n_last) + np.repeat(at - n_last, n_last)
-                last = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), h[place])
-                yield pa.RecordBatch.from_arrays([nodes.take(pa.array(begin + doc[at])), pa.array(h[at]), pa.array(before[at]), last], names=["node", "h", "before", "last"])
+                n_last, n_next = np.minimum(LAST, at - start), np.minimum(NEXT, np.searchsorted(doc, doc, side="right")[at] - 1 - at)
+                last_at, next_at = _runs(at - n_last, n_last), _runs(at + 1, n_next)
+                last = pa.ListArray.from_arrays(_ends(n_last), h[last_at])
+                share = (n / total[doc])[next_at].astype(np.float32)
+                each = pa.StructArray.from_arrays([pa.array(rank[next_at]), pa.array(h[next_at]), pa.array(share)], names=["o", "h", "w"])
+                behind = pa.ListArray.from_arrays(_ends(n_next), each)
+                plain = np.where(np.bincount(doc, minlength=len(block)) == total, total, 0)[doc[at]].astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [nodes.take(pa.array(begin + doc[at])), pa.array(h[at]), pa.array(before[at]), last, behind, pa.array(plain)],
+                    names=["node", "h", "before", "last", "next", "size"],
+                )
+
+    return texts.mapInArrow(first, "node binary, h long, before double, last array<long>, next array<struct<o:long,h:long,w:float>>, size long")
+
 
-    return texts.mapInArrow(first, "node binary, h long, before double, last array<long>")
+def _ends(lengths: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+
+
+def _runs(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... for each run, one run after the other."""
+    return np.arange(lengths.sum()) + np.repeat(begin - np.cumsum(lengths) + lengths, lengths)
+
+
+def _lost(own: str, other: str) -> Column:
+    """The share of a text's weight, among the shingles behind a common one, that the other text certainly lacks.
+
+    Those are the shingles that the other's list would hold if it had them, as it reaches as far in the order.
+    """
+    full = F.size(other) == NEXT
+    reach = F.element_at(other, -1)
+    inside = lambda x: ~full | (x["o"] < reach["o"]) | ((x["o"] == reach["o"]) & (x["h"] <= reach["h"]))
+    missing = F.filter(own, lambda x: inside(x) & ~F.array_contains(F.transform(other, lambda y: y["h"]), x["h"]))
+    return F.aggregate(missing, F.lit(0.0), lambda sum_, x: sum_ + x["w"])
 
 
 def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) in different components that can be alike, among the members of bands with several components.
 
-    This decides exactly what the stars left open, by prefix filtering in place of all pairs of a band. What comes before
-    the first common shingle isn't common; with shares x and y of such weight, the similarity is at most
-    (1 - x) (1 - y) / (1 - x y), as each term is at most a concave function of the two shares of its shingle. A pair is
-    wanted once, at its first common shingle; where the shingles just before have one in common, it has been met there.
+    This decides exactly what the stars left open, by prefix filtering in place of all pairs of a band. With shares x and
+    y of the two texts' weight that aren't common, the similarity is at most (1 - x) (1 - y) / (1 - x y), as each term is
+    at most a concave function of the two shares of its shingle; for texts without repeated shingles it is plain Jaccard
+    similarity, with at most min((1 - x) size, (1 - y) size') shingles in common. What comes before the first common shingle isn't common,
+    nor is what the list of shingles behind it shows to be missing. A pair is wanted once, at its first common shingle;
+    where the shingles just before have one in common, it has been met there. Of each shingle's postings those of the
+    component that holds most of them aren't joined with each other.
     """
     open_ = members.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("band")
     left = members.join(open_, "band").groupBy("node").agg(F.first("label").alias("label"))
     left = materialize(left, "open-nodes")
     first = materialize(_prefixes(texts.join(left, "node", "left_semi")).join(left, "node"), "prefixes")
-    several = first.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("h")
-    one = first.join(several, "h")
-    two = one.select("h", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("before").alias("y"), F.col("last").alias("last_b"))
-    pairs = one.select("h", F.col("node").alias("a"), "label", F.col("before").alias("x"), "last").join(two, "h")
-    can = (1 - F.col("x")) * (1 - F.col("y")) >= F.lit(SIMILARITY - 1e-9) * (1 - F.col("x") * F.col("y"))
-    return pairs.filter((F.col("label") != F.col("label_b")) & (F.col("a") < F.col("b")) & can & ~F.arrays_overlap("last", "last_b")).select("a", "b").distinct()
+    by_label = first.groupBy("h", "label").agg(F.count(F.lit(1)).alias("n"))
+    largest = by_label.groupBy("h").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
+    one = first.join(largest.select("h", F.col("top.label").alias("top")), "h")
+    posting = ("node", "label", "before", "last", "next", "size")
+    rest = one.filter("label <> top").select("h", *[F.col(c).alias(f"{c}_a") for c in posting])
+    every = one.select("h", "top", *[F.col(c).alias(f"{c}_b") for c in posting])
+
+    def possible(x: Column, y: Column) -> Column:
+        least, plain = F.lit(SIMILARITY - 1e-6), (F.col("size_a") > 0) & (F.col("size_b") > 0)
+        common = F.least((1 - x) * F.col("size_a"), (1 - y) * F.col("size_b"))
+        as_sets = common >= least * (F.col("size_a") + F.col("size_b") - common)
+        return ((1 - x) * (1 - y) >= least * (1 - x * y)) & (~plain | as_sets)
+
+    # two postings outside the largest component meet twice, so one of the ways is left out
+    once = (F.col("label_b") == F.col("top")) | (F.col("node_a") < F.col("node_b"))
+    cheap = (F.col("label_a") != F.col("label_b")) & once & possible(F.col("before_a"), F.col("before_b")) & ~F.arrays_overlap("last_a", "last_b")
+    x, y = F.col("before_a") + _lost("next_a", "next_b"), F.col("before_b") + _lost("next_b", "next_a")
+    pairs = rest.join(every, "h").filter(cheap & possible(x, y))
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
