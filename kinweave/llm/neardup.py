@@ -13,7 +13,7 @@ listed: members are compared to one leader, the one that shares bands with most
 its group, and then, as long as that still joins many, to a leader outside the components that have led the band. What
 the leaders leave open is decided exactly by prefix filtering (rarest shingles first), which loses no pair of the wanted
 similarity: only members of bands that still hold several components take part, only pairs across components are met,
-and each of those only if the shingles around its first common one leave the similarity possible. No band is capped.
+and each of those only if what comes before its first common shingle leaves the similarity possible. No band is capped.
 
 Nulls: a null text counts as empty; all texts without words are equal to each other. A text of fewer than five words
 is one shingle. Rows are told apart by doc_id and text; a null doc_id is kept and counts as larger than others for
@@ -39,8 +39,10 @@ from .shingles import blocks, mix, shingle_counts
 BANDS, ROWS, SIMILARITY, WIDTH = 24, 5, 0.8, 5
 #: Shingles whose frequency orders the prefixes; see _prefixes().
 FREQUENT = 200_000
-#: Shingles before and behind a posting that go with it, to tell which pairs can't be alike; see _across().
-LAST, NEXT = 6, 12
+#: Shingles before a posting that go with it, to tell where a pair has met before; see _across().
+LAST = 6
+#: Shingles whose arrivals are drawn at once.
+DRAWN = 1 << 19
 #: Leaders' rounds go on while a round joins more than this share of the members; what is left is decided anyway.
 WORTH = 0.01
 _U = np.uint64
@@ -51,7 +53,14 @@ def prob_minhash(doc: np.ndarray, keys: np.ndarray, weights: np.ndarray, n_docs:
     time = np.full(n_docs * registers, np.inf)
     holder = np.zeros(n_docs * registers, dtype=np.uint64)
     latest = np.full(n_docs, np.inf)
-    rate = weights.astype(np.float64)
+    for begin in range(0, len(keys), DRAWN):
+        part = slice(begin, begin + DRAWN)
+        _arrivals(doc[part], keys[part], weights[part].astype(np.float64), time, holder, latest, registers)
+    return holder.reshape(n_docs, registers)
+
+
+def _arrivals(doc: np.ndarray, keys: np.ndarray, rate: np.ndarray, time: np.ndarray, holder: np.ndarray, latest: np.ndarray, registers: int) -> None:
+    """Let the arrivals of these keys claim their registers."""
     at, k = np.zeros(len(keys)), 0
     while len(keys):
         k += 1
@@ -65,10 +74,9 @@ def prob_minhash(doc: np.ndarray, keys: np.ndarray, weights: np.ndarray, n_docs:
         holder[slot[held]] = keys[held]
         # only registers of documents that are still at work can have changed
         live = np.unique(doc)
-        latest[live] = time.reshape(n_docs, registers)[live].max(axis=1)
+        latest[live] = time.reshape(-1, registers)[live].max(axis=1)
         on = at < latest[doc]
         doc, keys, rate, at = doc[on], keys[on], rate[on], at[on]
-    return holder.reshape(n_docs, registers)
 
 
 def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -225,10 +233,9 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(texts: DataFrame) -> DataFrame:
-    """node, h, before, last, next, size: the first shingles of each text, in an order common to all texts, that hold
-    over 1 - SIMILARITY of its weight; the share of the weight that comes before each, the LAST shingles before it, the
-    NEXT ones behind it, with their place in the order (o, then h) and their share of the weight, and the number of the
-    text's shingles if none of them is repeated, else 0.
+    """node, h, before, last, size: the first shingles of each text, in an order common to all texts, that hold over
+    1 - SIMILARITY of its weight; the share of the weight that comes before each, the LAST shingles before it, and the
+    number of the text's shingles if none of them is repeated, else 0.
 
     A term of the probability Jaccard similarity is at most the shingle's share of either text, so common shingles of a
     verified pair hold at least SIMILARITY of the weight of both, and the first common one is in both prefixes. Any order
@@ -253,7 +260,7 @@ def _prefixes(texts: DataFrame) -> DataFrame:
                     at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                     rank[keys[at] == h] = ranks[at[keys[at] == h]]
                 order = np.lexsort((h, rank, doc))
-                doc, h, n, rank = doc[order], h[order], n[order].astype(np.float64), rank[order]
+                doc, h, n = doc[order], h[order], n[order].astype(np.float64)
                 total = np.bincount(doc, weights=n, minlength=len(block))
                 before = np.cumsum(n) - n
                 before -= before[np.searchsorted(doc, doc)]
@@ -261,23 +268,15 @@ def _prefixes(texts: DataFrame) -> DataFrame:
                 keep = before <= 1 - SIMILARITY + 1e-9
                 at = np.flatnonzero(keep)
                 start = np.searchsorted(doc, doc)[at]
-                n_last, n_next = np.minimum(LAST, at - start), np.minimum(NEXT, np.searchsorted(doc, doc, side="right")[at] - 1 - at)
-                last_at, next_at = _runs(at - n_last, n_last), _runs(at + 1, n_next)
-                last = pa.ListArray.from_arrays(_ends(n_last), h[last_at])
-                share = (n / total[doc])[next_at].astype(np.float32)
-                each = pa.StructArray.from_arrays([pa.array(rank[next_at]), pa.array(h[next_at]), pa.array(share)], names=["o", "h", "w"])
-                behind = pa.ListArray.from_arrays(_ends(n_next), each)
+                n_last = np.minimum(LAST, at - start)
+                last = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n_last)]).astype(np.int32), h[_runs(at - n_last, n_last)])
                 plain = np.where(np.bincount(doc, minlength=len(block)) == total, total, 0)[doc[at]].astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [nodes.take(pa.array(begin + doc[at])), pa.array(h[at]), pa.array(before[at]), last, behind, pa.array(plain)],
-                    names=["node", "h", "before", "last", "next", "size"],
+                    [nodes.take(pa.array(begin + doc[at])), pa.array(h[at]), pa.array(before[at]), last, pa.array(plain)],
+                    names=["node", "h", "before", "last", "size"],
                 )
 
-    return texts.mapInArrow(first, "node binary, h long, before double, last array<long>, next array<struct<o:long,h:long,w:float>>, size long")
-
-
-def _ends(lengths: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return texts.mapInArrow(first, "node binary, h long, before double, last array<long>, size long")
 
 
 def _runs(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -285,26 +284,14 @@ def _runs(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(lengths.sum()) + np.repeat(begin - np.cumsum(lengths) + lengths, lengths)
 
 
-def _lost(own: str, other: str) -> Column:
-    """The share of a text's weight, among the shingles behind a common one, that the other text certainly lacks.
-
-    Those are the shingles that the other's list would hold if it had them, as it reaches as far in the order.
-    """
-    full = F.size(other) == NEXT
-    reach = F.element_at(other, -1)
-    inside = lambda x: ~full | (x["o"] < reach["o"]) | ((x["o"] == reach["o"]) & (x["h"] <= reach["h"]))
-    missing = F.filter(own, lambda x: inside(x) & ~F.array_contains(F.transform(other, lambda y: y["h"]), x["h"]))
-    return F.aggregate(missing, F.lit(0.0), lambda sum_, x: sum_ + x["w"])
-
-
 def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) in different components that can be alike, among the members of bands with several components.
 
     This decides exactly what the stars left open, by prefix filtering in place of all pairs of a band. With shares x and
     y of the two texts' weight that aren't common, the similarity is at most (1 - x) (1 - y) / (1 - x y), as each term is
     at most a concave function of the two shares of its shingle; for texts without repeated shingles it is plain Jaccard
-    similarity, with at most min((1 - x) size, (1 - y) size') shingles in common. What comes before the first common shingle isn't common,
-    nor is what the list of shingles behind it shows to be missing. A pair is wanted once, at its first common shingle;
+    similarity, with at most min((1 - x) size, (1 - y) size') shingles in common. What comes before the first common
+    shingle isn't common. A pair is wanted once, at its first common shingle;
     where the shingles just before have one in common, it has been met there. Of each shingle's postings those of the
     component that holds most of them aren't joined with each other.
     """
@@ -315,7 +302,7 @@ def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
     by_label = first.groupBy("h", "label").agg(F.count(F.lit(1)).alias("n"))
     largest = by_label.groupBy("h").agg(F.max(F.struct("n", "label")).alias("top"), F.count(F.lit(1)).alias("labels")).filter("labels > 1")
     one = first.join(largest.select("h", F.col("top.label").alias("top")), "h")
-    posting = ("node", "label", "before", "last", "next", "size")
+    posting = ("node", "label", "before", "last", "size")
     rest = one.filter("label <> top").select("h", *[F.col(c).alias(f"{c}_a") for c in posting])
     every = one.select("h", "top", *[F.col(c).alias(f"{c}_b") for c in posting])
 
@@ -327,9 +314,8 @@ def _across(members: DataFrame, texts: DataFrame) -> DataFrame:
 
     # two postings outside the largest component meet twice, so one of the ways is left out
     once = (F.col("label_b") == F.col("top")) | (F.col("node_a") < F.col("node_b"))
-    cheap = (F.col("label_a") != F.col("label_b")) & once & possible(F.col("before_a"), F.col("before_b")) & ~F.arrays_overlap("last_a", "last_b")
-    x, y = F.col("before_a") + _lost("next_a", "next_b"), F.col("before_b") + _lost("next_b", "next_a")
-    pairs = rest.join(every, "h").filter(cheap & possible(x, y))
+    can = (F.col("label_a") != F.col("label_b")) & once & possible(F.col("before_a"), F.col("before_b")) & ~F.arrays_overlap("last_a", "last_b")
+    pairs = rest.join(every, "h").filter(can)
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
