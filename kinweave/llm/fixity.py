@@ -154,30 +154,30 @@ LOST, ALTERED, MOVED, DOUBLED = 13, 57, 71, 31
 def damaged(pages: DataFrame) -> DataFrame:
     """The stream of a damaged replica: file_id, ordinal, length, record_id, digest; fillers have no digest.
 
-    pages: ordinal, file_id, record_id, record, files (number of the primary's files). Where a record is lost or was
-    moved away, its bytes are blank; moved and doubled records stand in files of their own behind the others.
+    pages: ordinal, file_id, length, record_id, digest, altered (digest of the record with another version in its first
+    line, as long as the right one), files (number of the primary's files). Where a record is lost or was moved away, its
+    bytes are blank; moved and doubled records stand in files of their own behind the others.
     """
     kind = F.coalesce("record_id", F.lit(-1)) % 97
-    gone = kind.isin(LOST, MOVED)
-    bytes_ = F.when(kind == ALTERED, F.overlay("record", F.lit("WARC/1.0"), F.lit(1))).otherwise(F.col("record"))
-    own = pages.select(
-        "file_id", "ordinal", F.octet_length(bytes_).cast("long").alias("length"), "record_id", F.when(~gone, F.sha2(bytes_, 256)).alias("digest")
-    )
-    behind = pages.filter(kind.isin(MOVED, DOUBLED)).select(
-        (F.col("file_id") + F.col("files")).alias("file_id"), "ordinal", F.octet_length("record").cast("long").alias("length"), "record_id", F.sha2("record", 256).alias("digest")
-    )
-    return own.unionByName(behind)
+    read = F.when(kind == ALTERED, F.col("altered")).when(~kind.isin(LOST, MOVED), F.col("digest"))
+    own = pages.select("file_id", "ordinal", "length", "record_id", read.alias("digest"))
+    behind = pages.filter(kind.isin(MOVED, DOUBLED))
+    return own.unionByName(behind.select((F.col("file_id") + F.col("files")).alias("file_id"), "ordinal", "length", "record_id", "digest"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit the archive of all pages against a replica with known damage; one row for each finding."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = table(spark, sf_dir, "pages")
     record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
-    own = pages.select(F.col("page_id").alias("record_id"), F.octet_length(record).cast("long").alias("length"), F.sha2(record, 256).alias("digest"), "url", "html")
-    primary = materialize(manifest(own, ["record_id", "digest"]), "warc-primary")
+    narrow = pages.select(
+        F.col("page_id").alias("record_id"),
+        F.octet_length(record).cast("long").alias("length"),
+        F.sha2(record, 256).alias("digest"),
+        F.sha2(F.overlay(record, F.lit("WARC/1.0"), F.lit(1)), 256).alias("altered"),
+    )
+    primary = materialize(manifest(narrow, ["record_id", "digest"]), "warc-primary")
     files = primary.agg(F.coalesce(F.max("file_id") + 1, F.lit(0).cast("long")).alias("n")).first()["n"]
-    copied = primary.select("ordinal", "file_id", "record_id", warc_record(F.col("record_id"), F.col("url"), F.col("html")).alias("record"), F.lit(files).alias("files"))
-    replica = materialize(offsets(damaged(copied)).filter("digest IS NOT NULL"), "warc-replica")
+    replica = materialize(offsets(damaged(primary.withColumn("files", F.lit(files)))).filter("digest IS NOT NULL"), "warc-replica")
     return audit(primary, replica).drop("length", "replica_length")
 
 
