@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import blank, guarded_weight, join_chains, sequence_columns, trim_key, trim_report
 
 
-def with_key_sequence(seqs: DataFrame, start: int = 0, end: int = 0, per_chain: bool = False) -> DataFrame:
-    """clonotypeKey, sequence: chains trimmed one by one and joined, or joined and then trimmed as one."""
+def key_sequence(seqs: DataFrame, start: int = 0, end: int = 0, per_chain: bool = False) -> Column:
+    """The sequence that is clustered: chains trimmed one by one and joined, or joined and then trimmed as one."""
     chains = [F.col(c) for c in sequence_columns(seqs)]
     if per_chain and len(chains) > 1:
-        joined = join_chains(*[trim_key(c, start, end) for c in chains])
-    else:
-        joined = trim_key(join_chains(*chains), start, end)
-    return seqs.select("clonotypeKey", joined.alias("sequence"))
+        return join_chains(*[trim_key(c, start, end) for c in chains])
+    return trim_key(join_chains(*chains), start, end)
+
+
+def with_key_sequence(seqs: DataFrame, start: int = 0, end: int = 0, per_chain: bool = False) -> DataFrame:
+    """clonotypeKey, sequence."""
+    return seqs.select("clonotypeKey", key_sequence(seqs, start, end, per_chain).alias("sequence"))
 
 
 def dedup_mapping(keyed: DataFrame) -> DataFrame:

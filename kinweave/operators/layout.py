@@ -18,15 +18,20 @@ MAX_MEMBERS = 1000
 _ROWS = "clusterId string, chain string, seq string, weight double, row string"
 
 
-def chain_rows(clusters: DataFrame, values: DataFrame, chains: list[str], weights: DataFrame) -> DataFrame:
+def member_rows(members: DataFrame, chains: list[str]) -> DataFrame:
     """One row a member and chain it has: clusterId, clonotypeKey, chain, raw, seq (sanitised), weight.
 
-    values: clonotypeKey and the chains' columns, one row a key.
+    members: clusterId, clonotypeKey, weight and the chains' columns.
     """
     each = F.explode(F.array(*[F.struct(F.lit(c).alias("chain"), blank(F.col(c)).alias("raw")) for c in chains]))
+    long = members.select("clusterId", "clonotypeKey", F.coalesce("weight", F.lit(1.0)).alias("weight"), each.alias("x")).filter("x.raw <> ''")
+    return long.select("clusterId", "clonotypeKey", "x.chain", "x.raw", sanitize(F.col("x.raw")).alias("seq"), "weight")
+
+
+def chain_rows(clusters: DataFrame, values: DataFrame, chains: list[str], weights: DataFrame) -> DataFrame:
+    """member_rows() of clusters; values: clonotypeKey and the chains' columns, one row a key."""
     long = clusters.select("clusterId", "clonotypeKey").join(values, "clonotypeKey", "left").join(weights, "clonotypeKey", "left")
-    long = long.select("clusterId", "clonotypeKey", F.coalesce("weight", F.lit(1.0)).alias("weight"), each.alias("x"))
-    return long.select("clusterId", "clonotypeKey", "x.chain", "x.raw", sanitize(F.col("x.raw")).alias("seq"), "weight").filter("raw <> ''")
+    return member_rows(long, chains)
 
 
 def distinct_members(rows: DataFrame) -> DataFrame:
@@ -35,17 +40,14 @@ def distinct_members(rows: DataFrame) -> DataFrame:
 
 
 def capped(members: DataFrame, most: int = MAX_MEMBERS) -> DataFrame:
-    """With rn, the order (-weight, seq); at most `most` members a family and chain."""
+    """With rn, the order (-weight, seq); at most `most` members a family and chain.
+
+    Spark applies the limit before the shuffle as well, so of a huge family each task sends `most` rows at most.
+    """
     order = W.partitionBy("clusterId", "chain").orderBy(F.desc("weight"), "seq")
     return members.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= most)
 
 
-def stacked(members: DataFrame) -> DataFrame:
-    """Cells of members of equal length within each family and chain: as they are, offset 0."""
-    places = F.posexplode(F.split("seq", "")).alias("pos", "residue")
-    return members.select("clusterId", "chain", "seq", "weight", places)
-
-
 def cells_of_rows(laid: DataFrame) -> DataFrame:
     return laid.select("clusterId", "chain", "seq", "weight", F.posexplode(F.split("row", "")).alias("pos", "residue"))
 
@@ -161,10 +163,14 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=["clusterId", "chain", "seq", "weight", "row"])
 
 
-def cells(members: DataFrame, model: str) -> DataFrame:
-    """Cells of capped members. Groups of one length, and single members, skip the Python path in the ungapped model."""
+def placed(members: DataFrame, model: str) -> DataFrame:
+    """clusterId, chain, seq, weight, row of capped members; `stacked`: all members of a family have one length.
+
+    Families of one length need no placing in the ungapped model, nor do single members; they skip the Python path.
+    """
+    if model == "stacked":
+        return members.select("clusterId", "chain", "seq", "weight", F.col("seq").alias("row"))
     group = W.partitionBy("clusterId", "chain")
     sized = members.withColumns({"lo": F.min(F.length("seq")).over(group), "hi": F.max(F.length("seq")).over(group), "n": F.count(F.lit(1)).over(group)})
     simple = (F.col("lo") == F.col("hi")) if model == "ungapped" else (F.col("n") == 1)
-    rest = cells_of_rows(laid_out(sized.filter(~simple), model))
-    return stacked(sized.filter(simple)).select(*rest.columns).unionByName(rest)
+    return placed(sized.filter(simple), "stacked").unionByName(laid_out(sized.filter(~simple), model))

@@ -15,7 +15,7 @@ def tally(cells: DataFrame) -> DataFrame:
 
 
 def columns(tallied: DataFrame, gap_threshold: float = 0.5) -> DataFrame:
-    """clusterId, chain, pos, total, gap_w, best, best_w, absent.
+    """clusterId, chain, pos, total, gap_w, best, best_w, shares (weight of each symbol), absent.
 
     absent: the gaps' share of the column's whole weight exceeds the threshold. best: the residue of most weight, then
     the one of the smaller code point; null in a column of gaps alone.
@@ -26,6 +26,7 @@ def columns(tallied: DataFrame, gap_threshold: float = 0.5) -> DataFrame:
         F.coalesce(F.sum(F.when(~residue, F.col("w"))), F.lit(0.0)).alias("gap_w"),
         F.max_by(F.when(residue, F.col("residue")), F.when(residue, F.struct("w", -F.ascii("residue")))).alias("best"),
         F.max(F.when(residue, F.col("w"))).alias("best_w"),
+        F.collect_list(F.struct("residue", "w")).alias("shares"),
     )
     absent = F.when(F.col("total") <= 0, True).otherwise(F.col("gap_w") / F.col("total") > F.lit(float(gap_threshold)))
     return agg.withColumn("absent", absent)
@@ -49,12 +50,24 @@ def consensus(cols: DataFrame, threshold: float = 0.6, keep_gaps: bool = False)
     return cols.groupBy("clusterId", "chain").agg(text.alias("consensus"), F.count_if(~F.col("absent")).alias("l_cons"))
 
 
-def member_distances(cells: DataFrame, tallied: DataFrame, cols: DataFrame) -> DataFrame:
-    """clusterId, chain, seq, d: the sum over all columns of 1 - the share of the member's own symbol."""
-    share = tallied.join(cols.select("clusterId", "chain", "pos", "total"), ["clusterId", "chain", "pos"])
-    share = share.select("clusterId", "chain", "pos", "residue", (1 - F.col("w") / F.nullif(F.col("total"), F.lit(0.0))).alias("cost"))
-    costs = cells.select("clusterId", "chain", "seq", "pos", "residue").join(share, ["clusterId", "chain", "pos", "residue"])
-    return costs.groupBy("clusterId", "chain", "seq").agg(F.sum("cost").alias("d"))
+def families(cols: DataFrame, threshold: float = 0.6, keep_gaps: bool = False) -> DataFrame:
+    """clusterId, chain, consensus, l_cons, costs: for each column, 1 - the share of each of its symbols."""
+    ordered = F.array_sort(F.collect_list(F.struct("pos", symbol(threshold).alias("s"), "total", "shares")))
+    cost = lambda x: F.map_from_entries(F.transform(x["shares"], lambda r: F.struct(r["residue"], 1 - r["w"] / F.nullif(x["total"], F.lit(0.0)))))
+    joined = F.array_join(F.transform(F.col("_cols"), lambda x: x["s"]), "")
+    text = joined if keep_gaps else F.replace(joined, F.lit("-"), F.lit(""))
+    grouped = cols.groupBy("clusterId", "chain").agg(ordered.alias("_cols"), F.count_if(~F.col("absent")).alias("l_cons"))
+    return grouped.select("clusterId", "chain", text.alias("consensus"), "l_cons", F.transform("_cols", cost).alias("costs"))
+
+
+def member_distances(laid: DataFrame, profiles: DataFrame) -> DataFrame:
+    """clusterId, chain, seq, d: the sum over all columns of 1 - the share of the member's own symbol.
+
+    laid: members with their rows; profiles: families(). One join on the family; no cell is shuffled.
+    """
+    joined = laid.select("clusterId", "chain", "seq", "row").join(profiles.select("clusterId", "chain", "costs"), ["clusterId", "chain"])
+    each = F.zip_with(F.split("row", ""), F.col("costs"), lambda r, cost: F.coalesce(cost[r], F.lit(0.0)))
+    return joined.select("clusterId", "chain", "seq", F.aggregate(each, F.lit(0.0), lambda sum_, x: sum_ + x).alias("d"))
 
 
 def distance_parts(rows: DataFrame, distances: DataFrame, lengths: DataFrame) -> DataFrame:

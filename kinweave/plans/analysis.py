@@ -73,17 +73,17 @@ def analyse(clones: DataFrame, params: ClusterParams, clusters: DataFrame | None
 
     rows = layout.chain_rows(members, values, trims, weights)
     kept = layout.capped(layout.distinct_members(rows))
-    cells = stored(layout.cells(kept, model))
-    tallied = profile.tally(cells)
-    cols = stored(profile.columns(tallied, p.gapThreshold))
-    centroid = profile.consensus(cols, p.consensusThreshold, p.keepGaps)
+    laid = stored(layout.placed(kept, model))
+    cols = stored(profile.columns(profile.tally(layout.cells_of_rows(laid)), p.gapThreshold))
+    found = stored(profile.families(cols, p.consensusThreshold, p.keepGaps))
+    centroid = found.drop("costs")
     plurality = profile.consensus(cols, 0.0, p.keepGaps)
-    parts = stored(profile.distance_parts(rows, profile.member_distances(cells, tallied, cols), centroid))
+    parts = stored(profile.distance_parts(rows, profile.member_distances(laid, found), centroid))
     distances = profile.distance_to_centroid(parts)
     medoids = profile.medoids(parts, centroid, trims)
     if p.trimStart or p.trimEnd:
         raw = layout.capped(layout.distinct_members(layout.chain_rows(members, values, chains, weights)))
-        untrimmed = profile.consensus(profile.columns(profile.tally(layout.cells(raw, model)), p.gapThreshold), p.consensusThreshold, p.keepGaps)
+        untrimmed = profile.consensus(profile.columns(profile.tally(layout.cells_of_rows(layout.placed(raw, model))), p.gapThreshold), p.consensusThreshold, p.keepGaps)
         untrimmed = untrimmed.unionByName(centroid)
     else:
         untrimmed = centroid.unionByName(centroid.withColumn("chain", F.substring("chain", len("trim_") + 1, F.lit(1 << 30))))

@@ -6,6 +6,8 @@ are set by a rule that SQL can state too: representatives of equal length and eq
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +26,13 @@ def _clones(spark: SparkSession, sf: str, chains: int = 1) -> DataFrame:
     return dedup.report_columns(tables.clone_table(spark, sf, chains), TRIM_START, TRIM_END)
 
 
-def _keyed(clones: DataFrame) -> DataFrame:
-    return dedup.with_key_sequence(tables.sequence_table(clones), TRIM_START, TRIM_END)
+def _keyed(keys: DataFrame) -> DataFrame:
+    return dedup.with_key_sequence(keys, TRIM_START, TRIM_END)
+
+
+def _words_of(spark: SparkSession, sf: str, chains: int = 1) -> DataFrame:
+    """clonotypeKey, sequence_*, clonotypeKeyLabel: one row a key."""
+    return tables.as_clones(tables.word_counts(spark, sf).select("word").distinct(), chains)
 
 
 def rule_clusters(reps: DataFrame) -> DataFrame:
@@ -36,31 +43,47 @@ def rule_clusters(reps: DataFrame) -> DataFrame:
 
 
 class Families:
-    """The common inputs of the queries on families."""
+    """The common inputs of the queries on families: words are counted once, and each key has one row of its own."""
 
-    def __init__(self, spark: SparkSession, sf: str, chains: int = 1):
-        self.clones = stored(_clones(spark, sf, chains))
+    def __init__(self, spark: SparkSession, sf: str, chains: int = 1, counted: DataFrame | None = None):
+        self.counted = stored(tables.word_counts(spark, sf)) if counted is None else counted
         self.trims = TRIMS[chains]
-        self.keyed = _keyed(self.clones)
-        self.mapping = dedup.dedup_mapping(self.keyed)
-        self.reps = dedup.representatives(self.keyed)
-        self.members = stored(rollup.expand(rule_clusters(self.reps), self.mapping))
-        self.values = dedup.one_row_a_key(self.clones, [*tables_chains(chains), *self.trims, "trimmed_fullSequence", "clonotypeKeyLabel"])
+        self.clones = tables.as_clones(self.counted, chains)
+        weight = exprs.guarded_weight(F.sum("abundance")).alias("weight")
+        words = tables.as_clones(self.counted.groupBy("word").agg(weight), chains)
+        self.values = dedup.report_columns(words, TRIM_START, TRIM_END)
+        self.keyed = _keyed(self.values)
+
+    @cached_property
+    def mapping(self) -> DataFrame:
+        return dedup.dedup_mapping(self.keyed)
+
+    @cached_property
+    def reps(self) -> DataFrame:
+        return dedup.representatives(self.keyed)
+
+    @cached_property
+    def members(self) -> DataFrame:
+        return stored(rollup.expand(rule_clusters(self.reps), self.mapping))
+
+    @cached_property
+    def wide(self) -> DataFrame:
+        """Members with all columns of their keys."""
+        return stored(self.members.join(self.values, "clonotypeKey"))
 
     def rows(self) -> DataFrame:
-        return layout.chain_rows(self.members, self.values, self.trims, dedup.clone_weights(self.clones, True))
+        return layout.member_rows(self.wide, self.trims)
+
+    def laid(self) -> DataFrame:
+        return layout.placed(layout.capped(layout.distinct_members(self.rows())), "stacked")
 
-    def profile(self):
-        rows = stored(self.rows())
-        cells = stored(layout.stacked(layout.capped(layout.distinct_members(rows))))
-        tallied = profile.tally(cells)
-        cols = stored(profile.columns(tallied, 0.5))
-        return rows, cells, tallied, cols
+    def columns(self, laid: DataFrame) -> DataFrame:
+        return profile.columns(profile.tally(layout.cells_of_rows(laid)), 0.5)
 
     def parts(self):
-        rows, cells, tallied, cols = self.profile()
-        lengths = profile.consensus(cols, 0.6)
-        return stored(profile.distance_parts(rows, profile.member_distances(cells, tallied, cols), lengths)), lengths
+        laid = stored(self.laid())
+        found = stored(profile.families(self.columns(laid), 0.6))
+        return profile.distance_parts(self.rows(), profile.member_distances(laid, found), found), found.drop("costs")
 
 
 def tables_chains(n: int) -> list[str]:
@@ -76,19 +99,19 @@ def clone_table(spark, sf):
 
 
 def seq_table(spark, sf):
-    return tables.sequence_table(tables.clone_table(spark, sf, 2))
+    return _words_of(spark, sf, 2).drop("clonotypeKeyLabel")
 
 
 def seq_trim(spark, sf):
-    s = tables.sequence_table(tables.clone_table(spark, sf))
+    s = _words_of(spark, sf)
     return s.select("clonotypeKey", exprs.trim_key(F.col("sequence_0"), 2, 5).alias("key_side"), exprs.trim_report(F.col("sequence_0"), 2, 5).alias("report_side"))
 
 
 def full_sequence_concat(spark, sf):
-    s = tables.sequence_table(tables.clone_table(spark, sf, 2))
-    each = dedup.with_key_sequence(s, 1, 1, per_chain=True).withColumnRenamed("sequence", "per_chain")
-    both = dedup.with_key_sequence(s, 1, 1).withColumnRenamed("sequence", "as_one")
-    return dedup.report_columns(s, 1, 1).select("clonotypeKey", "fullSequence", "trimmed_fullSequence").join(each, "clonotypeKey").join(both, "clonotypeKey")
+    s = _words_of(spark, sf, 2)
+    each, both = dedup.key_sequence(s, 1, 1, per_chain=True), dedup.key_sequence(s, 1, 1)
+    full = dedup.report_columns(s.withColumns({"per_chain": each, "as_one": both}), 1, 1)
+    return full.select("clonotypeKey", "fullSequence", "trimmed_fullSequence", "per_chain", "as_one")
 
 
 def cluster_label_regex(spark, sf):
@@ -97,16 +120,16 @@ def cluster_label_regex(spark, sf):
 
 
 def sanitize_sequences(spark, sf):
-    s = tables.sequence_table(tables.clone_table(spark, sf))
+    s = _words_of(spark, sf)
     return s.select("clonotypeKey", exprs.sanitize(F.col("sequence_0")).alias("sanitized"))
 
 
 def dedup_mapping(spark, sf):
-    return dedup.dedup_mapping(_keyed(tables.clone_table(spark, sf)))
+    return dedup.dedup_mapping(_keyed(_words_of(spark, sf)))
 
 
 def fasta_diagnostics(spark, sf):
-    return dedup.diagnostics(_keyed(tables.clone_table(spark, sf)))
+    return dedup.diagnostics(_keyed(_words_of(spark, sf)))
 
 
 def input_empty_flag(spark, sf):
@@ -158,13 +181,14 @@ def _top(f: Families) -> DataFrame:
 
 def top_clusters(spark, sf):
     f = Families(spark, sf)
-    per = rollup.abundances_per_cluster(rollup.abundances(f.clones, f.members))
+    per = stored(rollup.abundances_per_cluster(rollup.abundances(f.clones, f.members)))
     return rollup.restrict(per.select("clusterId", "abundance_per_cluster"), rollup.top_clusters(per))
 
 
 def abundances_top(spark, sf):
     f = Families(spark, sf)
-    return rollup.restrict(rollup.abundances(f.clones, f.members), _top(f)).withColumn("abundance_normalized", _r("abundance_normalized"))
+    by_sample = stored(rollup.abundances(f.clones, f.members))
+    return rollup.restrict(by_sample, rollup.top_clusters(rollup.abundances_per_cluster(by_sample))).withColumn("abundance_normalized", _r("abundance_normalized"))
 
 
 def cluster_radius_top(spark, sf):
@@ -178,10 +202,6 @@ def clone_to_cluster(spark, sf):
     return rollup.with_label(f.members, f.values).withColumn("link", F.lit(1).cast("long"))
 
 
-def _rep_seqs(f: Families) -> DataFrame:
-    return f.reps.select(F.col("clonotypeKey").alias("key"), F.col("sequence").alias("seq"))
-
-
 def levenshtein_pairs(spark, sf):
     """All pairs of representatives within the identity."""
     pairs = candidates.similar_pairs(_words(spark, sf), IDENTITY)
@@ -190,13 +210,13 @@ def levenshtein_pairs(spark, sf):
 
 def _words(spark, sf) -> DataFrame:
     """key, seq: one key for each distinct sanitised word (DuckDB's levenshtein() counts bytes)."""
-    words = tables.sequence_table(tables.clone_table(spark, sf)).select("clonotypeKey", exprs.sanitize(F.col("sequence_0")).alias("seq"))
+    words = _words_of(spark, sf).select("clonotypeKey", exprs.sanitize(F.col("sequence_0")).alias("seq"))
     return words.groupBy("seq").agg(F.min("clonotypeKey").alias("key")).select("key", "seq")
 
 
 def _full_words(spark, sf) -> DataFrame:
     """key, seq: every word as it is, for queries that no SQL holds to sanitised words."""
-    return tables.sequence_table(tables.clone_table(spark, sf)).select(F.col("clonotypeKey").alias("key"), F.col("sequence_0").alias("seq"))
+    return _words_of(spark, sf).select(F.col("clonotypeKey").alias("key"), F.col("sequence_0").alias("seq"))
 
 
 def connected_components(spark, sf):
@@ -248,7 +268,7 @@ def capped_members(spark, sf):
 
 
 def column_tally(spark, sf):
-    _, _, tallied, _ = Families(spark, sf).profile()
+    tallied = profile.tally(layout.cells_of_rows(Families(spark, sf).laid()))
     return tallied.withColumn("pos", F.col("pos").cast("long"))
 
 
@@ -264,13 +284,13 @@ def _mixed_members(spark, sf) -> tuple[Families, DataFrame]:
     rule = F.left("sequence", F.lit(5))
     ids = f.reps.groupBy(rule.alias("p")).agg(F.min("clonotypeKey").alias("clusterId"))
     mixed = f.reps.withColumn("p", rule).join(ids, "p").select("clusterId", "clonotypeKey")
-    f.members = stored(rollup.expand(mixed, f.mapping))
+    f.__dict__["members"] = stored(rollup.expand(mixed, f.mapping))
     return f, layout.capped(layout.distinct_members(f.rows()))
 
 
 def _mixed_cells(spark, sf) -> DataFrame:
     _, members = _mixed_members(spark, sf)
-    return stored(layout.cells(members, "ungapped"))
+    return layout.cells_of_rows(layout.placed(members, "ungapped"))
 
 
 def greedy_layout(spark, sf):
@@ -289,13 +309,13 @@ def gapped_layout(spark, sf):
 
 
 def consensus_centroid(spark, sf):
-    _, _, _, cols = Families(spark, sf, 2).profile()
-    return profile.consensus(cols, 0.6)
+    f = Families(spark, sf, 2)
+    return profile.consensus(f.columns(f.laid()), 0.6)
 
 
 def plurality_centroid(spark, sf):
-    _, _, _, cols = Families(spark, sf, 2).profile()
-    out = profile.consensus(cols, 0.0)
+    f = Families(spark, sf, 2)
+    out = profile.consensus(f.columns(f.laid()), 0.0)
     return out.select("clusterId", "chain", F.col("consensus").alias("plurality"), exprs.residues(F.col("consensus")).alias("plurality_length"))
 
 
@@ -318,9 +338,14 @@ def medoid_reference(spark, sf):
 
 
 def _plurality(f: Families) -> DataFrame:
-    _, _, _, cols = f.profile()
-    own = rollup.with_label(f.members, f.values).select("clusterId", "clusterLabel").distinct()
-    return analysis.plurality_relation(profile.consensus(cols, 0.0), own, f.trims, True)
+    plurality = profile.consensus(f.columns(f.laid()), 0.0)
+    return analysis.plurality_relation(plurality, _own(f).select("clusterId", "clusterLabel"), f.trims, True)
+
+
+def _own(f: Families) -> DataFrame:
+    """clusterId, size, clusterLabel: one row a cluster."""
+    sizes = f.members.groupBy("clusterId").agg(F.count("clonotypeKey").alias("size"))
+    return rollup.with_label(sizes, f.values)
 
 
 def peptide_label(spark, sf):
@@ -329,10 +354,14 @@ def peptide_label(spark, sf):
 
 def cluster_to_seq(spark, sf):
     """Representatives' sequences, consensus and medoids, one row a cluster."""
-    f = Families(spark, sf, 2)
+    return _cluster_to_seq(Families(spark, sf, 2))
+
+
+def _cluster_to_seq(f: Families) -> DataFrame:
     parts, lengths = f.parts()
+    parts = stored(parts)
     wide = analysis.spread(lengths, f.trims, "centroid_").withColumn("centroid_trimmed_fullSequence", F.concat_ws("====", *[f"centroid_{c}" for c in f.trims]))
-    own = rollup.with_label(rollup.with_size(f.members), f.values).select("clusterId", "clusterLabel", "size").distinct()
+    own = _own(f)
     reps = f.values.select(F.col("clonotypeKey").alias("clusterId"), *tables_chains(2), *f.trims, "trimmed_fullSequence")
     ref = profile.medoids(parts, lengths, f.trims)
     names = [*tables_chains(2), *f.trims, "trimmed_fullSequence"]
@@ -341,7 +370,9 @@ def cluster_to_seq(spark, sf):
 
 
 def cluster_to_seq_top(spark, sf):
-    return rollup.restrict(cluster_to_seq(spark, sf), _top(Families(spark, sf)))
+    """The largest clusters are those of the families of whole words."""
+    f = Families(spark, sf, 2)
+    return rollup.restrict(_cluster_to_seq(f), _top(Families(spark, sf, 1, f.counted)))
 
 
 def trimmed_sequences(spark, sf):
@@ -362,8 +393,9 @@ def cluster_size_histogram(spark, sf):
 
 def bubble_view(spark, sf):
     f = Families(spark, sf)
-    by_sample = rollup.restrict(rollup.abundances(f.clones, f.members), _top(f)).select("sampleId", "clusterId", "abundance")
-    return views.bubble(by_sample, rollup.with_size(f.members))
+    by_sample = stored(rollup.abundances(f.clones, f.members))
+    top = rollup.top_clusters(rollup.abundances_per_cluster(by_sample))
+    return views.bubble(rollup.restrict(by_sample, top).select("sampleId", "clusterId", "abundance"), _own(f))
 
 
 def msa_view(spark, sf):
@@ -383,7 +415,7 @@ def clusters_view(spark, sf):
     """The clusters table: labels, radius and abundance."""
     f = Families(spark, sf, 2)
     parts, _ = f.parts()
-    own = rollup.with_label(rollup.with_size(f.members), f.values).select("clusterId", "clusterLabel", "size").distinct()
+    own = _own(f)
     per = rollup.abundances_per_cluster(rollup.abundances(f.clones, f.members)).withColumn("abundance_fraction_per_cluster", _r("abundance_fraction_per_cluster"))
     return views.clusters_table(own, profile.cluster_radius(profile.distance_to_centroid(parts)), per)
 

@@ -15,19 +15,37 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def clone_table(spark: SparkSession, sf_dir: str, chains: int = 1) -> DataFrame:
-    """sampleId, clonotypeKey, abundance, sequence_*, clonotypeKeyLabel."""
+def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """sampleId, word, abundance.
+
+    A small table that is read in fewer pieces than there are cores is dealt out before its texts are split.
+    """
     docs = read(spark, sf_dir, "documents").select("lang", "text")
+    cores = spark.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() < cores:
+        docs = docs.repartition(cores)
     words = docs.select(F.coalesce("lang", F.lit("none")).alias("sampleId"), F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).filter("word <> ''")
-    counted = words.groupBy("sampleId", "word").agg(F.count(F.lit(1)).alias("abundance"))
-    half = F.floor((F.length("word") + 1) / 2).cast("int")
-    parts = [F.col("word")] if chains == 1 else [F.left("word", half), F.substring("word", half + 1, F.lit(1 << 30))]
+    return words.groupBy("sampleId", "word").agg(F.count(F.lit(1)).alias("abundance"))
+
+
+def as_clones(counted: DataFrame, chains: int = 1) -> DataFrame:
+    """clonotypeKey, sequence_* and clonotypeKeyLabel in place of the word; other columns stay."""
+    word = F.col("word")
+    half = F.floor((F.length(word) + 1) / 2).cast("int")
+    parts = [word] if chains == 1 else [F.left(word, half), F.substring(word, half + 1, F.lit(1 << 30))]
+    sample = [c for c in counted.columns if c == "sampleId"]
+    rest = [c for c in counted.columns if c not in ("sampleId", "word")]
     return counted.select(
-        "sampleId", F.concat(F.lit("k-"), "word").alias("clonotypeKey"), "abundance", *[p.alias(f"sequence_{k}") for k, p in enumerate(parts)],
-        F.concat(F.when(F.col("word") < "m", "C-").otherwise("P-"), "word").alias("clonotypeKeyLabel"),
+        *sample, F.concat(F.lit("k-"), word).alias("clonotypeKey"), *rest, *[p.alias(f"sequence_{k}") for k, p in enumerate(parts)],
+        F.concat(F.when(word < "m", "C-").otherwise("P-"), word).alias("clonotypeKeyLabel"),
     )
 
 
+def clone_table(spark: SparkSession, sf_dir: str, chains: int = 1) -> DataFrame:
+    """sampleId, clonotypeKey, abundance, sequence_*, clonotypeKeyLabel."""
+    return as_clones(word_counts(spark, sf_dir), chains)
+
+
 def sequence_table(clones: DataFrame) -> DataFrame:
     """clonotypeKey, sequence_*: one row a key."""
     chains = [c for c in clones.columns if c.startswith("sequence_")]

@@ -77,7 +77,9 @@ def test_distances(spark):
     cells = _cells(spark, msas)
     tallied = profile.tally(cells)
     cols = profile.columns(tallied)
-    d = {(r.clusterId, r.seq): round(r.d, 9) for r in profile.member_distances(cells, tallied, cols).collect()}
+    rows = [(f"c{i}", "x", str(k), row) for i, (seqs, _) in enumerate(msas) for k, row in enumerate(seqs)]
+    laid = spark.createDataFrame(rows, "clusterId string, chain string, seq string, row string")
+    d = {(r.clusterId, r.seq): round(r.d, 9) for r in profile.member_distances(laid, profile.families(cols)).collect()}
     assert d["c0", "0"] == 0.3 and d["c0", "9"] == 0.7 and d["c1", "0"] == 0.25 and d["c1", "3"] == 0.75
     assert {r.clusterId: r.l_cons for r in profile.consensus(cols).collect()}["c2"] == 2
 
@@ -87,17 +89,15 @@ def test_medoid_and_missing_chain(spark):
     values = spark.createDataFrame([("a", "KKK", "AA"), ("b", "KKR", "AA"), ("c", "WWW", "AA"), ("d", "KKK", None)], "clonotypeKey string, t0 string, t1 string")
     weights = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("c", 1.0), ("d", 9.0)], "clonotypeKey string, weight double")
     rows = layout.chain_rows(members, values, ["t0", "t1"], weights)
-    cells = layout.stacked(layout.capped(layout.distinct_members(rows)))
-    tallied = profile.tally(cells)
-    cols = profile.columns(tallied)
-    lengths = profile.consensus(cols)
-    parts = profile.distance_parts(rows, profile.member_distances(cells, tallied, cols), lengths)
+    laid = layout.placed(layout.capped(layout.distinct_members(rows)), "stacked")
+    lengths = profile.families(profile.columns(profile.tally(layout.cells_of_rows(laid))))
+    parts = profile.distance_parts(rows, profile.member_distances(laid, lengths), lengths)
     # d is nearest but lacks a chain; of the others a is
     assert profile.medoids(parts, lengths, ["t0", "t1"]).first().medoid_key == "a"
     dist = {r.clonotypeKey: r.distanceToCentroid for r in profile.distance_to_centroid(parts).collect()}
     assert 0 <= dist["d"] < dist["b"] < dist["c"] <= 1
-    capped = layout.capped(layout.distinct_members(rows), 1)
-    left_out = profile.distance_parts(rows, profile.member_distances(layout.stacked(capped), tallied, cols), lengths)
+    capped = layout.placed(layout.capped(layout.distinct_members(rows), 1), "stacked")
+    left_out = profile.distance_parts(rows, profile.member_distances(capped, lengths), lengths)
     assert {r.clonotypeKey: r.sum_d for r in left_out.collect()}["c"] >= 3.0
 
 
@@ -144,7 +144,7 @@ def test_layout_offsets(spark):
     assert layout.place_gapped(["ACDEF", "ACDEG", "ACEF"], [3, 2, 1]) == ["ACDEF", "ACDEG", "AC-EF"]
     rows = [("f", "x", "ABCD", 2.0), ("f", "x", "BCD", 1.0), ("g", "x", "AB", 1.0), ("g", "x", "AC", 1.0)]
     members = layout.capped(spark.createDataFrame(rows, "clusterId string, chain string, seq string, weight double"))
-    got = layout.cells(members, "ungapped").groupBy("clusterId", "seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "residue"))), lambda x: x["residue"]), "").alias("row"))
+    got = layout.cells_of_rows(layout.placed(members, "ungapped")).groupBy("clusterId", "seq").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "residue"))), lambda x: x["residue"]), "").alias("row"))
     assert {(r.clusterId, r.seq): r.row for r in got.collect()} == {("f", "ABCD"): "ABCD", ("f", "BCD"): "-BCD", ("g", "AB"): "AB", ("g", "AC"): "AC"}
 
 
