@@ -1,19 +1,23 @@
 """Line de-duplication by a deletion-neighbourhood join.
 
-Lines are equal if their lower-cased words are, however much white space is around them; near lines are compared as
-sequences of words, where the edit distance is Levenshtein's over words and the bound is one. A line goes if an equal line, or one
-within the bound, comes earlier; the earliest stays. Earlier means by doc_id
-(null first), then by a hash of the text, then by line number, over the whole table. Lines of fewer than MIN_WORDS words
-go only if an equal line comes earlier, as one word is too much of them. Blank lines always stay.
-
-Each line has deletion variants: it without its word i. Variants of a substitution are keyed by words, i and length, so
+Lines are equal if their lower-cased words are, however much white space is around them. Near lines are within one edit
+(Levenshtein's) of each other, and one edit has to be a tenth of the line at most: lines of MIN_UNITS words or more are
+compared word by word, others character by character, as code points, which also serves scripts that put no spaces
+between words. Both lines have to be of the same kind and of MIN_UNITS units or more; lines compared by characters have
+to hold the same digits too, as another number says another thing. A line goes if an equal line, or a near one, comes
+earlier; the earliest stays. Earlier means by doc_id (null first), then by a hash of the text, then by line number, over
+the whole table. Lines of fewer than ten characters have no near lines, as an edit is too much of them; they go if an
+equal line comes earlier. Blank lines always stay.
+
+Each line has deletion variants: it without its unit i. Variants of a substitution are keyed by units, i and length, so
 all lines with one key are within the bound of each other; a variant of an insertion is keyed as the shorter line, with
 the shorter line itself. Hence the earliest line of each key is all that its other lines have to be compared with, and
-groups need no pairs, however large. What is found is verified word by word. Lines within the bound share their first
+groups need no pairs, however large. What is found is verified unit by unit. Lines within the bound share their first
 or their last half; so only lines that share a half with another line emit variants, and only of the other half.
 
 Nulls: a null text stays null and has no lines. Equal rows are one document: they get the same result. Empty lines and
-texts stay. An empty table gives an empty result. Extra columns are kept, but `removed` and `n_lines` are replaced.
+texts stay, and long lines and texts are taken whole: a line emits as many variants as it has units, and only if it
+shares a half with another line. An empty table gives an empty result. Extra columns are kept, but `removed` and `n_lines` are replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import Window as W
 
 from .common import materialize, pack, table, unpack
 
-MIN_WORDS = 10
+MIN_UNITS = 10
 #: Survivors of the first half are broadcast up to this many rows (about 50 bytes each), else joined by a shuffle.
 BROADCAST_ROWS = 300_000
 _MASK = (1 << 40) - 1
@@ -42,6 +46,17 @@ def line_words(key: Column) -> Column:
     return F.split(key, r"\s+")
 
 
+def line_units(key: Column) -> Column:
+    """The words of a line of MIN_UNITS words or more, else its characters."""
+    words = line_words(key)
+    return F.when(F.size(words) >= MIN_UNITS, words).otherwise(F.regexp_extract_all(key, F.lit("(?s)."), F.lit(0)))
+
+
+def line_kind(key: Column, words: Column) -> Column:
+    """What near lines have in common: 0 for lines of words, a hash of the digits for lines of characters."""
+    return F.when(F.size(words) >= MIN_UNITS, F.lit(0).cast("long")).otherwise(F.xxhash64(F.regexp_replace(key, "[^0-9]", "")))
+
+
 def lines(docs: DataFrame) -> DataFrame:
     """doc_id, tie, line_no, key, k1, k2 (128-bit hash of the key), without blank lines."""
     each = docs.select("doc_id", F.xxhash64("text").alias("tie"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -49,18 +64,19 @@ def lines(docs: DataFrame) -> DataFrame:
     return rows.withColumns({"k1": F.xxhash64("key"), "k2": F.xxhash64(F.lit(7), "key")})
 
 
-def _halves(words: Column) -> Column:
+def _halves(kind: Column, n: Column, part) -> Column:
     """The keys of both halves, for partners of the same length or shorter (length n) and for longer ones (n + 1).
 
-    For lengths m and m - 1 the first m div 2 words, or else the last m - m div 2, are equal.
+    For lengths m and m - 1 the first m div 2 units, or else the last m - m div 2, are equal. part(begin, length) gives
+    units from `begin` (1 ..).
     """
-    n, out = F.size(words), []
+    out = []
     for shift in (0, 1):
         m = n + shift
         f = F.floor(m / 2).cast("int")
         back = m - f
-        for side, part in ((0, F.slice(words, 1, f)), (1, F.slice(words, n - back + 1, back))):
-            out.append(F.struct(F.lit(shift).alias("shift"), F.lit(side).alias("side"), F.xxhash64(m, F.lit(side), part).alias("half")))
+        for side, half in ((0, part(F.lit(1), f)), (1, part(n - back + 1, back))):
+            out.append(F.struct(F.lit(shift).alias("shift"), F.lit(side).alias("side"), F.xxhash64(kind, m, F.lit(side), half).alias("half")))
     return F.array(*out)
 
 
@@ -90,6 +106,7 @@ def _open_lines(distinct: DataFrame) -> DataFrame:
 def _variants(open_lines: DataFrame) -> DataFrame:
     """v1, v2 (key of a variant), role, o (order and key of the line)."""
     n, words = F.size("words"), F.col("words")
+    kind = F.col("kind")
 
     def sums(seed: int) -> Column:
         return F.transform(words, lambda w, j: _at(w, j, seed))
@@ -101,18 +118,18 @@ def _variants(open_lines: DataFrame) -> DataFrame:
         F.when(F.array_contains("kinds", "sub_left"), F.sequence(F.lit(0), F.col("f") - 1)).otherwise(F.array().cast("array<int>")),
         F.when(F.array_contains("kinds", "sub_right"), F.sequence(F.col("f"), F.col("n") - 1)).otherwise(F.array().cast("array<int>")),
     )
-    sub = base.select("o", "n", "h1", "h2", "t1", "t2", F.explode(places).alias("i")).select(
-        F.xxhash64(F.lit(0), "n", "i", F.col("t1") - F.get("h1", F.col("i"))).alias("v1"),
-        F.xxhash64(F.lit(1), "n", "i", F.col("t2") - F.get("h2", F.col("i"))).alias("v2"),
+    sub = base.select("o", "kind", "n", "h1", "h2", "t1", "t2", F.explode(places).alias("i")).select(
+        F.xxhash64(F.lit(0), kind, "n", "i", F.col("t1") - F.get("h1", F.col("i"))).alias("v1"),
+        F.xxhash64(F.lit(1), kind, "n", "i", F.col("t2") - F.get("h2", F.col("i"))).alias("v2"),
         F.lit("sub").alias("role"),
         "o",
     )
-    key = [F.xxhash64(F.lit(2), "m", "d1").alias("v1"), F.xxhash64(F.lit(3), "m", "d2").alias("v2")]
-    full = base.filter(F.array_contains("kinds", "full")).select(F.col("n").alias("m"), F.col("t1").alias("d1"), F.col("t2").alias("d2"), "o")
+    key = [F.xxhash64(F.lit(2), kind, "m", "d1").alias("v1"), F.xxhash64(F.lit(3), kind, "m", "d2").alias("v2")]
+    full = base.filter(F.array_contains("kinds", "full")).select("kind", F.col("n").alias("m"), F.col("t1").alias("d1"), F.col("t2").alias("d2"), "o")
     full = full.select(*key, F.lit("full").alias("role"), "o")
-    # running sums, as words behind the deleted one move up by one place
+    # running sums, as units behind the deleted one move up by one place
     gone = open_lines.filter(F.array_contains("kinds", "del_left") | F.array_contains("kinds", "del_right"))
-    each = gone.select("o", "kinds", F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
+    each = gone.select("o", "kind", "kinds", F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
     line = W.partitionBy("o").orderBy("i")
     before, behind = line.rowsBetween(W.unboundedPreceding, -1), line.rowsBetween(1, W.unboundedFollowing)
     d = {
@@ -126,7 +143,7 @@ def _variants(open_lines: DataFrame) -> DataFrame:
 
 
 def within_one(a: Column, b: Column) -> Column:
-    """Whether two arrays of words differ by one substitution, insertion or deletion at most."""
+    """Whether two arrays of units differ by one substitution, insertion or deletion at most."""
 
     def longer(x: Column, y: Column) -> Column:
         apart = F.transform(F.sequence(F.lit(1), F.size(x)), lambda i: (i > F.size(y)) | (F.try_element_at(x, i) != F.try_element_at(y, i)))
@@ -153,7 +170,9 @@ def _later_neighbours(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     joined = texts.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
     split = joined.withColumn("lines", F.split("text", "\n")).select("lines", F.explode("here").alias("x"))
     order = F.struct("x.first.doc_id", "x.first.tie", "x.first.line_no", "x.k1", "x.k2")
-    own = split.select(order.alias("o"), "x.kinds", line_words(line_key(F.get("lines", F.col("x.line_no")))).alias("words")).dropDuplicates(["o"])
+    # explode() makes the key a column that is worked out once
+    keyed = split.select(order.alias("o"), "x.kinds", F.explode(F.array(line_key(F.get("lines", F.col("x.line_no"))))).alias("key"))
+    own = keyed.select("o", "kinds", line_kind(F.col("key"), line_words(F.col("key"))).alias("kind"), line_units(F.col("key")).alias("words")).dropDuplicates(["o"])
     own = materialize(own, "open-words")
     variants = _variants(own)
     earliest = variants.groupBy("v1", "v2").agg(
@@ -175,7 +194,11 @@ def removals(docs: DataFrame) -> DataFrame:
     each = lines(docs)
     # explode() makes the words a column that is worked out once
     worded = each.withColumn("words", F.explode(F.array(line_words(F.col("key")))))
-    halves = F.when(F.size("words") >= MIN_WORDS, _halves(F.col("words")))
+    key, words = F.col("key"), F.col("words")
+    kind = line_kind(key, words)
+    halves = F.when(F.size("words") >= MIN_UNITS, _halves(kind, F.size("words"), lambda at, n: F.slice(words, at, n))).when(
+        F.length("key") >= MIN_UNITS, _halves(kind, F.length("key"), lambda at, n: F.substring(key, at, n))
+    )
     place = F.struct("doc_id", "tie", "line_no")
     distinct = worded.select("k1", "k2", place.alias("place"), halves.alias("halves")).groupBy("k1", "k2").agg(
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves")
@@ -212,13 +235,16 @@ WITH each AS (
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)
 ), firsts AS (
   SELECT k, string_split_regex(k, '\\s+') AS ws, min((doc_id, line_no)) AS p FROM each WHERE k <> '' GROUP BY k
+), units AS (
+  SELECT k, p, '' AS kind, ws FROM firsts WHERE len(ws) >= {MIN_UNITS}
+  UNION ALL SELECT k, p, 'c' || regexp_replace(k, '[^0-9]', '', 'g'), regexp_extract_all(k, '(?s).') FROM firsts WHERE len(ws) < {MIN_UNITS} AND length(k) >= {MIN_UNITS}
 ), longish AS (
-  SELECT row_number() OVER () AS r, k, ws, p, len(ws) AS n FROM firsts WHERE len(ws) >= {MIN_WORDS}
+  SELECT row_number() OVER () AS r, k, kind, ws, p, len(ws) AS n FROM units
 ), halves AS (
-  SELECT r, m, 0 AS side, list_slice(ws, 1, m // 2) AS h FROM (SELECT *, unnest([n, n + 1]) AS m FROM longish)
-  UNION ALL SELECT r, m, 1, list_slice(ws, n - (m - m // 2) + 1, n) FROM (SELECT *, unnest([n, n + 1]) AS m FROM longish)
+  SELECT r, kind, m, 0 AS side, list_slice(ws, 1, m // 2) AS h FROM (SELECT *, unnest([n, n + 1]) AS m FROM longish)
+  UNION ALL SELECT r, kind, m, 1, list_slice(ws, n - (m - m // 2) + 1, n) FROM (SELECT *, unnest([n, n + 1]) AS m FROM longish)
 ), pairs AS (
-  SELECT DISTINCT a.r AS x, b.r AS y FROM halves a JOIN halves b ON a.m = b.m AND a.side = b.side AND a.h = b.h AND a.r <> b.r
+  SELECT DISTINCT a.r AS x, b.r AS y FROM halves a JOIN halves b ON a.kind = b.kind AND a.m = b.m AND a.side = b.side AND a.h = b.h AND a.r <> b.r
 ), near AS (
   SELECT DISTINCT x.k FROM pairs JOIN longish x ON x.r = pairs.x JOIN longish y ON y.r = pairs.y
   WHERE y.p < x.p AND CASE
