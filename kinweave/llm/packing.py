@@ -1,24 +1,25 @@
 """Packing by lexical retrieval: sequences of neighbouring documents.
 
 Documents are dealt to shards of about SHARD_BYTES of text; which shard follows from a min-hash of a document's words,
-so that like documents tend to meet, and large groups of them are split by a hash of the row. Each shard holds a BM25
-inverted index (hashed lower-cased words; document frequencies and mean length from all documents). The first unused
+so that like documents tend to meet, and large groups of them are split by a hash of the row. A document counts for
+OVERHEAD bytes beside its text, which bounds the documents of a shard. Each shard holds a BM25 inverted index (hashed lower-cased words; document frequencies and mean length from all documents). The first unused
 document is a seed: it fills windows of `window` tokens, and into the room of its last one go its best unused
 neighbours that fit in whole, by score; what room is left is filled by cutting the best neighbour, whose rest is the
 next seed. Only the last sequence of a shard can be short.
 
-Tokens: byte-level BPE ids, then id END. Special tokens' strings in a text are ordinary text. The encoder is built from
-the vocabulary's file of ranks, which gives the same ids as the vocabulary's other file does in `tokenizers`, at a
-quarter of the time.
+Tokens: the ids that `tokenizers` gives for the vocabulary file with add_special_tokens=False, then id END. As there, the
+string of an added token in a text is that token. The encoder is built from the vocabulary itself, its added tokens
+included, and takes a quarter of the time.
 
 Nulls: a null text counts as empty and gives the id END alone; a null doc_id is kept. Repeated rows are packed each.
-Ties in score go to the row that comes first by doc_id and hash of the text. Very long texts fill many windows. An empty
-table gives no pieces. Columns beside doc_id and text are ignored.
+Ties in score go to the row that comes first by doc_id and hash of the text. A very long text is a shard of its own,
+fills many windows, and is hashed in chunks; its ids are held whole. An empty table gives no pieces. Columns beside doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
-import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,30 +31,45 @@ from pyspark.sql import functions as F
 from .common import table
 from .shingles import blocks, mix, word_hashes
 
-WINDOW, END, SHARD_BYTES = 2048, 1, 4 << 20
+WINDOW, END, SHARD_BYTES, OVERHEAD = 2048, 1, 4 << 20, 256
 #: Buckets of hashed words, and of the min-hashes by which shards are planned; both tables are bounded by these.
 TERMS, ROUTES = 1 << 16, 1 << 16
 K1, B = 1.2, 0.75
 #: Words are hashed in blocks of this many bytes, which stay in the cache.
 BLOCK = 1 << 19
+#: Characters that are encoded at once.
+PART = 1 << 18
+_BETWEEN = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
 _U = np.uint64
 _ENCODERS: dict[str, object] = {}
 
 
 def encoder(path: str):
-    """The encoder of a vocabulary file of ranks, made once a process."""
+    """The encoder of a byte-level BPE vocabulary in the format of `tokenizers`, made once a process."""
     if path not in _ENCODERS:
         import public_tokenizers
         import tiktoken
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        _ENCODERS[path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        with open(path, encoding="utf-8") as file:
+            told = json.load(file)
+        added = {t["content"]: t["id"] for t in told["added_tokens"]}
+        # the vocabulary writes a byte that isn't printable as the next free code point from 256 on
+        printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        byte = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in printable)}
+        ranks = {bytes(byte[c] for c in token): rank for token, rank in told["model"]["vocab"].items() if token not in added}
+        _ENCODERS[path] = tiktoken.Encoding("vocabulary", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
     return _ENCODERS[path]
 
 
 def token_ids(text: str, path: str) -> np.ndarray:
-    return np.array([*encoder(path).encode_ordinary(text), END], dtype=np.uint32)
+    """The ids of a text and END. Long texts are encoded in parts, cut before a blank between letters, where no token goes on."""
+    made, own, at = encoder(path), [], 0
+    while at < len(text):
+        cut = _BETWEEN.search(text, at + PART) if len(text) - at > PART else None
+        end = cut.start() if cut else len(text)
+        own.append(np.array(made.encode(text[at:end], allowed_special="all"), dtype=np.uint32))
+        at = end
+    return np.concatenate([*own, np.array([END], dtype=np.uint32)])
 
 
 def _words(block: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,7 +91,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, block in blocks(batch.column("text").to_pylist(), BLOCK):
             doc, bucket, route = _words(block)
             frequency += np.bincount(np.unique(doc * TERMS + bucket) % TERMS, minlength=TERMS)
-            np.add.at(route_bytes, route, [len(t) + 1 for t in block])
+            np.add.at(route_bytes, route, [len(t) + OVERHEAD for t in block])
             totals += (len(block), len(doc))
     for kind, counts in enumerate((frequency, route_bytes, totals)):
         at = np.flatnonzero(counts)
@@ -168,10 +184,10 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDOW, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Pieces of all documents, with their ids (little-endian unsigned 32-bit); path: the vocabulary's file of ranks."""
+    """Pieces of all documents, with their ids (little-endian unsigned 32-bit); path: the vocabulary."""
     import public_tokenizers
 
-    path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    path = path or public_tokenizers.path("byte_bpe_50k.json")
     spark = docs.sparkSession
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     counts = rows.select("text").mapInArrow(_statistics, "kind int, key int, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")).toArrow()

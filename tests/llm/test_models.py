@@ -167,7 +167,6 @@ def test_packing(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").limit(60)
     rows = [tuple(r) for r in docs.collect()] + EDGES[:-1] + [(950, "<|endoftext|> ¡é " * 1500)]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     ids = {d: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4") for d, t in rows}
     out = packing.pack_documents(_docs(spark, rows, extra=True), shard_bytes=40_000).collect()
     by, sequences = {}, {}
@@ -187,6 +186,34 @@ def test_packing(spark):
     assert packing.pack_documents(_docs(spark, [])).count() == 0
 
 
+def test_token_ids(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    rng = random.Random(8)
+    parts = [*"ab  \n\t's\u00e9\u6f22\U0001f6000123.,!", "<|endoftext|>", "<|endoftext", " don't", "word word"]
+    texts = ["hi <|endoftext|> there", *("".join(rng.choices(parts, k=rng.randint(0, 60))) for _ in range(500))]
+    for size in (5, 1 << 18):
+        monkeypatch.setattr(packing, "PART", size)
+        assert all(packing.token_ids(t, path).tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts)
+
+
+def test_retrieval_is_bm25():
+    """Scores of a shard against the formula, term by term."""
+    rng = np.random.default_rng(4)
+    words = [rng.integers(0, 40, rng.integers(0, 30)) for _ in range(60)]
+    frequency = np.zeros(packing.TERMS)
+    for w in words:
+        frequency[np.unique(w)] += 1
+    idf, mean = np.log1p((60 - frequency + 0.5) / (frequency + 0.5)), float(np.mean([len(w) for w in words]))
+    index = packing.Index(words, idf, mean)
+    for seed in range(60):
+        want = [
+            sum(idf[t] * c * (packing.K1 + 1) / (c + packing.K1 * (1 - packing.B + packing.B * len(w) / mean)) for t in set(words[seed].tolist()) if (c := int((w == t).sum())))
+            for w in words
+        ]
+        assert np.allclose(index.scores(seed), want)
+
+
 def test_retrieval_order():
     words = [np.array(w) for w in ([1, 2, 3], [9, 9], [2, 3, 4], [5])]
     index = packing.Index(words, np.ones(packing.TERMS), 2.0)
