@@ -18,22 +18,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; one of our own only where that setting is absent (tests, local mode)."""
+    """The folder of spark.checkpoint.dir; one of our own only where that setting is absent and all runs on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 
+#: Folders of the tables stored so far; drop_stored() shortens the list.
+_STORED: list[str] = []
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage ends here and lost executors cost nothing."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/kinweave-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _STORED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def n_stored() -> int:
+    return len(_STORED)
+
+
+def drop_stored(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Delete the tables stored after the first `since`, but for the last `keep`. Results that read them must be used up."""
+    end = len(_STORED) - keep
+    for path in _STORED[since:end]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    del _STORED[since:end]
+
+
 def div(a: Column, b: Column | int) -> Column:
     """Integral division."""
     return F.call_function("div", a, F.lit(b) if isinstance(b, int) else b)

@@ -7,16 +7,17 @@ likelihood (BIC): starting from the best single language, the language that help
 likelihood gains more than its penalty. The prediction is the language of the largest share, the score that share times
 the posterior weight of the leading language alone against its nearest rival, so that it lies in 0 to 1.
 
-The model has BUCKETS x languages log-probabilities whatever the corpus size; its tables are shared with the tasks only
-after the number of languages has been checked against MAX_LANGUAGES.
+The model has BUCKETS x languages probabilities whatever the corpus size; its table is shared with the tasks only after
+the number of languages has been checked against `most` of train() (400 languages are 105 MB); more are refused.
 
 Nulls: a null text, and one without any letter, is `und` with score 0 and takes no part in training, nor does a null
 language. Ties go to the alphabetically first language. Without training documents all is `und`. Very long texts are
-taken whole; counts weigh by occurrence. Extra columns are kept by identify() except those it adds.
+taken whole, in parts cut between words, which changes no trigram; counts weigh by occurrence. Extra columns are kept by identify() except those it adds.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ from .common import pack, table, unpack
 from .shingles import mix
 
 BUCKETS = 1 << 15
-MAX_LANGUAGES = 400
+MOST_LANGUAGES = 400
 #: EM rounds, and the part of a trigram's probability that is spread evenly over all buckets.
 ROUNDS, SMOOTHING = 12, 0.5
 #: Texts are worked on in blocks of about this many characters.
@@ -51,17 +52,35 @@ def _letters() -> np.ndarray:
 _TABLE: list[np.ndarray] = []
 
 
+_PARTS = re.compile(r"\s")
+
+
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text index, bucket and count of the distinct trigram buckets of each text; ascending in both.
 
-    Texts are runs of letters; what lies between two runs counts as one blank, as do both ends.
+    Texts are runs of letters; what lies between two runs counts as one blank, as do both ends. So a long text can be cut
+    at any white space.
     """
+    if len(texts) != 1 or len(texts[0]) <= 2 * BLOCK:
+        return _trigrams(texts)
+    (text,), total, at = texts, np.zeros(BUCKETS, dtype=np.int64), 0
+    while at < len(text):
+        cut = _PARTS.search(text, at + BLOCK)
+        end = cut.start() if cut else len(text)
+        _, bucket, counts = _trigrams([text[at:end]])
+        total[bucket] += counts
+        at = end
+    bucket = np.flatnonzero(total)
+    return np.zeros(len(bucket), dtype=np.int64), bucket, total[bucket]
+
+
+def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not _TABLE:
         _TABLE.append(_letters())
     codes = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     low = _TABLE[0][codes]
     ends = np.cumsum([len(t) + 1 for t in texts])
-    doc = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(ends, prepend=0))
     keep = low > 0
     keep[1:] |= low[:-1] > 0  # the first blank behind a run stays
     low, doc = low[keep], doc[keep]
@@ -76,7 +95,7 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     a, b, c = low[:-2].astype(np.uint64), low[1:-1].astype(np.uint64), low[2:].astype(np.uint64)
     inside = (doc[:-2] == doc[2:]) & (b > 0)
     key = mix((a << _U(42)) | (b << _U(21)) | c)
-    where = doc[:-2][inside] * BUCKETS + (key[inside] >> _U(49)).astype(np.int64)
+    where = doc[:-2][inside].astype(np.int64) * BUCKETS + (key[inside] >> _U(49)).astype(np.int64)
     found, counts = np.unique(where, return_counts=True)
     return found // BUCKETS, found % BUCKETS, counts
 
@@ -117,13 +136,13 @@ class LanguageModel:
     probabilities: np.ndarray
 
 
-def train(docs: DataFrame) -> LanguageModel:
-    """Count the trigrams of all rows with a text and a language."""
+def train(docs: DataFrame, most: int = MOST_LANGUAGES) -> LanguageModel:
+    """Count the trigrams of all rows with a text and a language; ValueError if there are more than `most` languages."""
     labelled = docs.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
     counts = labelled.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    langs = sorted(r["lang"] for r in labelled.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    langs = sorted(r["lang"] for r in labelled.select("lang").distinct().limit(most + 1).collect())
+    if len(langs) > most:
+        raise ValueError(f"more than {most} languages")
     rows = counts.toArrow()
     n = np.zeros((BUCKETS, len(langs)))
     if rows.num_rows:

@@ -283,3 +283,62 @@ def test_pipeline(spark):
     assert len(lines) == len(set(lines))
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {d for d, _ in left}
+
+
+def test_pipeline_brute_force(spark):
+    """The stages on a small table with every kind of row: columns of the user's own, nulls, repeats, copies and passages."""
+    rng = random.Random(11)
+    text = lambda n: _text(rng, n, "abcdefghijklmnopqrstuvwxyz")
+    passage = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").first().text
+    base = text(60)
+    words = base.split()
+    near = " ".join([*words[:30], "changed", *words[31:]])
+    rows = [
+        (1, base), (2, near), (3, base), (4, None), (5, ""), (6, "12 34 !"), (7, f"{text(40)} {passage} {text(10)}"), (8, text(40)),
+        (9, f"one line\n{text(12)}\none line"), (None, text(30)), (None, text(30)), (10, "tiny"), (10, "tiny"), (11, text(20_000)),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t) if t else None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("lang_pred", "score", "lang_shares", "removed", "n_lines", "n_words", "n_hit", "items", "tie", "_row", "class_id"):
+        docs = docs.withColumn(name, F.lit("mine"))
+    sf, stages = "/root/testdata/sf0.001", dict(corpus_pipeline.STAGES)
+    keys = lambda df: sorted(str((r.doc_id, r.text)) for r in df.collect())
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns and stage(spark, docs.limit(0), sf).count() == 0
+        assert {r[c] for r in out.collect() for c in docs.columns[5:]} == {"mine"}, name
+    assert keys(stages["language_id"](spark, docs, sf)) == sorted(str((i, t)) for i, t in rows if t and re.search("[a-z]", t))
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert keys(stages["language_id"](spark, unlabelled, sf)) == sorted(str((i, t)) for i, t in rows if t and re.search("[a-z]", t))
+    assert keys(stages["decontamination"](spark, docs, sf)) == sorted(str((i, t)) for i, t in rows if i != 7)
+    # null and empty texts and the one without letters have no words: one group, but "12 34" has two
+    kept = [(i, t) for i, t in rows if i not in (2, 3, 5, 10)] + [(10, "tiny")]
+    assert keys(stages["near_dedup"](spark, docs, sf)) == sorted(map(str, kept))
+    lined = {(r.doc_id, r.text, r.n_chars) for r in stages["line_dedup"](spark, docs.filter("doc_id IS NOT NULL"), sf).collect()}
+    nine = "\n".join(rows[8][1].split("\n")[:2])
+    assert {i for i, *_ in lined} == {1, 4, 5, 6, 7, 8, 9, 10, 11} and (9, nine, len(nine)) in lined and (4, None, None) in lined
+
+
+def test_long_texts(spark):
+    """Long texts in every model: words, shingles and trigrams in chunks give what they give in one piece."""
+    rng = random.Random(12)
+    words = rng.choices([f"w{k}é" for k in range(3000)], k=300_000)
+    long = " ".join(words)
+    doc, bucket, count = language.trigrams([long])
+    whole = language._trigrams([long])
+    assert len(long) > language.BLOCK and (bucket == whole[1]).all() and (count == whole[2]).all() and not doc.any()
+    docs = _docs(spark, [(1, long), (2, long + " more"), (3, "short text"), (4, "x" * 2_000_000)])
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    found = {r.doc_id: r for r in fingerprint.fingerprint_edits(docs).collect()}
+    assert found[1].n_chars == len(long) and 0 <= found[1].near_next <= 1
+    scored = {r.doc_id: r for r in lmscore.score_texts(docs, F.lit(False)).collect()}
+    assert scored[1].n_tokens == 300_001 and scored[4].n_tokens == 2
+    packed = packing.pack_documents(docs).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t")).collect()
+    assert all(r.n == r.t for r in packed) and len(packed) == 4
+
+
+def test_fingerprint_repeats(spark):
+    rows = [(3, "A one. B two."), (3, "A one. B two."), (None, "no id"), (1, "A one. C three."), (3, None)]
+    out = fingerprint.fingerprint_edits(_docs(spark, rows, extra=True)).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(str(i) for i, _ in rows)
+    same = [r.fingerprint for r in out if r.n_chars == 13]
+    assert len(same) == 2 and len(set(same)) == 1
