@@ -83,15 +83,6 @@ def residues(c: Column) -> Column:
     return F.length(F.replace(c, F.lit("-"), F.lit(""))).cast("long")
 
 
-def within_length_band(a: Column, b: Column, radius: float) -> Column:
-    return F.abs(F.length(a) - F.length(b)) <= F.lit(float(radius)) * F.greatest(F.length(a), F.length(b))
-
-
-def normalised_distance(a: Column, b: Column) -> Column:
-    longest = F.greatest(F.length(a), F.length(b))
-    return F.when(longest > 0, F.levenshtein(a, b).cast("double") / longest.cast("double"))
-
-
 def coverage(mode: int, query: Column, target: Column, threshold: float) -> Column:
     """The six coverage modes on lengths of a query and a target."""
     q, t, x = query.cast("double"), target.cast("double"), F.lit(float(threshold))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +17,8 @@ def max_edits(length: Column, radius: float) -> Column:
 def segment_pairs(longer: DataFrame, shorter: DataFrame, radius: float) -> DataFrame:
     """Pairs (long_key, long_seq, short_key, short_seq) that may be within the radius; len(long) >= len(short).
 
+    Only keys go through the candidate join; the sequences are looked up for the distinct pairs that it leaves.
+
     Both inputs are (key, seq). With d edits allowed, a sequence cut into d + 1 segments keeps one of them whole, and
     moved by at most d places, in any partner within d edits. The shorter side emits its segments for each length that a
     partner can have, the longer side its substrings at the places where such a segment may be; equal (length, length,
@@ -32,7 +32,7 @@ def segment_pairs(longer: DataFrame, shorter: DataFrame, radius: float) -> DataF
     s = s.withColumn("ll", F.explode(F.sequence(F.col("ls"), widest))).withColumn("d", max_edits(F.col("ll"), radius)).filter("ll - ls <= d")
     s = s.withColumn("i", F.explode(F.sequence(zero, F.col("d"))))
     s = s.withColumns({"at": _cut(F.col("ls"), F.col("d"), F.col("i")), "to": _cut(F.col("ls"), F.col("d"), F.col("i") + 1)})
-    s = s.select("short_key", "short_seq", "ls", "ll", "i", F.substring("short_seq", F.col("at") + 1, F.col("to") - F.col("at")).alias("part"))
+    s = s.select("short_key", "ls", "ll", "i", F.substring("short_seq", F.col("at") + 1, F.col("to") - F.col("at")).alias("part"))
     r = longer.select(F.col("key").alias("long_key"), F.col("seq").alias("long_seq"), F.length("seq").alias("ll")).filter("ll > 0")
     r = r.withColumn("d", max_edits(F.col("ll"), radius)).withColumn("ls", F.explode(F.sequence(F.greatest(F.col("ll") - F.col("d"), F.lit(1)), F.col("ll"))))
     r = r.withColumn("i", F.explode(F.sequence(zero, F.col("d"))))
@@ -40,8 +40,15 @@ def segment_pairs(longer: DataFrame, shorter: DataFrame, radius: float) -> DataF
     size = F.col("to") - F.col("at")
     low, high = F.greatest(F.col("at") - F.col("d"), zero), F.least(F.col("at") + F.col("d"), F.col("ll") - size)
     r = r.filter(low <= high).withColumn("p", F.explode(F.sequence(low, high)))
-    r = r.select("long_key", "long_seq", "ls", "ll", "i", F.substring("long_seq", F.col("p") + 1, size).alias("part")).distinct()
-    return s.join(r, ["ls", "ll", "i", "part"]).select("long_key", "long_seq", "short_key", "short_seq").distinct()
+    r = r.select("long_key", "ls", "ll", "i", F.substring("long_seq", F.col("p") + 1, size).alias("part"))
+    pairs = s.join(r, ["ls", "ll", "i", "part"]).select("long_key", "short_key").distinct()
+    longs, shorts = (side.select(F.col("key").alias(f"{name}_key"), F.col("seq").alias(f"{name}_seq")) for side, name in ((longer, "long"), (shorter, "short")))
+    return pairs.join(longs, "long_key").join(shorts, "short_key")
+
+
+def bounded_edits(a: Column, b: Column, radius: float) -> Column:
+    """Edit distance, or -1 beyond the most edits within the radius of the longer one, where the built-in stops early."""
+    return F.call_function("levenshtein", a, b, max_edits(F.greatest(F.length(a), F.length(b)), radius))
 
 
 def _cut(length: Column, d: Column, i: Column) -> Column:
@@ -54,11 +61,8 @@ def similar_pairs(seqs: DataFrame, identity: float) -> DataFrame:
     radius = 1.0 - identity
     pairs = segment_pairs(seqs, seqs, radius).filter("long_key <> short_key")
     a, b = F.least("long_key", "short_key"), F.greatest("long_key", "short_key")
-    bound = F.greatest(F.length("long_seq"), F.length("short_seq"))
-    # the built-in stops early and says -1 beyond its (integer) bound, which is the largest number of edits of any pair
-    edits = F.levenshtein("long_seq", "short_seq")
-    kept = pairs.select(a.alias("a"), b.alias("b"), edits.alias("distance"), (edits.cast("double") / bound).alias("norm"))
-    return kept.filter(F.col("norm") <= F.lit(float(radius))).select("a", "b", "distance").distinct()
+    edits = bounded_edits(F.col("long_seq"), F.col("short_seq"), radius)
+    return pairs.select(a.alias("a"), b.alias("b"), edits.alias("distance")).filter("distance >= 0").distinct()
 
 
 def kmers(seqs: DataFrame, k: int) -> DataFrame:
@@ -73,10 +77,3 @@ def kmer_groups(seqs: DataFrame, k: int) -> DataFrame:
     joined = kmers(seqs, k).join(seqs.select("key", F.length("seq").alias("l")), "key")
     best = F.min_by("key", F.struct(-F.col("l"), F.col("key")))
     return joined.groupBy("kmer").agg(F.count(F.lit(1)).alias("n"), best.alias("centre"))
-
-
-def length_band(length: int, radius: float) -> tuple[int, int]:
-    """Lengths a partner may have, one wider on each side than needed."""
-    if radius >= 1:
-        return 0, 1 << 30
-    return max(0, math.ceil(length * (1 - radius)) - 1), math.floor(length / (1 - radius)) + 1

@@ -46,6 +46,14 @@ def diagnostics(keyed: DataFrame) -> DataFrame:
     )
 
 
+def uniqueness(df: DataFrame, keys: list[str]) -> DataFrame:
+    """n_rows, n_keys, is_unique: whether no two rows share the keys."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    zero = F.lit(0).cast("long")
+    counted = per_key.agg(F.coalesce(F.sum("n"), zero).alias("n_rows"), F.count(F.lit(1)).alias("n_keys"))
+    return counted.withColumn("is_unique", F.col("n_rows") == F.col("n_keys"))
+
+
 def report_columns(clones: DataFrame, start: int = 0, end: int = 0) -> DataFrame:
     """The clone table with trim_sequence_*, fullSequence and trimmed_fullSequence."""
     chains = sequence_columns(clones)

@@ -48,6 +48,12 @@ def capped(members: DataFrame, most: int = MAX_MEMBERS) -> DataFrame:
     return members.withColumn("rn", F.row_number().over(order)).filter(F.col("rn") <= most)
 
 
+def dropped(members: DataFrame, most: int = MAX_MEMBERS) -> DataFrame:
+    """clusterId, chain, n_members, n_dropped: families of which capped() leaves members out."""
+    counted = members.groupBy("clusterId", "chain").agg(F.count(F.lit(1)).alias("n_members"))
+    return counted.filter(F.col("n_members") > most).withColumn("n_dropped", F.col("n_members") - most)
+
+
 def cells_of_rows(laid: DataFrame) -> DataFrame:
     return laid.select("clusterId", "chain", "seq", "weight", F.posexplode(F.split("row", "")).alias("pos", "residue"))
 

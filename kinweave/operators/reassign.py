@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .candidates import segment_pairs
+from .candidates import bounded_edits, segment_pairs
 
 
 def best_matches(clusters: DataFrame, seqs: DataFrame, identity: float) -> DataFrame:
-    """member_key, new_clusterId for singletons with a match.
+    """member_key, new_clusterId, norm_dist, rep_size for singletons with a match.
 
     clusters: (clusterId, clonotypeKey) of representatives; seqs: (clonotypeKey, trimmed_fullSequence). The best match
     is the nearest, then the cluster of more representatives, then the lesser id. It is one pass: no chains.
@@ -27,11 +27,17 @@ def best_matches(clusters: DataFrame, seqs: DataFrame, identity: float) -> DataF
     two = segment_pairs(single, target.select("key", "seq"), radius).select(
         F.col("long_key").alias("member_key"), F.col("long_seq").alias("m"), F.col("short_key").alias("clusterId"), F.col("short_seq").alias("c")
     )
-    norm = F.levenshtein("m", "c").cast("double") / F.greatest(F.length("m"), F.length("c"))
-    near = one.unionByName(two).distinct().withColumn("norm", norm).filter(F.col("norm") <= F.lit(float(radius)))
+    edits = bounded_edits(F.col("m"), F.col("c"), radius)
+    norm = edits.cast("double") / F.greatest(F.length("m"), F.length("c"))
+    near = one.unionByName(two).distinct().withColumn("edits", edits).filter("edits >= 0").withColumn("norm", norm)
     ranked = near.join(target.select(F.col("key").alias("clusterId"), "rep_size"), "clusterId")
-    order = F.struct("norm", (-F.col("rep_size")).alias("s"), "clusterId")
-    return ranked.groupBy("member_key").agg(F.min_by("clusterId", order).alias("new_clusterId"))
+    best = ranked.groupBy("member_key").agg(F.min(F.struct("norm", (-F.col("rep_size")).alias("s"), "clusterId")).alias("best"))
+    return best.select("member_key", F.col("best.clusterId").alias("new_clusterId"), F.col("best.norm").alias("norm_dist"), (-F.col("best.s")).alias("rep_size"))
+
+
+def sample(found: DataFrame, n: int = 10) -> DataFrame:
+    """The nearest reassignments, for the log."""
+    return found.orderBy("norm_dist", "member_key").limit(n)
 
 
 def reassign_singletons(clusters: DataFrame, seqs: DataFrame, identity: float) -> DataFrame:
@@ -39,4 +45,4 @@ def reassign_singletons(clusters: DataFrame, seqs: DataFrame, identity: float) -
         return clusters.select("clusterId", "clonotypeKey")
     found = best_matches(clusters, seqs, identity)
     joined = clusters.join(found, clusters["clonotypeKey"] == found["member_key"], "left")
-    return joined.select(F.coalesce("new_clusterId", "clusterId").alias("clusterId"), "clonotypeKey")
+    return joined.select(F.coalesce("new_clusterId", clusters["clusterId"]).alias("clusterId"), "clonotypeKey")

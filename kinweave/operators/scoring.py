@@ -1,8 +1,8 @@
-"""Alignment scores of pairs under a substitution matrix.
+"""Alignment scores of candidate pairs under a substitution matrix.
 
 Matrices are inputs: a file in the usual text form (a header of letters, then a row of scores for each letter) is read
-by read_matrix(); grouped_matrix() makes one from groups of like residues. A matrix has an alphabet squared of entries,
-so it goes to the tasks as it is.
+by read_matrix(); grouped_matrix() makes one from groups of like residues. A matrix is an alphabet squared of numbers, so
+it goes to the tasks as an array.
 """
 
 from __future__ import annotations
@@ -12,69 +12,120 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-Matrix = dict[tuple[str, str], float]
+from .candidates import kmers
 
 #: Residues that replace each other easily: aliphatic, aromatic, basic, acidic and amides, small, and the rest alone.
 GROUPS = ("ILMV", "FWY", "HKR", "DENQ", "AGPST", "C")
-
-
-def read_matrix(spark: SparkSession, path: str) -> Matrix:
-    """A substitution matrix from a text file; lines that begin with # are comments. A bounded table, so it is collected."""
-    lines = [r["value"] for r in spark.read.text(path, wholetext=False).coalesce(1).collect()]
+#: Bytes of a matrix file that are read at most; real ones have a few thousand.
+MOST_BYTES = 1 << 20
+#: Score of a residue that the matrix doesn't know, and of what fills up the shorter sequences of a block.
+UNKNOWN, NOTHING = -1.0, -1e6
+#: Cells of a row of score tables that are worked on at once.
+CELLS = 1 << 20
+
+
+def _empty() -> np.ndarray:
+    matrix = np.full((128, 128), UNKNOWN)
+    matrix[0, :] = matrix[:, 0] = NOTHING
+    return matrix
+
+
+def read_matrix(spark: SparkSession, path: str) -> np.ndarray:
+    """A substitution matrix from a text file; lines that begin with # are comments."""
+    lines, held = [], 0
+    for row in spark.read.text(path).toLocalIterator():
+        held += len(row["value"])
+        if held > MOST_BYTES:
+            raise ValueError(f"{path} is no substitution matrix: it is longer than {MOST_BYTES} bytes")
+        lines.append(row["value"])
     rows = [x.split() for x in lines if x.strip() and not x.startswith("#")]
-    letters = rows[0]
-    return {(row[0], letter): float(v) for row in rows[1:] for letter, v in zip(letters, row[1:], strict=False)}
+    matrix = _empty()
+    for row in rows[1:]:
+        for letter, score in zip(rows[0], row[1:], strict=False):
+            if row[0].isascii() and letter.isascii():
+                matrix[ord(row[0]), ord(letter)] = float(score)
+    return matrix
 
 
-def grouped_matrix(same: float = 5.0, like: float = 1.0, other: float = -2.0, groups: tuple[str, ...] = GROUPS) -> Matrix:
-    """Scores by rule: equal residues, residues of one group, all others."""
+def grouped_matrix(same: float = 5.0, like: float = 1.0, other: float = -2.0, groups: tuple[str, ...] = GROUPS) -> np.ndarray:
+    """Scores by rule: equal residues, residues of one group, all others; capitals and small letters alike."""
+    matrix = _empty()
     of = {r: k for k, g in enumerate(groups) for r in g}
-    return {(a, b): same if a == b else like if of[a] == of[b] else other for a in of for b in of}
+    for a in of:
+        for b in of:
+            score = same if a == b else like if of[a] == of[b] else other
+            for x in (a, a.lower()):
+                for y in (b, b.lower()):
+                    matrix[ord(x), ord(y)] = score
+    return matrix
+
+
+def level_matrix(level: int) -> np.ndarray:
+    """A stand-in by rule for the matrix of a level (40 .. 90): the higher, the more a replacement costs."""
+    return grouped_matrix(5.0, 2.5 - level / 40, -1.0 - level / 40)
 
 
-def local_score(a: str, b: str, matrix: Matrix, gap_open: float = 11.0, gap_extend: float = 1.0, unknown: float = -1.0) -> tuple[float, int, int, int]:
-    """Best local alignment with affine gaps: score, equal residues, and residues of a and of b it spans.
+def local_scores(a: list[str], b: list[str], matrix: np.ndarray, gap_open: float = 11.0, gap_extend: float = 1.0) -> np.ndarray:
+    """Score of the best local alignment with affine gaps of each pair; a gap of n costs gap_open + (n - 1) gap_extend.
 
-    Row by row over b; among equal scores the alignment that ends first in b, then in a, is taken.
+    All pairs of a block go through their score tables together, a row at a time; gaps along a row are a running maximum.
     """
-    best = (0.0, 0, 0, 0)
-    # each cell: score, equal residues, start in a, start in b
-    blank = (float("-inf"), 0, 0, 0)
-    above = [(0.0, 0, i, 0) for i in range(len(a) + 1)]
-    up = [blank] * (len(a) + 1)
-    for j, y in enumerate(b, 1):
-        row, left = [(0.0, 0, 0, j)], blank
-        for i, x in enumerate(a, 1):
-            u, v = above[i], up[i]
-            up[i] = max((u[0] - gap_open, *u[1:]), (v[0] - gap_extend, *v[1:]), key=lambda c: c[0])
-            p = row[i - 1]
-            left = max((p[0] - gap_open, *p[1:]), (left[0] - gap_extend, *left[1:]), key=lambda c: c[0])
-            d = above[i - 1]
-            diagonal = (d[0] + matrix.get((x, y), unknown), d[1] + (x == y), d[2], d[3])
-            cell = max(diagonal, up[i], left, key=lambda c: c[0])
-            row.append(cell if cell[0] > 0 else (0.0, 0, i, j))
-            if cell[0] > best[0]:
-                best = (cell[0], cell[1], i - cell[2], j - cell[3])
+    x, y = _coded(a), _coded(b)
+    out = np.zeros(len(a))
+    ramp = gap_extend * np.arange(y.shape[1] + 1)
+    above, up = np.zeros((len(a), y.shape[1] + 1)), np.full((len(a), y.shape[1] + 1), NOTHING)
+    for i in range(x.shape[1]):
+        up = np.maximum(above - gap_open, up - gap_extend)
+        row = np.maximum(up, 0.0)
+        row[:, 1:] = np.maximum(row[:, 1:], above[:, :-1] + matrix[x[:, i, None], y])
+        carried = np.maximum.accumulate(row + ramp, axis=1) - ramp
+        row[:, 1:] = np.maximum(row[:, 1:], carried[:, :-1] - gap_open)
+        row[:, 0] = 0.0
+        np.maximum(out, row.max(axis=1), out=out)
         above = row
-    return best
+    return out
 
 
-def scored_pairs(pairs: DataFrame, matrix: Matrix, gap_open: float = 11.0, gap_extend: float = 1.0) -> DataFrame:
-    """a, b, score, equal, span_a, span_b, identity for pairs (a, b, seq_a, seq_b).
+def _coded(seqs: list[str]) -> np.ndarray:
+    """Sequences as rows of ASCII codes, filled up with 0; other characters are residues that no matrix knows."""
+    width = max(map(len, seqs), default=0)
+    return np.frombuffer("".join(s.ljust(width, "\0") for s in seqs).encode("ascii", "replace"), dtype=np.uint8).reshape(len(seqs), width)
+
+
+def own_scores(seqs: list[str], matrix: np.ndarray) -> np.ndarray:
+    """Score of each sequence against itself: of residues that score at all."""
+    gain = np.append(np.maximum(np.diag(matrix), 0.0), 0.0)
+    return np.array([gain[np.minimum(np.frombuffer(s.encode("ascii", "replace"), dtype=np.uint8), 128)].sum() for s in seqs])
 
-    identity: equal residues over the longer span. Pairs come from a candidate join, so each row is a task's own work.
-    """
+
+def scored_pairs(pairs: DataFrame, matrix: np.ndarray, gap_open: float = 11.0, gap_extend: float = 1.0) -> DataFrame:
+    """a, b, score, similarity (the score's share of the lesser score of either against itself) of pairs (a, b, seq_a, seq_b)."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [local_score(x or "", y or "", matrix, gap_open, gap_extend) for x, y in zip(batch.column("seq_a").to_pylist(), batch.column("seq_b").to_pylist(), strict=True)]
-            s, e, x, y = (np.array(c) for c in zip(*found, strict=True)) if found else [np.empty(0)] * 4
-            longest = np.maximum(np.maximum(x, y), 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(s, pa.float64()), *(pa.array(c.astype(np.int64)) for c in (e, x, y)), pa.array(e / longest)],
-                names=["a", "b", "score", "equal", "span_a", "span_b", "identity"],
-            )
-
-    schema = "a string, b string, score double, equal long, span_a long, span_b long, identity double"
-    return pairs.select("a", "b", "seq_a", "seq_b").mapInArrow(score, schema)
+            x, y = ([s or "" for s in batch.column(c).to_pylist()] for c in ("seq_a", "seq_b"))
+            widths = np.array([len(s) for s in y])
+            order, found = np.argsort(widths, kind="stable"), np.zeros(len(x))
+            while len(order):  # the longest first, so many that a row of their tables has CELLS cells
+                n = max(1, CELLS // (int(widths[order[-1]]) + 1))
+                part, order = order[-n:], order[:-n]
+                found[part] = local_scores([x[k] for k in part], [y[k] for k in part], matrix, gap_open, gap_extend)
+            most = np.minimum(own_scores(x, matrix), own_scores(y, matrix))
+            share = np.divide(found, most, out=np.zeros(len(x)), where=most > 0)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found), pa.array(share)], names=["a", "b", "score", "similarity"])
+
+    return pairs.select("a", "b", "seq_a", "seq_b").mapInArrow(score, "a string, b string, score double, similarity double")
+
+
+def seed_pairs(seqs: DataFrame, k: int) -> DataFrame:
+    """a, b, seq_a, seq_b: each (key, seq) with the longest sequence (then the least key) of each of its k-mers' groups.
+
+    As many pairs as k-mers at most, however large a group is.
+    """
+    ranked = kmers(seqs, k).join(seqs.select("key", F.struct((-F.length("seq")).alias("l"), F.col("key").alias("k")).alias("rank")), "key")
+    centres = ranked.groupBy("kmer").agg(F.min("rank").alias("centre"))
+    met = ranked.join(centres, "kmer").filter("centre < rank").select(F.least("key", "centre.k").alias("a"), F.greatest("key", "centre.k").alias("b")).distinct()
+    one, two = (seqs.select(F.col("key").alias(c), F.col("seq").alias(f"seq_{c}")) for c in "ab")
+    return met.join(one, "a").join(two, "b").select("a", "b", "seq_a", "seq_b")

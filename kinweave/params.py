@@ -72,17 +72,20 @@ class ClusterParams:
             return ClusterParams(**{**asdict(self), "highPrecision": False})
         return self
 
-    def label(self) -> str:
-        """Custom label, or one made of what was chosen."""
+    def label(self, sequence_labels: tuple[str, ...] = ()) -> str:
+        """Custom label, or one made of what was chosen: what is left at its default and has no number is not named."""
         if self.customBlockLabel:
             return self.customBlockLabel
-        kind = "exact" if self.similarityType == "sequence-identity" else self.similarityType.upper()
-        parts = [kind, f"ident:{self.identity:g}", f"cov:{self.coverageThreshold:g}"]
-        if self.trimStart or self.trimEnd:
-            parts.append(f"trim:{self.trimStart}/{self.trimEnd}")
-        if self.highPrecision:
-            parts.append("high precision")
-        return ", ".join(parts)
+        told = {
+            " - ".join(sequence_labels): bool(sequence_labels),
+            "Exact Match" if self.similarityType == "sequence-identity" else self.similarityType.upper(): True,
+            f"ident:{self.identity:g}": True,
+            f"cov:{self.coverageThreshold:g}": True,
+            f"trimStart: {self.trimStart:g}": self.trimStart > 0,
+            f"trimEnd: {self.trimEnd:g}": self.trimEnd > 0,
+            self.centroidAlignment: self.centroidAlignment != "auto",
+        }
+        return ", ".join(text for text, wanted in told.items() if wanted)
 
 
 def _conforms(value: Any, kind: Any) -> bool:

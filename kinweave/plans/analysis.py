@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..catalog import centroid_domain, profile_domain
 from ..functions.exprs import CHAIN_SEPARATOR, coverage, residues, sequence_columns
-from ..operators import dedup, layout, profile, rollup
-from ..operators.candidates import similar_pairs
+from ..operators import dedup, layout, profile, rollup, scoring
+from ..operators.candidates import bounded_edits, similar_pairs
 from ..operators.cluster import connected_components, linear_time, one_hop, set_cover, stored
 from ..operators.reassign import reassign_singletons
+from ..operators.scoring import level_matrix
 from ..params import ClusterParams, warnings
 from ..schemas import empty_results
 
@@ -26,30 +29,48 @@ class ClusterResult:
     input_empty: bool
     min_length: int | None
     warnings: list[str]
+    #: Provenance that distances and centroids carry.
+    domains: dict[str, dict[str, str]] = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.relations[name]
 
 
-def cluster_representatives(reps: DataFrame, p: ClusterParams) -> DataFrame:
+def seed_length(min_length: int | None, p: ClusterParams) -> int:
+    """Letters of a seed: five, but for short peptides so many that the shortest of them has two seeds."""
+    if p.highPrecision or p.sequenceType != "aminoacid" or min_length is None or min_length >= 10:
+        return 5
+    return max(1, min(5, min_length - 1))
+
+
+def cluster_representatives(reps: DataFrame, p: ClusterParams, min_length: int | None = None, matrix: np.ndarray | None = None) -> DataFrame:
     """(clusterId, clonotypeKey) of representatives (clonotypeKey, sequence).
 
-    Edges are pairs within the identity (normalised edit distance) and the coverage. High precision takes one hop of
-    component growth, the linear-time tool k-mer centres, the default greedy set cover.
+    Edges are pairs within the identity and the coverage. Exact similarity is the normalised edit distance over all
+    pairs within it. Scored similarity is the share that a pair's alignment score under the matrix has of the lesser
+    score of either against itself, over pairs that share a seed with the longest of its group, and those within the
+    edit distance. Without a matrix one is made by rule for the level asked for. High precision takes seeds of five
+    letters and one hop of component growth, the linear-time tool seed groups' centres, the default greedy set cover.
     """
     seqs = reps.select(F.col("clonotypeKey").alias("key"), F.col("sequence").alias("seq"))
-    if p.clusteringTool == "easy-linclust":
-        radius = F.lit(1.0 - p.identity)
-        near = lambda c, s: (F.levenshtein(c, s) / F.greatest(F.length(c), F.length(s)).cast("double") <= radius)
-        return linear_time(seqs, 5, lambda c, s: near(c, s) & coverage(p.coverageMode, F.length(s), F.length(c), p.coverageThreshold))
-    pairs = similar_pairs(seqs, p.identity)
+    k, exact = seed_length(min_length, p), p.similarityType == "sequence-identity" or p.sequenceType != "aminoacid"
+    if p.clusteringTool == "easy-linclust" and exact:
+        near = lambda c, s: bounded_edits(c, s, 1.0 - p.identity) >= 0
+        return linear_time(seqs, k, lambda c, s: near(c, s) & coverage(p.coverageMode, F.length(s), F.length(c), p.coverageThreshold))
     lengths = seqs.select("key", F.length("seq").alias("l"))
+    pairs = similar_pairs(seqs, p.identity).select("a", "b") if p.clusteringTool == "easy-cluster" and p.identity > 0 else None
+    if not exact:
+        level = level_matrix(int(p.similarityType.removeprefix("blosum"))) if matrix is None else matrix
+        scored = scoring.scored_pairs(scoring.seed_pairs(seqs, k), level).filter(F.col("similarity") >= p.identity).select("a", "b")
+        pairs = scored if pairs is None else pairs.unionByName(scored).distinct()
     both = pairs.join(lengths.select(F.col("key").alias("a"), F.col("l").alias("la")), "a").join(lengths.select(F.col("key").alias("b"), F.col("l").alias("lb")), "b")
     edges = stored(both.filter(coverage(p.coverageMode, F.col("lb"), F.col("la"), p.coverageThreshold)).select("a", "b"))
     return one_hop(seqs.select("key"), edges) if p.highPrecision else set_cover(seqs.select("key"), edges)
 
 
-def analyse(clones: DataFrame, params: ClusterParams, clusters: DataFrame | None = None, peptide: bool = True, single_cell: bool = False) -> ClusterResult:
+def analyse(
+    clones: DataFrame, params: ClusterParams, clusters: DataFrame | None = None, peptide: bool = True, single_cell: bool = False, matrix: np.ndarray | None = None
+) -> ClusterResult:
     """All result relations of a clone table; `clusters` of representatives may be given, else they are computed."""
     p = params.effective()
     chains = sequence_columns(clones)
@@ -63,8 +84,9 @@ def analyse(clones: DataFrame, params: ClusterParams, clusters: DataFrame | None
     min_length = values.agg(F.min(F.length(chains[0]))).first()[0]
     mapping = dedup.dedup_mapping(keyed)
     if clusters is None:
-        clusters = cluster_representatives(dedup.representatives(keyed), p)
+        clusters = cluster_representatives(dedup.representatives(keyed), p, min_length, matrix)
     if p.highPrecision and p.identity < 1:
+        clusters = stored(clusters)
         clusters = reassign_singletons(clusters, values.select("clonotypeKey", full), p.identity)
     members = stored(rollup.with_label(rollup.with_size(rollup.expand(clusters, mapping)), values))
     weights = dedup.clone_weights(clones, p.weightByAbundance)
@@ -72,6 +94,7 @@ def analyse(clones: DataFrame, params: ClusterParams, clusters: DataFrame | None
     model = dedup.resolve_alignment(p.centroidAlignment, peptide, [r["modal_share"] for r in shares])
 
     rows = layout.chain_rows(members, values, trims, weights)
+    left_out = layout.dropped(layout.distinct_members(rows))
     kept = layout.capped(layout.distinct_members(rows))
     laid = stored(layout.placed(kept, model))
     cols = stored(profile.columns(profile.tally(layout.cells_of_rows(laid)), p.gapThreshold))
@@ -98,8 +121,7 @@ def analyse(clones: DataFrame, params: ClusterParams, clusters: DataFrame | None
     by_sample = rollup.abundances(clones, members)
     per_cluster = rollup.abundances_per_cluster(by_sample)
     top = rollup.top_clusters(per_cluster)
-    labelled = members.join(values.select("clonotypeKey", "clonotypeKeyLabel"), "clonotypeKey", "left").join(distances, ["clusterId", "clonotypeKey"], "left")
-    distance = labelled.select("clonotypeKey", "clusterId", "clonotypeKeyLabel", "clusterLabel", F.coalesce("distanceToCentroid", F.lit(0.0)).alias("distanceToCentroid"))
+    distance = distance_relation(members, values, distances)
     radius = profile.cluster_radius(distance)
     relations = {
         "abundances": by_sample,
@@ -114,8 +136,18 @@ def analyse(clones: DataFrame, params: ClusterParams, clusters: DataFrame | None
         "trimmed-sequences": values.select("clonotypeKey", full, *trims),
         "plurality-centroid": plurality_relation(plurality, own, trims, p.generateDataset),
         "dedup_mapping": mapping,
+        "dropped-members": left_out,
     }
-    return ClusterResult(relations, model, False, min_length, warnings(False, min_length, peptide))
+    told = ClusterResult(relations, model, False, min_length, warnings(False, min_length, peptide))
+    told.domains = {"distance": profile_domain(p), "centroid": centroid_domain(p)}
+    log.info("%s: alignment %s, shortest sequence %s", p.label(), model, min_length)
+    return told
+
+
+def distance_relation(members: DataFrame, values: DataFrame, distances: DataFrame) -> DataFrame:
+    """One row a member with its label and its cluster's; 0 for members without a distance (no chain at all)."""
+    labelled = members.join(values.select("clonotypeKey", "clonotypeKeyLabel"), "clonotypeKey", "left").join(distances, ["clusterId", "clonotypeKey"], "left")
+    return labelled.select("clonotypeKey", "clusterId", "clonotypeKeyLabel", "clusterLabel", F.coalesce("distanceToCentroid", F.lit(0.0)).alias("distanceToCentroid"))
 
 
 def spread(consensus: DataFrame, chains: list[str], prefix: str) -> DataFrame:

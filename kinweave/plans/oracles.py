@@ -59,9 +59,10 @@ _ABUND = """, by_sample AS (SELECT sampleId, clusterId, sum(abundance)::BIGINT A
 _SHARE = "round(abundance::DOUBLE / nullif(sum(abundance) OVER (PARTITION BY sampleId)::DOUBLE, 0), 9)"
 
 
-def _rows(chains: int, rule: str = _RULE) -> str:
+def _rows(chains: int, rule: str = _RULE, trimmed: bool = True) -> str:
+    start, end, name = (TRIM_START, TRIM_END, "trim_sequence_") if trimmed else (0, 0, "sequence_")
     each = " UNION ALL ".join(
-        f"SELECT clusterId, clonotypeKey, 'trim_sequence_{k}' AS chain, {trim_report(f'sequence_{k}', TRIM_START, TRIM_END)} AS raw FROM members JOIN seqs USING (clonotypeKey)"
+        f"SELECT clusterId, clonotypeKey, '{name}{k}' AS chain, {trim_report(f'sequence_{k}', start, end)} AS raw FROM members JOIN seqs USING (clonotypeKey)"
         for k in range(chains)
     )
     return f"""{_members(chains, rule)}
@@ -70,8 +71,8 @@ def _rows(chains: int, rule: str = _RULE) -> str:
 , dist AS (SELECT clusterId, chain, seq, sum(weight) AS weight FROM rws GROUP BY clusterId, chain, seq)"""
 
 
-def _profile(chains: int) -> str:
-    return f"""{_rows(chains)}
+def _profile(chains: int, trimmed: bool = True) -> str:
+    return f"""{_rows(chains, trimmed=trimmed)}
 , kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY clusterId, chain ORDER BY weight DESC, seq) AS rn FROM dist) WHERE rn <= 1000)
 , cells AS (SELECT clusterId, chain, seq, weight, unnest(range(length(seq))) AS pos, unnest(string_split(seq, '')) AS residue FROM kept)
 , tally AS (SELECT clusterId, chain, pos, residue, sum(weight) AS w FROM cells GROUP BY clusterId, chain, pos, residue)
@@ -244,3 +245,36 @@ SELECT coalesce(new_id, clusterId) AS clusterId, clonotypeKey FROM clusters LEFT
 ORACLES["cluster_to_seq_top"] = f"""WITH {_CTS}, top AS (
   SELECT clusterId FROM ({_TOP1.replace('WITH ', 'WITH ', 1)} SELECT clusterId FROM top)
 ) SELECT cts.* FROM cts JOIN top USING (clusterId)"""
+ORACLES["clone_table_join"] = ORACLES["clone_table"]
+ORACLES["key_uniqueness"] = f"""WITH {_clones(1)} SELECT count(*)::BIGINT AS n_rows, count(DISTINCT (sampleId, clonotypeKey))::BIGINT AS n_keys,
+  count(*) = count(DISTINCT (sampleId, clonotypeKey)) AS is_unique FROM clones"""
+ORACLES["distance_relation"] = f"""WITH {_parts(2)} SELECT m.clonotypeKey, m.clusterId, s.label AS clonotypeKeyLabel, clusterLabel, coalesce(distanceToCentroid, 0.0::DOUBLE) AS distanceToCentroid
+FROM members m JOIN seqs s USING (clonotypeKey) LEFT JOIN labels l ON l.clusterId = m.clusterId LEFT JOIN distances d ON d.clusterId = m.clusterId AND d.clonotypeKey = m.clonotypeKey"""
+_LENGTHS = ", ".join(f"length(replace(plurality_centroid_trim_sequence_{k}, '-', ''))::BIGINT AS plurality_centroid_length_trim_sequence_{k}" for k in range(2))
+ORACLES["plurality_relation"] = f"""WITH {_PLURALITY} SELECT s.clusterId, clusterLabel, plurality_centroid_trim_sequence_0, plurality_centroid_trim_sequence_1,
+  plurality_centroid_trimmed_fullSequence, {_LENGTHS}, s.clusterId AS clusterIdLink, 1::BIGINT AS link, peptideLabel
+FROM sizes s LEFT JOIN labels USING (clusterId) LEFT JOIN labelled USING (clusterId)"""
+_NULLS = ", ".join(f"NULL::VARCHAR AS plurality_centroid_trim_sequence_{k}, NULL::BIGINT AS plurality_centroid_length_trim_sequence_{k}" for k in range(2))
+ORACLES["plurality_unwanted"] = f"""WITH {_members(2)} SELECT clusterId, clusterLabel, {_NULLS}, NULL::VARCHAR AS plurality_centroid_trimmed_fullSequence,
+  clusterId AS clusterIdLink, 1::BIGINT AS link, NULL::VARCHAR AS peptideLabel FROM sizes LEFT JOIN labels USING (clusterId)"""
+_UNTRIMMED = f"WITH {_profile(2, False)}{_consensus(0.6, 'con')}"
+ORACLES["centroid_untrimmed"] = f"{_UNTRIMMED} SELECT clusterId, chain, consensus, l_cons FROM con JOIN lens USING (clusterId, chain)"
+_BOTH = ", ".join(f"coalesce(max(consensus) FILTER (chain = 'sequence_{k}'), '') AS centroid_sequence_{k}" for k in range(2))
+ORACLES["cluster_to_seq_full"] = f"""WITH {_CTS}, untrimmed AS (SELECT * FROM ({_UNTRIMMED} SELECT clusterId, {_BOTH} FROM con GROUP BY clusterId))
+SELECT cts.*, centroid_sequence_0, centroid_sequence_1 FROM cts LEFT JOIN untrimmed USING (clusterId)"""
+ORACLES["padded_absent_columns"] = f"""WITH {_rows(1, 'left(sequence, 5)')}
+, kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY clusterId, chain ORDER BY weight DESC, seq) AS rn FROM dist) WHERE rn <= 1000)
+, wide AS (SELECT *, max(length(seq)) OVER (PARTITION BY clusterId, chain) AS width FROM kept)
+, cells AS (SELECT clusterId, chain, weight, unnest(range(width)) AS pos, unnest(string_split(rpad(seq, width::INT, '-'), '')) AS residue FROM wide)
+, tally AS (SELECT clusterId, chain, pos, residue, sum(weight) AS w FROM cells GROUP BY clusterId, chain, pos, residue)
+, cols AS (
+  SELECT clusterId, chain, pos, sum(w) AS total, coalesce(sum(w) FILTER (residue = '-'), 0) AS gap_w,
+    arg_max(residue, (w, -ascii(residue))) FILTER (residue <> '-') AS best, max(w) FILTER (residue <> '-') AS best_w FROM tally GROUP BY clusterId, chain, pos)
+, told AS (SELECT *, gap_w / total > 0.2::DOUBLE AS absent FROM cols)
+SELECT clusterId, chain, count(*)::BIGINT AS n_columns, count(*) FILTER (absent)::BIGINT AS n_absent, count(*) FILTER (NOT absent)::BIGINT AS l_cons,
+  string_agg(CASE WHEN absent OR best IS NULL THEN '-' WHEN best_w / (total - gap_w) >= 0.6::DOUBLE THEN best ELSE 'X' END, '' ORDER BY pos) AS consensus
+FROM told GROUP BY clusterId, chain"""
+ORACLES["dropped_members"] = f"WITH {_rows(1)} SELECT clusterId, chain, count(*)::BIGINT AS n_members, count(*)::BIGINT - 20 AS n_dropped FROM dist GROUP BY clusterId, chain HAVING count(*) > 20"
+ORACLES["reassignment_sample"] = ORACLES["reassign_singletons"].split(", best AS (")[0] + """
+SELECT m AS member_key, arg_min(clusterId, (d, -rep_size, clusterId)) AS new_clusterId, round(min(d), 9) AS norm_dist, arg_min(rep_size, (d, -rep_size, clusterId))::BIGINT AS rep_size
+FROM near GROUP BY m ORDER BY norm_dist, member_key LIMIT 10"""

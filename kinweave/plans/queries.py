@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs
-from ..operators import candidates, cluster, dedup, layout, profile, reassign, rollup
+from ..operators import candidates, cluster, dedup, layout, profile, reassign, rollup, scoring
 from ..operators.cluster import stored
 from ..params import ClusterParams
 from ..sources import tables
@@ -420,6 +420,86 @@ def clusters_view(spark, sf):
     return views.clusters_table(own, profile.cluster_radius(profile.distance_to_centroid(parts)), per)
 
 
+def clone_table_join(spark, sf):
+    """The clone table from an abundance column, sequence columns and a label column."""
+    counted = stored(tables.word_counts(spark, sf))
+    keys = tables.as_clones(counted.select("word").distinct(), 2)
+    abundance = tables.as_clones(counted, 1).select("sampleId", "clonotypeKey", "abundance")
+    return tables.join_clone_table(abundance, keys.drop("clonotypeKeyLabel"), keys.select("clonotypeKey", "clonotypeKeyLabel"))
+
+
+def key_uniqueness(spark, sf):
+    return dedup.uniqueness(tables.clone_table(spark, sf), ["sampleId", "clonotypeKey"])
+
+
+def distance_relation(spark, sf):
+    f = Families(spark, sf, 2)
+    parts, _ = f.parts()
+    return analysis.distance_relation(rollup.with_label(f.members, f.values), f.values, profile.distance_to_centroid(parts))
+
+
+def plurality_relation(spark, sf):
+    return _plurality(Families(spark, sf, 2))
+
+
+def plurality_unwanted(spark, sf):
+    """The same relation where no dataset is asked for: its plurality columns are null."""
+    f = Families(spark, sf, 2)
+    plurality = profile.consensus(f.columns(f.laid()), 0.0)
+    return analysis.plurality_relation(plurality, _own(f).select("clusterId", "clusterLabel"), f.trims, False)
+
+
+def _untrimmed(f: Families) -> DataFrame:
+    rows = layout.member_rows(f.wide, tables_chains(2))
+    laid = layout.placed(layout.capped(layout.distinct_members(rows)), "stacked")
+    return profile.consensus(f.columns(laid), 0.6)
+
+
+def centroid_untrimmed(spark, sf):
+    """Consensus of the chains as they were before the trim."""
+    return _untrimmed(Families(spark, sf, 2))
+
+
+def cluster_to_seq_full(spark, sf):
+    """cluster_to_seq with the centroids of the untrimmed chains."""
+    f = Families(spark, sf, 2)
+    return _cluster_to_seq(f).join(analysis.spread(_untrimmed(f), tables_chains(2), "centroid_"), "clusterId", "left")
+
+
+def padded_absent_columns(spark, sf):
+    """Gap thresholds on families of mixed lengths whose members are filled up with gaps at their ends."""
+    _, members = _mixed_members(spark, sf)
+    widest = members.groupBy("clusterId", "chain").agg(F.max(F.length("seq")).alias("width"))
+    laid = members.join(widest, ["clusterId", "chain"]).withColumn("row", F.rpad("seq", F.col("width"), F.lit("-")))
+    cols = stored(profile.columns(profile.tally(layout.cells_of_rows(laid)), 0.2))
+    absent = cols.groupBy("clusterId", "chain").agg(F.count(F.lit(1)).alias("n_columns"), F.count_if("absent").alias("n_absent"))
+    return absent.join(profile.consensus(cols, 0.6, True), ["clusterId", "chain"])
+
+
+def dropped_members(spark, sf):
+    """What a cap of 20 members leaves out."""
+    return layout.dropped(layout.distinct_members(Families(spark, sf).rows()), 20)
+
+
+def reassignment_sample(spark, sf):
+    f = Families(spark, sf)
+    seqs = f.values.select("clonotypeKey", exprs.sanitize(F.col("trimmed_fullSequence")).alias("trimmed_fullSequence"))
+    found = reassign.sample(reassign.best_matches(stored(rule_clusters(f.reps)), seqs, IDENTITY))
+    return found.withColumn("norm_dist", F.round("norm_dist", 9))
+
+
+def scored_pairs(spark, sf):
+    """Words and the longest word of each of their 5-mers, scored under a matrix by rule."""
+    return scoring.scored_pairs(scoring.seed_pairs(stored(_full_words(spark, sf)), 5), scoring.level_matrix(62))
+
+
+def scored_clusters(spark, sf):
+    """Set cover over pairs of scored similarity."""
+    words = stored(_full_words(spark, sf))
+    pairs = scoring.scored_pairs(scoring.seed_pairs(words, 5), scoring.level_matrix(62)).filter(F.col("similarity") >= IDENTITY)
+    return cluster.set_cover(words.select("key"), stored(pairs.select("a", "b")))
+
+
 def family_analysis(spark, sf):
     """The whole analysis with its own clustering: the clusters table."""
     out = analysis.analyse(tables.clone_table(spark, sf), ClusterParams(identity=IDENTITY, trimEnd=TRIM_END, weightByAbundance=True, generateDataset=True, centroidAlignment="ungapped"))
@@ -432,5 +512,6 @@ abundances_per_cluster top_clusters abundances_top cluster_radius_top clone_to_c
 set_cover_clusters linear_time_clusters kmer_candidates coverage_modes reassign_singletons weighted_distinct_members capped_members column_tally
 absent_columns greedy_layout gapped_layout consensus_centroid plurality_centroid profile_distance cluster_radius medoid_reference peptide_label
 cluster_to_seq cluster_to_seq_top trimmed_sequences anonymize_roundtrip cluster_size_histogram bubble_view msa_view centroid_dataset clusters_view
-family_analysis""".split()
+family_analysis clone_table_join key_uniqueness distance_relation plurality_relation plurality_unwanted centroid_untrimmed cluster_to_seq_full
+padded_absent_columns dropped_members reassignment_sample scored_pairs scored_clusters""".split()
 QUERIES = {name: globals()[name] for name in _NAMES}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.exprs import strip_file_prefix
+from ..operators.dedup import uniqueness
 
 
 def read_tsv(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> DataFrame:
@@ -41,10 +42,19 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(strip_file_prefix(F.trim(parts[0])).alias("clonotypeKey"), sequence.alias("sequence"))
 
 
-def write_frame(df: DataFrame, path: str, by_sample: bool = False) -> None:
-    """A typed Parquet frame, partitioned by sample if it has that axis."""
+def import_frame(raw: DataFrame, axes: dict[str, str], columns: dict[str, str]) -> DataFrame:
+    """Axes and columns by name, cast to their types (name: type); a name that isn't there raises ValueError."""
+    if absent := [c for c in [*axes, *columns] if c not in raw.columns]:
+        raise ValueError("no such columns: " + ", ".join(absent))
+    return raw.select(*[F.col(c).cast(t).alias(c) for c, t in {**axes, **columns}.items()])
+
+
+def write_frame(df: DataFrame, path: str, keys: list[str] | None = None, partition_keys: int = 0) -> None:
+    """A typed Parquet frame, partitioned by the first `partition_keys` of its keys; double keys raise ValueError."""
+    if keys and not (told := uniqueness(df, keys).first())["is_unique"]:
+        raise ValueError(f"{told['n_rows']} rows have {told['n_keys']} keys ({', '.join(keys)})")
     writer = df.write.mode("overwrite")
-    (writer.partitionBy("sampleId") if by_sample else writer).parquet(path)
+    (writer.partitionBy(*keys[:partition_keys]) if keys and partition_keys else writer).parquet(path)
 
 
 def write_content(df: DataFrame, path: str) -> None:

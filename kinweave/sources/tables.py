@@ -50,3 +50,13 @@ def sequence_table(clones: DataFrame) -> DataFrame:
     """clonotypeKey, sequence_*: one row a key."""
     chains = [c for c in clones.columns if c.startswith("sequence_")]
     return clones.groupBy("clonotypeKey").agg(*[F.min(c).alias(c) for c in chains])
+
+
+def join_clone_table(abundance: DataFrame, sequences: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """The clone table of typed columns: abundance (sampleId, clonotypeKey, abundance), sequences (clonotypeKey, sequence_*)
+    and labels (clonotypeKey, clonotypeKeyLabel); ValueError where no label column was found."""
+    if labels is None:
+        raise ValueError("no label column for the clonotype keys")
+    chains = [c for c in sequences.columns if c.startswith("sequence_")]
+    joined = abundance.join(sequences.select("clonotypeKey", *chains), "clonotypeKey", "left").join(labels.select("clonotypeKey", "clonotypeKeyLabel"), "clonotypeKey", "left")
+    return joined.select("sampleId", "clonotypeKey", "abundance", *chains, "clonotypeKeyLabel")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import importlib.util
+import random
 
 import duckdb
 import pytest
@@ -10,11 +11,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from kinweave import catalog
-from kinweave.params import ClusterParams, suggest_similarity, warnings
+from kinweave.operators import cluster
+from kinweave.params import ClusterParams, prune_selection, suggest_similarity, warnings
 from kinweave.plans import analysis, oracles, views
 from kinweave.plans import queries as family
 from kinweave.schemas import clone_table, result_schemas
-from kinweave.sources import files
+from kinweave.sources import files, tables
 from kinweave.streaming import rollup as stream
 
 SF = "/root/testdata/sf0.001"
@@ -31,6 +33,13 @@ def test_params():
     assert not ClusterParams(clusteringTool="easy-linclust", highPrecision=True).effective().highPrecision
     with pytest.raises(ValueError):
         p.runnable()
+    assert ClusterParams(customBlockLabel="mine").label() == "mine" and ClusterParams().label() == "BLOSUM62, ident:0.8, cov:0.8"
+    assert ClusterParams(similarityType="sequence-identity", trimEnd=2, centroidAlignment="gapped").label(("CDR3", "FR1")) == "CDR3 - FR1, Exact Match, ident:0.8, cov:0.8, trimEnd: 2, gapped"
+    assert prune_selection(["a", "b"], ["b", "c"]) == ["b"]
+    assert all(ClusterParams.from_dict({k: v}) for k, v in {"coverageMode": 3, "trimStart": 2, "identity": 1, "mem": 8.5}.items())
+    for wrong in ({"coverageMode": 6}, {"coverageMode": True}, {"highPrecision": 1}, {"sequencesRef": [1]}, {"clusteringTool": "other"}, {"trimEnd": "1"}):
+        with pytest.raises(ValueError):
+            ClusterParams.from_dict(wrong)
     assert suggest_similarity(["FR1", "FR3"]) == "blosum80" and suggest_similarity(["CDR3"]) == "blosum62"
     assert warnings(True, None, True) and warnings(False, 3, True) and not warnings(False, 9, True)
 
@@ -50,6 +59,9 @@ def test_catalog(spark):
         c.single(name="none")
     df = spark.range(1).select(catalog.describe(F.lit("A"), seq))
     assert [s.name for s in catalog.read_specs(df)] == ["sequence"]
+    assert catalog.share_labels("Number of UMIs") == {
+        "abundance": "Number of UMIs in Cluster", "abundance_normalized": "Fraction of UMIs in Cluster", "abundance_fraction_per_cluster": "Total UMIs Fraction in Cluster"
+    }
     assert catalog.percent_text(0.35) == "35" and catalog.export_names("uniqueMoleculeCount")["fraction"] == "uniqueMoleculeFraction"
     table = catalog.missing_chain_join(spark.createDataFrame([("a",)], "clonotypeKey string"), {"sequence_0": spark.createDataFrame([("b", "X")], "clonotypeKey string, value string")})
     assert {(r.clonotypeKey, r.sequence_0) for r in table.collect()} == {("a", ""), ("b", "X")}
@@ -60,8 +72,16 @@ def test_files(spark, tmp_path):
     df = spark.createDataFrame(rows, clone_table(1))
     files.write_tsv(df, str(tmp_path / "t"))
     assert sorted(map(tuple, files.read_tsv(spark, str(tmp_path / "t"), clone_table(1)).collect()), key=str) == sorted(rows, key=str)
-    files.write_frame(df, str(tmp_path / "p"), by_sample=True)
+    files.write_frame(df, str(tmp_path / "p"), ["sampleId", "clonotypeKey"], 1)
     assert (tmp_path / "p" / "sampleId=s1").exists()
+    with pytest.raises(ValueError, match="2 rows have 1 keys"):
+        files.write_frame(df, str(tmp_path / "q"), ["sampleId"])
+    typed = files.import_frame(files.read_strings(spark, str(tmp_path / "t"), df.columns), {"sampleId": "string"}, {"abundance": "long"})
+    assert typed.dtypes == [("sampleId", "string"), ("abundance", "bigint")] and {r.abundance for r in typed.collect()} == {1, 3}
+    with pytest.raises(ValueError, match="absent"):
+        files.import_frame(df, {"absent": "string"}, {})
+    files.write_content(df.selectExpr("count(*) AS n"), str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).first()["n"] == 2
     reps = spark.createDataFrame([("k1", "ACD"), ("k2", "EF")], "clonotypeKey string, sequence string")
     files.write_fasta(reps, str(tmp_path / "f"))
     assert {tuple(r) for r in files.read_fasta(spark, str(tmp_path / "f")).collect()} == {("k1", "ACD"), ("k2", "EF")}
@@ -74,7 +94,7 @@ def _clones(spark):
     return spark.createDataFrame([(s, k, n + 1, v or None, f"C-{k}") for s in ("s1", "s2") for n, (k, v) in enumerate(seqs.items())], clone_table(1))
 
 
-@pytest.mark.parametrize("params", [{}, {"trimEnd": 2, "weightByAbundance": True, "generateDataset": True}, {"clusteringTool": "easy-linclust"}, {"highPrecision": True}])
+@pytest.mark.parametrize("params", [{}, {"trimEnd": 2, "weightByAbundance": True, "generateDataset": True}, {"clusteringTool": "easy-linclust"}, {"highPrecision": True}, {"similarityType": "sequence-identity"}])
 def test_analysis(spark, params):
     out = analysis.analyse(_clones(spark), ClusterParams.from_dict(params))
     for name, schema in result_schemas(1).items():
@@ -87,6 +107,39 @@ def test_analysis(spark, params):
     assert sum(r.abundance_fraction_per_cluster for r in out["abundances-per-cluster"].collect()) == pytest.approx(1)
 
 
+def test_scored_similarity(spark):
+    """Replacements within a group of residues count less under a matrix than as edits."""
+    reps = spark.createDataFrame([("a", "ACDEFGHIKLMACDEFGHIKLM"), ("b", "ACDEFGHIKLMGCDEFGHIKLI"), ("c", "WWWWWWWWWW"), ("d", "ACDE")], "clonotypeKey string, sequence string")
+    made = lambda **p: {r.clonotypeKey: r.clusterId for r in analysis.cluster_representatives(reps, ClusterParams(coverageThreshold=0.5, **p), 4).collect()}
+    assert made(identity=0.92, similarityType="sequence-identity") == {k: k for k in "abcd"}
+    scored = made(identity=0.92, similarityType="blosum62")
+    assert scored == {"a": "a", "b": "a", "c": "c", "d": "d"} == made(identity=0.92, highPrecision=True) == made(identity=0.92, clusteringTool="easy-linclust")
+    p = ClusterParams()
+    assert [analysis.seed_length(n, p) for n in (None, 1, 4, 9, 30)] == [5, 1, 3, 5, 5] and analysis.seed_length(4, ClusterParams(highPrecision=True)) == 5
+
+
+def test_linear_time(spark):
+    """Centres of k-mer groups against a plain walk over all groups."""
+    rng = random.Random(4)
+    seqs = {f"k{i:02d}": "".join(rng.choices("ABC", k=rng.randint(4, 9))) for i in range(40)}
+    df = spark.createDataFrame(list(seqs.items()), "key string, seq string")
+    got = {r.clonotypeKey: r.clusterId for r in cluster.linear_time(df, 4, lambda c, s: F.levenshtein(c, s) <= 2).collect()}
+    edits = lambda a, b: len(b) if not a else len(a) if not b else min(edits(a[1:], b) + 1, edits(a, b[1:]) + 1, edits(a[1:], b[1:]) + (a[0] != b[0]))
+    rank, best = {k: (-len(s), k) for k, s in seqs.items()}, {}
+    for gram in {s[i : i + 4] for s in seqs.values() for i in range(len(s) - 3)}:
+        group = [k for k, s in seqs.items() if gram in s]
+        centre = min(group, key=rank.get)
+        for k in group:
+            if k != centre and edits(seqs[k], seqs[centre]) <= 2:
+                best[k] = min(best.get(k, centre), centre, key=rank.get)
+    assert got == {k: best[k] if k in best and best[k] not in best else k for k in seqs}
+
+
+def test_clone_table_needs_labels(spark):
+    with pytest.raises(ValueError):
+        tables.join_clone_table(_clones(spark), _clones(spark), None)
+
+
 def test_empty_analysis(spark):
     out = analysis.analyse(_clones(spark).limit(0), ClusterParams())
     assert out.input_empty and all(out[name].count() == 0 for name in result_schemas(1))
