@@ -54,7 +54,11 @@ def line_units(key: Column) -> Column:
 
 def line_kind(key: Column, words: Column) -> Column:
     """What near lines have in common: 0 for lines of words, a hash of the digits for lines of characters."""
-    return F.when(F.size(words) >= MIN_UNITS, F.lit(0).cast("long")).otherwise(F.xxhash64(F.regexp_replace(key, "[^0-9]", "")))
+    return F.when(F.size(words) >= MIN_UNITS, F.lit(0).cast("long")).otherwise(digits(key))
+
+
+def digits(key: Column) -> Column:
+    return F.xxhash64(F.regexp_replace(key, "[^0-9]", ""))
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -195,15 +199,17 @@ def removals(docs: DataFrame) -> DataFrame:
     # explode() makes the words a column that is worked out once
     worded = each.withColumn("words", F.explode(F.array(line_words(F.col("key")))))
     key, words = F.col("key"), F.col("words")
-    kind = line_kind(key, words)
-    halves = F.when(F.size("words") >= MIN_UNITS, _halves(kind, F.size("words"), lambda at, n: F.slice(words, at, n))).when(
-        F.length("key") >= MIN_UNITS, _halves(kind, F.length("key"), lambda at, n: F.substring(key, at, n))
-    )
+    of_words = F.size(words) >= MIN_UNITS
+    halves = F.when(of_words, _halves(F.lit(0).cast("long"), F.size(words), lambda at, n: F.slice(words, at, n)))
+    # lines of characters keep their text until they are distinct
+    unspaced = F.when(~of_words & (F.length(key) >= MIN_UNITS), key)
     place = F.struct("doc_id", "tie", "line_no")
-    distinct = worded.select("k1", "k2", place.alias("place"), halves.alias("halves")).groupBy("k1", "k2").agg(
-        F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves")
+    distinct = worded.select("k1", "k2", place.alias("place"), halves.alias("halves"), unspaced.alias("key")).groupBy("k1", "k2").agg(
+        F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves"), F.first("key").alias("key")
     )
-    distinct = materialize(distinct, "distinct-lines")
+    size = F.length(key)
+    by_character = F.when(key.isNotNull(), _halves(digits(key), size, lambda at, n: F.substring(key, at, n)))
+    distinct = materialize(distinct.select("k1", "k2", "first", "n", F.coalesce("halves", by_character).alias("halves")), "distinct-lines")
     near = materialize(_later_neighbours(docs, distinct).withColumn("near", F.lit(True)), "near-lines")
     marks = distinct.select("k1", "k2", "first", "n").join(near, ["k1", "k2"], "left").filter("n > 1 OR near").select("k1", "k2", "first", "near")
     gone = each.select("k1", "k2", "doc_id", "tie", "line_no", place.alias("place")).join(marks, ["k1", "k2"])
