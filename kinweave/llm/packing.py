@@ -67,7 +67,7 @@ def token_ids(text: str, path: str) -> np.ndarray:
     while at < len(text):
         cut = _BETWEEN.search(text, at + PART) if len(text) - at > PART else None
         end = cut.start() if cut else len(text)
-        own.append(np.array(made.encode(text[at:end], allowed_special="all"), dtype=np.uint32))
+        own.append(made.encode_to_numpy(text if end - at == len(text) else text[at:end], allowed_special="all"))
         at = end
     return np.concatenate([*own, np.array([END], dtype=np.uint32)])
 
@@ -84,13 +84,18 @@ def _words(block: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return doc, (hashes >> _U(48)).astype(np.int64), (mix(least) >> _U(48)).astype(np.int32)
 
 
+def _narrow(values: np.ndarray, end: int) -> np.ndarray:
+    """Numbers below `end` in the least type that holds them, which sorts faster."""
+    return values.astype(np.uint16 if end <= 1 << 16 else np.uint32 if end <= 1 << 32 else np.int64)
+
+
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: kind, key, n. Kinds: document frequency by bucket, bytes by route, and documents and words in all."""
     frequency, route_bytes, totals = np.zeros(TERMS, np.int64), np.zeros(ROUTES, np.int64), np.zeros(2, np.int64)
     for batch in batches:
         for _, block in blocks(batch.column("text").to_pylist(), BLOCK):
             doc, bucket, route = _words(block)
-            frequency += np.bincount(np.unique(doc * TERMS + bucket) % TERMS, minlength=TERMS)
+            frequency += np.bincount(np.unique(_narrow(doc * TERMS + bucket, len(block) * TERMS)) % TERMS, minlength=TERMS)
             np.add.at(route_bytes, route, [len(t) + OVERHEAD for t in block])
             totals += (len(block), len(doc))
     for kind, counts in enumerate((frequency, route_bytes, totals)):
@@ -119,12 +124,12 @@ class Index:
     def __init__(self, block_words: list[np.ndarray], idf: np.ndarray, mean_words: float):
         n = len(block_words)
         doc = np.repeat(np.arange(n), [len(w) for w in block_words])
-        where, tf = np.unique(np.concatenate([np.empty(0, np.int64), *block_words]) * n + doc, return_counts=True)
-        self.bucket, self.doc = where // n, where % n
+        where, tf = np.unique(_narrow(np.concatenate([np.empty(0, np.int64), *block_words]) * n + doc, TERMS * n), return_counts=True)
+        self.bucket, self.doc = (where // n).astype(np.int64), (where % n).astype(np.int64)
         length = np.array([len(w) for w in block_words])[self.doc]
         self.weight = idf[self.bucket] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_words))
         self.n = n
-        own = np.argsort(self.doc, kind="stable")
+        own = np.argsort(_narrow(self.doc, n), kind="stable")
         self.own_buckets = np.split(self.bucket[own], np.cumsum(np.bincount(self.doc, minlength=n))[:-1])
         self.start = np.searchsorted(self.bucket, np.arange(TERMS + 1))
 
