@@ -233,28 +233,37 @@ def test_retrieval_walks_all_neighbours():
     assert [p[0] for p in packing.fill([5, *[1] * (n + 1)], index, 100)] == [0, *range(2, n + 2), 1]
 
 
-def test_lm_scores(spark):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_lm_scores(spark, order):
     rng = random.Random(5)
-    rows = [(k, " ".join(rng.choices(["A", "b", "c\td", "é", "longer"], k=rng.randint(0, 30)))) for k in range(50)] + EDGES[:-2]
-    out = {r.doc_id: r for r in lmscore.score_texts(_docs(spark, rows, extra=True), lmscore.held_out(F.col("doc_id"))).collect()}
+    rows = [(k, " ".join(rng.choices(["A", "b", "c\td", "é", "longer"], k=rng.randint(0, 30)))) for k in range(50)] + EDGES
+    found = lmscore.score_texts(_docs(spark, rows, extra=True), lmscore.held_out(F.col("doc_id")), order).collect()
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(d) for d, _ in rows)
+    out = {r.doc_id: r for r in found}
     low = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
-    tokens = {d: [*re.findall(r"[^\x20\x09-\x0D]+", low(t)), None] for d, t in rows}
-    held = {d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1 for d in tokens}
-    one, two, left = Counter(), Counter(), Counter()
-    for d, ts in tokens.items():
-        if not held[d]:
-            one.update(ts)
-            for u, w in zip(["<s>", *ts], ts, strict=False):
-                two[u, w] += 1
-                left[u] += 1
-    total, size = sum(one.values()), len(one)
-    p = lambda w: (one[w] + 0.5) / (total + 0.5 * (size + 1))
-    for d, ts in tokens.items():
-        r = out[d]
-        score = sum(math.log10((two[u, w] + lmscore.MU * p(w)) / (left[u] + lmscore.MU)) for u, w in zip(["<s>", *ts], ts, strict=False))
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[d], len(ts), sum(one[w] > 0 for w in ts), total)
-        assert (r.base_score, r.score) == pytest.approx((sum(math.log10(p(w)) for w in ts), score))
-    assert lmscore.score_texts(_docs(spark, []), F.lit(False)).count() == 0
+    tokens = [(d, [*re.findall(r"[^\x20\x09-\x0D]+", low(t)), None]) for d, t in rows]
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 5 == 1
+    counts, left = Counter(), Counter()
+    grams = lambda ts: [(tuple((["<s>"] * order + ts)[i + order - k : i + order]), w) for i, w in enumerate(ts) for k in range(order)]
+    for d, ts in tokens:
+        if not held(d):
+            for h, w in grams(ts):
+                counts[h, w] += 1
+                left[h] += 1
+    total, size = left[()], len({w for h, w in counts if not h})
+
+    def p(h, w):
+        if not h:
+            return (counts[h, w] + 0.5) / (total + 0.5 * (size + 1))
+        mu = lmscore.MU[min(len(h), len(lmscore.MU)) - 1]
+        return (counts[h, w] + mu * p(h[1:], w)) / (left[h] + mu)
+
+    for d, ts in tokens:
+        r, each = out[d], grams(ts)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(d), len(ts), sum(counts[(), w] > 0 for w in ts), total)
+        assert r.base_score == pytest.approx(sum(math.log10(p((), w)) for w in ts))
+        assert r.score == pytest.approx(sum(math.log10(p(h, w)) for h, w in each if len(h) == order - 1))
+    assert lmscore.score_texts(_docs(spark, []), F.lit(False), order).count() == 0
 
 
 def test_shingles():
