@@ -95,7 +95,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, block in blocks(batch.column("text").to_pylist(), BLOCK):
             doc, bucket, route = _words(block)
-            frequency += np.bincount(np.unique(_narrow(doc * TERMS + bucket, len(block) * TERMS)) % TERMS, minlength=TERMS)
+            frequency += np.bincount(np.unique(_narrow(doc * TERMS + bucket, len(block) * TERMS)).astype(np.int64) % TERMS, minlength=TERMS)
             np.add.at(route_bytes, route, [len(t) + OVERHEAD for t in block])
             totals += (len(block), len(doc))
     for kind, counts in enumerate((frequency, route_bytes, totals)):
@@ -125,7 +125,8 @@ class Index:
         n = len(block_words)
         doc = np.repeat(np.arange(n), [len(w) for w in block_words])
         where, tf = np.unique(_narrow(np.concatenate([np.empty(0, np.int64), *block_words]) * n + doc, TERMS * n), return_counts=True)
-        self.bucket, self.doc = (where // n).astype(np.int64), (where % n).astype(np.int64)
+        where = where.astype(np.int64)
+        self.bucket, self.doc = where // n, where % n
         length = np.array([len(w) for w in block_words])[self.doc]
         self.weight = idf[self.bucket] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_words))
         self.n = n
