@@ -5,27 +5,13 @@ Edges are (a, b) of string keys; nodes (key). Clusters are (clusterId, clonotype
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import stored
 from .candidates import kmers
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir and read again, which ends its lineage."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base}/kinweave-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def both_ways(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
 

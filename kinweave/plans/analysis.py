@@ -13,11 +13,12 @@ from ..catalog import centroid_domain, profile_domain
 from ..functions.exprs import CHAIN_SEPARATOR, coverage, residues, sequence_columns
 from ..operators import dedup, layout, profile, rollup, scoring
 from ..operators.candidates import bounded_edits, similar_pairs
-from ..operators.cluster import connected_components, linear_time, one_hop, set_cover, stored
+from ..operators.cluster import linear_time, one_hop, set_cover
 from ..operators.reassign import reassign_singletons
 from ..operators.scoring import level_matrix
 from ..params import ClusterParams, warnings
 from ..schemas import empty_results
+from ..storage import stored
 
 log = logging.getLogger(__name__)
 

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs
 from ..operators import candidates, cluster, dedup, layout, profile, reassign, rollup, scoring
-from ..operators.cluster import stored
 from ..params import ClusterParams
 from ..sources import tables
+from ..storage import stored
 from . import analysis, views
 
 TRIM_START, TRIM_END, IDENTITY = 0, 1, 0.9

@@ -38,17 +38,18 @@ def msa_panel(link: DataFrame, selected: DataFrame, trimmed: DataFrame, distance
 def anonymise(df: DataFrame, column: str, prefix: str = "S") -> tuple[DataFrame, DataFrame]:
     """df with opaque ids in `column`, and the inverse map (anonymised, original).
 
-    The ids number the sorted distinct values, which are few (samples).
+    The ids number the sorted distinct values, which are few (samples): one task sorts them. Joins aren't told to broadcast,
+    as nothing here bounds the map.
     """
     order = W.orderBy("original")
     mapping = df.select(F.col(column).alias("original")).distinct().select(F.concat(F.lit(prefix), F.row_number().over(order)).alias("anonymised"), "original")
-    hidden = df.join(F.broadcast(mapping), F.col(column) == F.col("original")).withColumn(column, F.col("anonymised")).drop("anonymised", "original")
+    hidden = df.join(mapping, F.col(column) == F.col("original")).withColumn(column, F.col("anonymised")).drop("anonymised", "original")
     return hidden, mapping
 
 
 def deanonymise(df: DataFrame, column: str, mapping: DataFrame) -> DataFrame:
     """Original values back; values that the map doesn't have stay."""
-    found = df.join(F.broadcast(mapping), F.col(column) == F.col("anonymised"), "left")
+    found = df.join(mapping, F.col(column) == F.col("anonymised"), "left")
     return found.withColumn(column, F.coalesce("original", column)).drop("anonymised", "original")
 
 

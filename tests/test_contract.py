@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from kinweave import catalog
+from kinweave import catalog, storage
 from kinweave.operators import cluster
 from kinweave.params import ClusterParams, prune_selection, suggest_similarity, warnings
 from kinweave.plans import analysis, oracles, views
@@ -140,6 +140,15 @@ def test_clone_table_needs_labels(spark):
         tables.join_clone_table(_clones(spark), _clones(spark), None)
 
 
+def test_stored_tables_can_be_dropped(spark):
+    from pathlib import Path
+
+    storage.drop_stored(spark)
+    df = storage.stored(spark.range(3))
+    folder = Path(df.inputFiles()[0].removeprefix("file://")).parent
+    assert df.count() == 3 and folder.exists() and storage.drop_stored(spark) == 1 and not folder.exists()
+
+
 def test_empty_analysis(spark):
     out = analysis.analyse(_clones(spark).limit(0), ClusterParams())
     assert out.input_empty and all(out[name].count() == 0 for name in result_schemas(1))
