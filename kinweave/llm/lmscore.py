@@ -39,7 +39,7 @@ ORDER = 3
 #: Weight of the estimate by the next shorter context, in occurrences, for contexts of one word, two words, ...; the last
 #: holds for longer ones. Chosen on held-out documents at two sizes.
 MU = (1500.0, 30.0)
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 #: Keys a shard, with those that several blocks ask for counted each time; and shards that small corpora have at most.
 SHARD_KEYS, SHARDS = 8_000_000, 64
 _U = np.uint64
@@ -192,23 +192,22 @@ class Automaton:
         self.root = np.log10(shorter).tolist()
         # a context is left as often as it is read, but for the end; the start is left as often as the end is read
         left, starts = word_counts, word_counts[block.end_word]
-        self.arcs, self.failures = [], []
+        probability, self.failures = np.zeros(len(block.grams)), []
         for k, (place, context) in enumerate(zip(block.places[1:], block.contexts, strict=True)):
             mu = weights[min(k, len(weights) - 1)]
             leaving = np.append(left, starts) + mu
-            of, under = np.zeros(len(block.grams), dtype=np.int64), np.zeros(len(block.grams), dtype=np.int64)
-            of[place], under[place] = context, block.places[k]
-            probability = (gram_counts + mu * shorter[under]) / leaving[of]
-            self.arcs.append([w if seen else None for w, seen in zip(np.log10(probability).tolist(), (gram_counts > 0).tolist(), strict=True)])
+            own, at = np.unique(place, return_index=True)
+            probability[own] = (gram_counts[own] + mu * shorter[block.places[k][at]]) / leaving[context[at]]
             self.failures.append(np.log10(mu / leaving).tolist())
             shorter, left = probability, gram_counts
+        self.arcs = [w if seen else None for w, seen in zip(np.log10(probability).tolist(), (gram_counts > 0).tolist(), strict=True)]
 
     def traverse(self, tokens: list[int], steps: list[tuple[list[int], list[int]]]) -> float:
         """log10 probability of one text; steps: for each order from 2, where the arc of each token would be, and its state."""
-        total = 0.0
-        levels = [(arcs, failure, *step) for arcs, failure, step in zip(self.arcs, self.failures, steps, strict=True)][::-1]
+        total, arcs = 0.0, self.arcs
+        levels = [(failure, *step) for failure, step in zip(self.failures, steps, strict=True)][::-1]
         for i, token in enumerate(tokens):
-            for arcs, failure, place, state in levels:
+            for failure, place, state in levels:
                 weight = arcs[place[i]]
                 if weight is not None:
                     total += weight
@@ -231,7 +230,7 @@ def score_texts(docs: DataFrame, held: Column, order: int = ORDER, weights: tupl
     shards, shift = max(min(SHARDS, 1 + bytes_ // BLOCK_BYTES), -(-keys // SHARD_KEYS)), max(0, 40 - keys.bit_length())
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _to_blocks(batches):
             for row in batch.to_pylist():
                 b = Block(row, order, shift)
                 w, g = _cuts(b.words, shards), _cuts(b.grams, shards, shift)
@@ -242,7 +241,7 @@ def score_texts(docs: DataFrame, held: Column, order: int = ORDER, weights: tupl
                     names=["block", "shard", "check", "word_keys", "word_counts", "gram_keys", "gram_counts"],
                 )
 
-    requests = blocks.mapInArrow(ask, "block long, shard int, check long, word_keys binary, word_counts binary, gram_keys binary, gram_counts binary")
+    requests = rows.mapInArrow(ask, "block long, shard int, check long, word_keys binary, word_counts binary, gram_keys binary, gram_counts binary")
     answers = materialize(requests.groupBy("shard").applyInArrow(_answer, _ANSWER), "count-answers")
     sums = answers.filter("block = -1").agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("v"), F.coalesce(F.sum("total"), F.lit(0)).alias("n")).first()
     distinct, total = sums["v"], sums["n"]
