@@ -116,7 +116,9 @@ def shard_rows(docs: DataFrame, shards: int = 16, seed: int = 0) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, seed: int = 0) -> None:
-    """Write the documents as one folder a shard, in the order of their slots. doc_id has to be a key here."""
+    """Write the documents as one folder a shard, in the order of their slots. ValueError if a doc_id is repeated or null."""
+    if not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 OR doc_id IS NULL").isEmpty():
+        raise ValueError("doc_id has to be a key of the table")
     placed = shard_rows(docs, shards, seed).select("doc_id", "shard", "slot")
     out = docs.join(placed, "doc_id").repartition(shards, "shard").sortWithinPartitions("shard", "slot")
     out.write.partitionBy("shard").parquet(path)

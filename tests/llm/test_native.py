@@ -23,6 +23,20 @@ def _docs(spark, rows, extra=False):
     return df
 
 
+def test_long_native_texts(spark):
+    """Long texts in decontamination, sharding and chat formatting."""
+    words = [f"w{k % 9973}" for k in range(200_000)]
+    item = " ".join(words[123_456:123_470])
+    docs = _docs(spark, [(1, " ".join(words)), (2, "x" * 2_000_000)])
+    items = spark.createDataFrame([("i", item)], "item_id string, text string")
+    found = {r.doc_id: r for r in decontaminate.find(docs, items).collect()}
+    places = [p for p in range(len(words) - 13) if words[p : p + 14] == words[123_456:123_470]]
+    assert found[1].n_words == 200_000 and found[1].n_hit == 14 * len(places) and (found[2].n_words, found[2].n_hit) == (1, 0)
+    assert {r["size"] for r in sharding.shard_rows(docs).collect()} == {len(" ".join(words)) + 1, 2_000_001}
+    back = chat.read_back(chat.expand(_chat(spark, [(1, 0, "user", "[INST]" * 100_000), (1, 1, "assistant", "y" * 1_000_000)]))).first()
+    assert [t.text for t in back.turns] == ["[INST]" * 100_000, "y" * 1_000_000] and back.replies == ["y" * 1_000_000]
+
+
 def _chat(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
 
@@ -195,6 +209,9 @@ def test_shards(spark, tmp_path):
     assert sharding.shard_rows(_docs(spark, [])).count() == 0
     sharding.write_shards(_docs(spark, [(i, f"t{i}") for i in range(40)]), str(tmp_path / "s"), 4)
     assert sorted(p.name for p in (tmp_path / "s").glob("shard=*")) == [f"shard={k}" for k in range(4)]
+    for doubled in ([(1, "a"), (1, "b")], [(None, "a")]):
+        with pytest.raises(ValueError):
+            sharding.write_shards(_docs(spark, doubled), str(tmp_path / "t"), 4)
 
 
 _SIDE = "file_id long, offset long, length long, record_id long, digest string, finding string, tie string"
