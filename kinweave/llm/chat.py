@@ -7,7 +7,8 @@ length in code points. Control strings of the template inside roles and texts ar
 texts back exactly.
 
 Turns are taken in the order of turn, role, text. Nulls: a null role or text counts as empty, a null conv_id is a
-conversation like any other, null turns come first. Repeated rows are turns like any others. An empty table gives no
+conversation like any other, null turns come first. Empty and very long texts are texts like others. Repeated rows are
+turns like any others. An empty table gives no
 examples. Columns beside conv_id, turn, role and text are ignored. The expansion repeats contexts, so its output
 grows with the square of the turns of a conversation: that is what the method is.
 """

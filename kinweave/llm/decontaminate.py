@@ -5,7 +5,7 @@ item are its runs of `width` consecutive words; an item of fewer words, but not
 frequency of every test term is counted over all documents; windows with a term that occurs nowhere are done with. The
 index then stores the postings (term, document, position) of the two rarest terms of each window. Their offset-adjusted
 lists are intersected (rarest first), which leaves candidate places; these are checked against the words themselves, so
-the result is exact. Words inside any occurrence of a window are hit.
+the result is exact. Words inside any occurrence of a window are hit. Long texts are taken whole.
 
 Nulls: a null text has no words; a null item_id counts as an empty string. Empty texts have no words and no windows.
 Repeated documents each get their own, equal result; repeated items count once by item_id. Without items nothing is

@@ -9,7 +9,7 @@ the difference is larger than the sketch can tell, and both sketches are built a
 likeness = common / (common + digests of either alone), 1 for two texts without paragraphs.
 
 Nulls: a null text counts as empty; documents with null ids come last in the descending order. Rows of equal doc_id
-are ordered by a hash of their texts. The only document of a table is its own next one. An empty table gives an empty
+are ordered by a hash of their texts. Long texts are taken whole, one at a time with its edited version. The only document of a table is its own next one. An empty table gives an empty
 result. Columns beside doc_id and text are ignored.
 """
 

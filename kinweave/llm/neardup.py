@@ -16,7 +16,7 @@ similarity: only members of bands that still hold several components take part,
 and each of those only if what comes before its first common shingle leaves the similarity possible. No band is capped.
 
 Nulls: a null text counts as empty; all texts without words are equal to each other. A text of fewer than five words
-is one shingle. Rows are told apart by doc_id and text; a null doc_id is kept and counts as larger than others for
+is one shingle; a very long one is hashed in chunks, whole, in a block of its own. Rows are told apart by doc_id and text; a null doc_id is kept and counts as larger than others for
 class_id unless all are null. Ties: class_id is the least doc_id of the group. Groups whose doc_ids are all null, or that
 have their least doc_id in common, share a class_id; class_key (the least set hash of the group, in hexadecimal) tells
 them apart, and deduplicate() goes by it. An empty table gives an empty result.

@@ -6,7 +6,8 @@ network permutes a rectangle a x b that is at least n and less than n + a large;
 Shard = permuted number mod shards and slot = permuted number div shards: counts of the shards differ by one at
 most, slots are gapless, and both can be computed, and inverted, from (x, n, seed) alone.
 
-Nulls: a null text counts as no bytes (size 1, checksum 0); null ids come first in the row order. Equal rows get
+Nulls: a null text counts as no bytes (size 1, checksum 0), an empty one too, and long ones are read once for their size
+and checksum; null ids come first in the row order. Equal rows get
 different numbers, their order among themselves being of no effect. An empty table gives an empty result. Columns
 beside doc_id and text are ignored.
 """
