@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprint, fixity, language, linededup, lmscore, neardup, packing, sharding
+from . import chat, decontaminate, fingerprint, fixity, language, linededup, lmscore, neardup, packing, sharding, tokenfiles
 
 QUERIES = {
     "op1_probminhash_groups": neardup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_backoff_automaton": lmscore.query,
     "op9_warc_fixity": fixity.query,
     "op10_feistel_shards": sharding.query,
+    "op12_seekable_token_files": tokenfiles.query,
 }
 
 ORACLES = {
