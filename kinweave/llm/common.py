@@ -54,6 +54,15 @@ def drop_stored(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
     del _STORED[since:end]
 
 
+#: Rows up to which small() broadcasts; the tables it is given have narrow rows, so this is below 100 MB.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if it has been counted to hold few rows, else as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def div(a: Column, b: Column | int) -> Column:
     """Integral division."""
     return F.call_function("div", a, F.lit(b) if isinstance(b, int) else b)

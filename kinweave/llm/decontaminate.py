@@ -17,13 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialize, pack, table, unpack
+from .common import ascii_lower, materialize, pack, small, table, unpack
 
 WIDTH = 10
 #: ASCII characters that are no letters (in lower case) or digits.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Test terms or windows are broadcast up to this many rows (below 100 MB); beyond, joins shuffle.
-BROADCAST_ROWS = 500_000
 
 
 def words(text: Column) -> Column:
@@ -35,11 +33,6 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"k1": F.xxhash64("doc_id", "text"), "k2": F.xxhash64(F.lit(7), "text", "doc_id")})
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it has been counted to hold few rows, else as it is."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
-
-
 def windows(benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
     """Distinct windows: window (array of words), items (ids that have it)."""
     item = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words(F.col("text")).alias("words")).filter(F.size("words") > 0)

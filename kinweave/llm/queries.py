@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprint, fixity, language, linededup, lmscore, neardup, packing, sharding, tokenfiles
+from . import chat, decontaminate, fingerprint, fixity, language, linededup, lmscore, neardup, packing, sharding, spelling, tokenfiles
 
 QUERIES = {
     "op1_probminhash_groups": neardup.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_warc_fixity": fixity.query,
     "op10_feistel_shards": sharding.query,
     "op12_seekable_token_files": tokenfiles.query,
+    "op13_bit_sliced_variants": spelling.query,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op7_positional_index": decontaminate.ORACLE,
     "op9_warc_fixity": fixity.ORACLE,
     "op10_feistel_shards": sharding.ORACLE,
+    "op13_bit_sliced_variants": spelling.ORACLE,
 }
