@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, fingerprint, fixity, language, linededup, lmscore, neardup, packing, sharding, spelling, tokenfiles
+from . import chat, decontaminate, fingerprint, fixity, hardneg, language, linededup, lmscore, neardup, packing, sharding, spelling, tokenfiles
 
 QUERIES = {
     "op1_probminhash_groups": neardup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_backoff_automaton": lmscore.query,
     "op9_warc_fixity": fixity.query,
     "op10_feistel_shards": sharding.query,
+    "op11_shared_list_negatives": hardneg.query,
     "op12_seekable_token_files": tokenfiles.query,
     "op13_bit_sliced_variants": spelling.query,
 }
@@ -25,5 +26,6 @@ ORACLES = {
     "op7_positional_index": decontaminate.ORACLE,
     "op9_warc_fixity": fixity.ORACLE,
     "op10_feistel_shards": sharding.ORACLE,
+    "op11_shared_list_negatives": hardneg.ORACLE,
     "op13_bit_sliced_variants": spelling.ORACLE,
 }
