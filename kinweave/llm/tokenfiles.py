@@ -46,26 +46,54 @@ FRAME = 1 << 18
 #: Magic numbers of the seekable format: skippable frames for the table and for our list, and the footer's end.
 _TABLE, _LIST, _SEEKABLE = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1
 #: Words whose ids are kept at hand, and the longest of them; texts are split in parts of so many characters.
-KNOWN, LONGEST, PART = 1 << 18, 64, 1 << 20
+KNOWN, LONGEST, PART = 1 << 19, 64, 1 << 20
+_LATIN, _MARKS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+"), '.,;:!?)"'
+#: Marks are cut from words that end in a letter below this one (Latin, Greek, Cyrillic).
+_LETTERS_END = "\u0530"
+_PACKED = [struct.Struct(f"<{n}I") for n in range(7)]
+#: How byte-level vocabularies write bytes: printable ones as they are, the others as the code points from 256 on.
+_PRINTED = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_AS_PRINTED = {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _DOCUMENT = np.dtype([("doc_id", "<i8"), ("null", "<u1"), ("n", "<i8")])
 
 
 class WordEncoder(dict):
     """Ids of texts by `tokenizers`, each distinct word once: right for vocabularies that drop white space.
 
-    There no token goes over a blank or line feed, so a text's ids are those of the pieces between them.
+    There no token goes over a blank or line feed, so a text's ids are those of the pieces between them; marks that end a
+    word are pieces of their own. Words of Latin letters go to the vocabulary's model at once where it proves to be one of
+    lower-case UTF-8 bytes, all other words through all of the tokenizer. Words are kept at hand in two generations of
+    KNOWN each, so that frequent ones stay.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.older = Tokenizer.from_file(path), {}
+        self.direct = all(self._model(w) == self._all(w) for w in ("Hello", "x", "naïveté", "ÀÿÑß", "lowercasing"))
+
+    def _model(self, word: str) -> list[int] | None:
+        try:
+            return [t.id for t in self.tokenizer.model.tokenize(word.lower().encode().decode("latin-1").translate(_AS_PRINTED))]
+        except Exception:  # the model has no such letters
+            return None
+
+    def _all(self, word: str) -> list[int]:
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            stem = word.rstrip(_MARKS)
+            if len(stem) < len(word) and "A" <= stem[-1:] < _LETTERS_END and stem[-1].lower().isalpha():
+                ids = self[stem] + self[word[len(stem) :]]
+            else:
+                found = self._model(word) if self.direct and _LATIN.fullmatch(word) else self._all(word)
+                ids = np.array(found, dtype="<u4").tobytes() if len(found) > 6 else _PACKED[len(found)].pack(*found)
         if len(word) <= LONGEST:
             if len(self) >= KNOWN:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -76,9 +104,9 @@ class WordEncoder(dict):
         while at < len(text):
             cut = text.find(" ", at + PART)
             upto = cut if cut >= 0 else len(text)
-            parts += map(self.__getitem__, text[at:upto].replace("\n", " ").split(" "))
+            parts.append(b"".join(map(self.__getitem__, text[at:upto].replace("\n", " ").split(" "))))
             at = upto
-        return b"".join([*parts, struct.pack("<I", end)])
+        return b"".join([*parts, _PACKED[1].pack(end)])
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from kinweave.llm import tokenfiles
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-ODD = ["", " ", "\n\n", "It's we'll  THEY'RE\t'd'", "x\x1cy\x85z w v", "é ́a 가", "ΟΔΟΣ ΣΑΣ. Σ", "a<|endoftext|>b <|startoftext|> <|end", "１２３ 漢字かな", "‍﻿", "y" * 300, "🙂🙂 ok", "İI"]
+ODD = ["", " ", "\n\n", "It's we'll  THEY'RE\t'd'", "x\x1cy\x85z w v", "é ́a 가", "ΟΔΟΣ ΣΑΣ. Σ", "a<|endoftext|>b <|startoftext|> <|end", "１２３ 漢字かな", "‍﻿", "y" * 300, "🙂🙂 ok", "İI", "ΑΣ.Α", "ΑΣ.", "ΑΣ)", "x<|endoftext|>.", "end.)!", "...", "a.\"", "don't.", "σİ.", "ÑandÚ:", "\u00d7\u00f7aé"]
 
 
 def _ids(tokenizer, text):
