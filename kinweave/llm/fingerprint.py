@@ -2,9 +2,10 @@
 
 A text is cut at line ends and, inside a line, behind sentence ends into short paragraphs; each gets a 64-bit digest,
 the k-th repeat of a paragraph one of its own. Every digest goes to three cells (one in each third of the sketch); a
-cell holds a count, the digests xored and their checks xored. Sketches of two versions subtract cell by cell, and
-peeling cells that hold a single digest recovers exactly the digests that only one version has. If peeling gets stuck
-the difference is larger than the sketch can tell, and both sketches are built again eight times as large.
+cell holds a count, the digests xored and their checks (32 bits of another hash) xored. Sketches of two versions subtract
+cell by cell, and peeling cells that hold a single digest recovers the digests that only one version has. What is peeled
+has to agree with the sides' numbers of digests and with a sum of their 64-bit hashes. If it doesn't, or if peeling gets
+stuck, the difference is larger than the sketch can tell, and both sketches are built again larger.
 
 likeness = common / (common + digests of either alone), 1 for two texts without paragraphs.
 
@@ -19,6 +20,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +30,16 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-#: Cells of the stored fingerprint, and how much larger each retry is. Cells come in thirds.
-CELLS, LARGER = 24, 8
-_CELL = np.dtype([("count", "<i2"), ("key", "<u8"), ("check", "<u2")])
+#: Cells of the stored fingerprint (they come in thirds), and how much larger each retry is up to a size and beyond it.
+CELLS, LARGER, LARGE, LARGER_THEN = 24, 8, 1 << 17, 2
+#: A sketch isn't tried where each cell would have to tell more digests than this; peeling stops after so many rounds (of a third each).
+FULLEST, ROUNDS = 0.8, 600
+#: Cells of the sketches, and digests of the documents, that are worked on together.
+CELLS_AT_ONCE, DIGESTS_AT_ONCE = 1 << 17, 1 << 15
+_CELL = np.dtype([("count", "<i4"), ("key", "<u8"), ("check", "<u4")])
 _ENDS = re.compile(r"(?<=[.!?])[ \t]+|[\r\n]+")
-_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+_M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)
+_HALF, _LOW = np.uint64(32), np.uint64(0xFFFFFFFF)
 
 
 def digests(text: str) -> np.ndarray:
@@ -53,91 +60,166 @@ def _mix(keys: np.ndarray) -> np.ndarray:
     return z ^ (z >> np.uint64(29))
 
 
-_SHIFTS = np.array([[4], [24], [44]], dtype=np.uint64)
+def hashes(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each digest: three places of 32 bits and a check of 32 bits."""
+    first = _mix(keys)
+    return first, _mix(first + _M3)
 
 
-def _places(mixed: np.ndarray, cells: int) -> np.ndarray:
-    """The three cells of each key, one in each third: all first ones, all second ones, all third ones."""
-    third = cells // 3
-    at = (((mixed >> _SHIFTS) & np.uint64(0xFFFFF)) * np.uint64(third) >> np.uint64(20)).astype(np.int64)
-    at += np.array([[0], [third], [2 * third]])
-    return at.ravel()
+class Side(NamedTuple):
+    """The digests of one text of each pair, one after the other: their pair, their hashes, and sizes by pair."""
+
+    keys: np.ndarray
+    pair: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+    sizes: np.ndarray
+    totals: np.ndarray
+
+
+def side(texts: list[np.ndarray]) -> Side:
+    sizes = np.array([len(k) for k in texts], dtype=np.int64)
+    keys = np.concatenate([np.empty(0, np.uint64), *texts])
+    first, second = hashes(keys)
+    pair = np.repeat(np.arange(len(texts)), sizes)
+    return Side(keys, pair, first, second, sizes, _sums(first, sizes))
+
+
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums (modulo 2^64) of consecutive runs of these sizes."""
+    ends = np.cumsum(sizes)
+    running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+    return running[ends] - running[ends - sizes]
+
+
+def _places(pair: np.ndarray, first: np.ndarray, second: np.ndarray, cells: int) -> np.ndarray:
+    """The three cells of each digest, one in each third of its pair's cells: all first ones, all second ones, all third ones."""
+    third, begin = np.uint64(cells // 3), (pair * cells).astype(np.uint64)
+    at = np.concatenate(
+        (((first >> _HALF) * third >> _HALF) + begin, ((first & _LOW) * third >> _HALF) + (third + begin), ((second >> _HALF) * third >> _HALF) + (third + third + begin))
+    )
+    return at.view(np.int64)
 
 
 def _thrice(x: np.ndarray) -> np.ndarray:
     return np.concatenate((x, x, x))
 
 
-def _check(mixed: np.ndarray) -> np.ndarray:
-    return ((mixed * _M1) >> np.uint64(48)).astype(np.uint16)
+class Sketch(NamedTuple):
+    """The cells of all pairs: how many digests (of the first sides less those of the second), the digests xored, their checks xored."""
 
+    count: np.ndarray
+    key: np.ndarray
+    check: np.ndarray
 
-def sketch(keys: np.ndarray, cells: int = CELLS, mixed: np.ndarray | None = None) -> np.ndarray:
-    """The sketch of a set of digests; mixed: their hashes, where they are known."""
-    mixed = _mix(keys) if mixed is None else mixed
-    out, at = np.zeros(cells, dtype=_CELL), _places(mixed, cells)
-    out["count"] = np.bincount(at, minlength=cells)
-    key, check = np.zeros(cells, dtype=np.uint64), np.zeros(cells, dtype=np.uint16)
-    np.bitwise_xor.at(key, at, _thrice(keys))
-    np.bitwise_xor.at(check, at, _thrice(_check(mixed)))
-    out["key"], out["check"] = key, check
-    return out
 
+def sketch(of: Side, cells: int = CELLS) -> Sketch:
+    n, at = len(of.sizes) * cells, _places(of.pair, of.first, of.second, cells)
+    key, check = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.uint64)
+    np.bitwise_xor.at(key, at, _thrice(of.keys))
+    np.bitwise_xor.at(check, at, _thrice(of.second & _LOW))
+    return Sketch(np.bincount(at, minlength=n), key, check)
 
-def subtract(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.empty_like(a)
-    out["count"], out["key"], out["check"] = a["count"] - b["count"], a["key"] ^ b["key"], a["check"] ^ b["check"]
-    return out
+
+def subtract(a: Sketch, b: Sketch) -> Sketch:
+    return Sketch(a.count - b.count, a.key ^ b.key, a.check ^ b.check)
 
 
-def peel(diff: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-    """Digests of the first side alone and of the second side alone; None if the sketch holds too many."""
-    count, key, check = (np.ascontiguousarray(diff[x]) for x in ("count", "key", "check"))
-    cells, ours, theirs = len(diff), [], []
-    for _ in range(4 * cells):
-        single = np.flatnonzero((count == 1) | (count == -1))
-        mixed = _mix(key[single])
-        checks = _check(mixed)
-        good = np.flatnonzero(check[single] == checks)
-        if not len(good):
-            break
-        keys, first = np.unique(key[single[good]], return_index=True)
-        good = good[first]
-        sign, mixed, checks = count[single[good]], mixed[good], checks[good]
-        ours.append(keys[sign > 0])
-        theirs.append(keys[sign < 0])
-        at = _places(mixed, cells)
-        np.subtract.at(count, at, _thrice(sign))
-        np.bitwise_xor.at(key, at, _thrice(keys))
-        np.bitwise_xor.at(check, at, _thrice(checks))
-    if count.any() or key.any() or check.any():
-        return None
-    none = np.empty(0, dtype=np.uint64)
-    return np.concatenate([none, *ours]), np.concatenate([none, *theirs])
-
-
-def difference(a: np.ndarray, b: np.ndarray, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of a alone and of b alone, by sketches alone; sketches grow until they can be peeled.
-
-    Sizes that can't even hold what the sides' numbers of digests differ by are left out.
+def peel(diff: Sketch, cells: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What can be peeled from the pairs' cells: digests, their pairs, whose they are (1 or -1); and which pairs are left with nothing.
+
+    A cell of count 1 or -1 is peeled if its check is that of its key and the key belongs there. A round takes one third
+    of all pairs' cells, where a digest of a pair stands once. Peeling ends when all three thirds give nothing, or after
+    ROUNDS, so it ends whatever it is given.
+    """
+    count, key, check = (x.copy() for x in diff)
+    pairs, third = len(count) // cells, cells // 3
+    view, got, idle, t = count.reshape(pairs, 3, third), [], 0, 0
+    for _ in range(ROUNDS):
+        p, c = np.nonzero(np.abs(view[:, t]) == 1)
+        at = p * cells + t * third + c
+        keys = key[at]
+        first, second = hashes(keys)
+        good = np.flatnonzero((second & _LOW) == check[at])
+        if len(good):
+            at, p, keys, first, second = at[good], p[good], keys[good], first[good], second[good]
+            places = _places(p, first, second, cells)
+            fits = np.flatnonzero(places[t * len(at) : (t + 1) * len(at)] == at)
+            if len(fits) < len(at):
+                at, p, keys, first, second = at[fits], p[fits], keys[fits], first[fits], second[fits]
+                places = _places(p, first, second, cells)
+            good = fits
+        if len(good):
+            sign = count[at]
+            got.append((keys, p, sign))
+            np.subtract.at(count, places, _thrice(sign))
+            np.bitwise_xor.at(key, places, _thrice(keys))
+            np.bitwise_xor.at(check, places, _thrice(second & _LOW))
+            idle = 0
+        else:
+            idle += 1
+            if idle == 3:
+                break
+        t = (t + 1) % 3
+    left = (count != 0) | (key != 0) | (check != 0)
+    keys, pair, sign = (np.concatenate([np.empty(0, k), *x]) for k, x in zip((np.uint64, np.int64, np.int64), zip(*got, strict=True) if got else ([], [], []), strict=True))
+    return keys, pair, sign, ~left.reshape(pairs, cells).any(axis=1)
+
+
+def differences(a: list[np.ndarray], b: list[np.ndarray], cells: int = CELLS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each pair of sets of digests those of a alone and of b alone, by sketches alone; sketches grow until they can be peeled.
+
+    A result has to explain the pair: its numbers of digests, its sums of hashes, no digest twice or on both sides. Sizes
+    that can't even hold what the numbers of digests differ by are left out.
     """
-    apart, mixed_a, mixed_b = abs(len(a) - len(b)), _mix(a), _mix(b)
-    while True:
-        found = peel(subtract(sketch(a, cells, mixed_a), sketch(b, cells, mixed_b))) if cells >= apart else None
-        # as many digests as the sides' sizes differ by: all is right but for a false check
-        if found is not None and len(found[0]) - len(found[1]) == len(a) - len(b):
-            return found
-        cells *= LARGER
+    out: list = [None] * len(a)
+    waiting = np.arange(len(a))
+    apart = np.array([abs(len(x) - len(y)) for x, y in zip(a, b, strict=True)], dtype=np.int64)
+    while len(waiting):
+        tried = waiting[FULLEST * cells >= apart[waiting]]
+        for some in np.array_split(tried, max(1, len(tried) * cells // CELLS_AT_ONCE)):
+            if not len(some):
+                continue
+            ours, theirs = side([a[k] for k in some]), side([b[k] for k in some])
+            keys, pair, sign, empty = peel(subtract(sketch(ours, cells), sketch(theirs, cells)), cells)
+            order = np.lexsort((keys, pair))
+            keys, pair, sign = keys[order], pair[order], sign[order]
+            ends = np.searchsorted(pair, np.arange(len(some) + 1))
+            repeated = np.zeros(len(some), dtype=bool)
+            repeated[pair[1:][(keys[1:] == keys[:-1]) & (pair[1:] == pair[:-1])]] = True
+            hashed = hashes(keys)[0]
+            sums = _sums(np.where(sign > 0, hashed, np.uint64(0) - hashed), np.diff(ends))
+            n = np.bincount(pair, weights=sign, minlength=len(some)).astype(np.int64)
+            right = empty & ~repeated & (sums == ours.totals - theirs.totals) & (n == ours.sizes - theirs.sizes)
+            for k in np.flatnonzero(right):
+                own, plus = keys[ends[k] : ends[k + 1]], sign[ends[k] : ends[k + 1]] > 0
+                out[some[k]] = (own[plus], own[~plus])
+        waiting = np.array([k for k in waiting if out[k] is None], dtype=np.int64)
+        cells *= LARGER if cells < LARGE else LARGER_THEN
+    return out
+
+
+def likenesses(a: list[np.ndarray], b: list[np.ndarray]) -> list[float]:
+    out = []
+    for x, y, (ours, theirs) in zip(a, b, differences(a, b), strict=True):
+        common, apart = len(x) - len(ours), len(ours) + len(theirs)
+        if common < 0 or len(y) - len(theirs) != common:
+            raise AssertionError("a difference that doesn't fit its sets")
+        out.append(common / (common + apart) if common + apart else 1.0)
+    return out
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    ours, theirs = difference(a, b)
-    common, apart = len(a) - len(ours), len(ours) + len(theirs)
-    return common / (common + apart) if common + apart else 1.0
+    return likenesses([a], [b])[0]
 
 
-def serialize(keys: np.ndarray) -> str:
-    return f"{len(keys)}:" + base64.b64encode(sketch(keys).tobytes()).decode()
+def serialize(texts: list[np.ndarray]) -> list[str]:
+    """Number of digests, sum of their hashes, and the cells, as text."""
+    of = side(texts)
+    out = np.empty((len(texts), CELLS), dtype=_CELL)
+    for name, values in zip(_CELL.names, sketch(of), strict=True):
+        out[name] = values.reshape(-1, CELLS)
+    return [f"{n}:{total:x}:" + base64.b64encode(cells.tobytes()).decode() for n, total, cells in zip(of.sizes.tolist(), of.totals.tolist(), out, strict=True)]
 
 
 def edited(text: str, other: str) -> str:
@@ -149,22 +231,36 @@ def edited(text: str, other: str) -> str:
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
+def _rows(held: list[tuple]) -> pa.RecordBatch:
+    ids, lengths, shas, own, changed, following = zip(*held, strict=True)
+    own, changed, following = list(own), list(changed), list(following)
+    columns = [
+        pa.array(ids, pa.int64()), pa.array(lengths, pa.int64()), pa.array(shas), pa.array(serialize(own)), pa.array(serialize(changed)),
+        pa.array(likenesses(own, changed)), pa.array(likenesses(own, following)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")])
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket and place; the last of each bucket only serves as the next of the one before it."""
-    before = None
+    """Rows come sorted by bucket and place; the last of each bucket only serves as the next of the one before it.
+
+    Documents are compared together until they have DIGESTS_AT_ONCE.
+    """
+    before, held, n = None, [], 0
     for batch in batches:
-        out = []
         for doc_id, text, bucket, is_next in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "bucket", "is_next")), strict=True):
             keys = digests(text)
             if before is not None and before[3] == bucket:
                 b_id, b_text, b_keys, _ = before
                 changed = edited(b_text, text)
-                e_keys = digests(changed)
-                sha = hashlib.sha256(changed.encode()).hexdigest()
-                out.append((b_id, len(b_text), sha, serialize(b_keys), serialize(e_keys), likeness(b_keys, e_keys), likeness(b_keys, keys)))
+                held.append((b_id, len(b_text), hashlib.sha256(changed.encode()).hexdigest(), b_keys, digests(changed), keys))
+                n += len(b_keys) + len(keys)
+                if n >= DIGESTS_AT_ONCE:
+                    yield _rows(held)
+                    held, n = [], 0
             before = None if is_next else (doc_id, text, keys, bucket)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x) if k else pa.array(x, pa.int64()) for k, x in enumerate(zip(*out, strict=True))], names=[c.split()[0] for c in SCHEMA.split(", ")])
+    if held:
+        yield _rows(held)
 
 
 def fingerprint_edits(docs: DataFrame) -> DataFrame:

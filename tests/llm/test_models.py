@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -121,9 +122,54 @@ def test_sketch_recovers_differences():
     for size, apart in ((0, 0), (5, 1), (200, 3), (500, 400)):
         both = rng.integers(0, 1 << 63, size + apart).astype(np.uint64)
         a, b = np.unique(both[: size + apart // 2]), np.unique(np.concatenate([both[:size], both[size + apart // 2 :]]))
-        ours, theirs = fingerprint.difference(a, b)
+        (ours, theirs), *_ = fingerprint.differences([a], [b])
         assert set(ours.tolist()) == set(a.tolist()) - set(b.tolist()) and set(theirs.tolist()) == set(b.tolist()) - set(a.tolist())
-    assert fingerprint.peel(fingerprint.subtract(fingerprint.sketch(both[:200]), fingerprint.sketch(both[200:400]))) is None
+    one, other = (fingerprint.sketch(fingerprint.side([k])) for k in (both[:200], both[200:400]))
+    assert not fingerprint.peel(fingerprint.subtract(one, other), fingerprint.CELLS)[3].any()
+
+
+def test_pairs_do_not_meet():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 400).astype(np.uint64)
+    pick = lambda: np.unique(rng.choice(pool, rng.integers(0, 300)))
+    a, b = [pick() for _ in range(300)], [pick() for _ in range(300)]
+    for x, y, (ours, theirs) in zip(a, b, fingerprint.differences(a, b), strict=True):
+        assert np.array_equal(ours, np.setdiff1d(x, y)) and np.array_equal(theirs, np.setdiff1d(y, x))
+
+
+@pytest.mark.parametrize("apart,seeds", [(1, 60), (2, 60), (19, 60), (30, 60), (150, 40), (1000, 20), (6000, 20), (16000, 10), (120_000, 3), (500_000, 2)])
+def test_likeness_is_that_of_the_sets(apart, seeds):
+    for seed in range(seeds):
+        rng = np.random.default_rng(seed)
+        common = rng.integers(0, 1 << 63, int(rng.integers(0, 2 * apart))).astype(np.uint64)
+        left = int(rng.integers(0, apart + 1)) if seed % 2 else apart // 2
+        own, other = rng.integers(0, 1 << 63, left).astype(np.uint64), rng.integers(0, 1 << 63, apart - left).astype(np.uint64)
+        a, b = np.unique(np.concatenate([common, own])), np.unique(np.concatenate([common, other]))
+        began = time.time()
+        (ours, theirs), *_ = fingerprint.differences([a], [b])
+        assert time.time() - began < 10
+        assert np.array_equal(np.sort(ours), np.setdiff1d(a, b)) and np.array_equal(np.sort(theirs), np.setdiff1d(b, a))
+        assert fingerprint.likeness(a, b) == len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+
+
+def test_likeness_of_numbered_lines():
+    low, high = ("\n".join(map(str, range(k, k + 10000))) for k in (0, 10000))
+    assert fingerprint.likeness(fingerprint.digests(low), fingerprint.digests(high)) == 0.0
+    a, b = ("\n".join(map(str, range(k, k + 2_500_000))) for k in (0, 2_000_000))  # 18 and 20 MB
+    began = time.time()
+    assert fingerprint.likeness(fingerprint.digests(a), fingerprint.digests(b)) == 500_000 / 4_500_000
+    assert time.time() - began < 60
+
+
+def test_peeling_ends_on_a_sketch_that_is_none():
+    rng = np.random.default_rng(0)
+    for cells in (24, 192, 12288):
+        noise = fingerprint.Sketch(rng.integers(-1, 2, 5 * cells), rng.integers(0, 1 << 63, 5 * cells).astype(np.uint64), rng.integers(0, 1 << 32, 5 * cells).astype(np.uint64))
+        assert not fingerprint.peel(noise, cells)[3].any()
+    # a cell that holds its own key although the key was never put in flips between two states
+    odd = fingerprint.sketch(fingerprint.side([np.array([12345], dtype=np.uint64)]))
+    odd.count[np.flatnonzero(odd.count)[0]] = -1
+    assert not fingerprint.peel(odd, 24)[3].any()
 
 
 def test_fingerprints(spark):
