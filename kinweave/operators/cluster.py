@@ -5,11 +5,12 @@ Edges are (a, b) of string keys; nodes (key). Clusters are (clusterId, clonotype
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import stored
-from .candidates import kmers
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -52,17 +53,28 @@ def one_hop(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return placed.select(F.when(F.col("head"), F.col("to")).otherwise(F.col("key")).alias("clusterId"), F.col("key").alias("clonotypeKey"))
 
 
+#: Steps in which a number of neighbours doubles: numbers up to eight are told apart exactly, larger ones within a fifth.
+LEVELS = 4
+
+
+def cover_rank(n: Column, key: Column) -> Column:
+    """The order of set cover: level of the number of free neighbours (more first), then a hash of the key, then the key."""
+    return F.struct((-F.floor(F.log2(n) * LEVELS)).alias("level"), F.xxhash64(key).alias("h"), key.alias("k"))
+
+
 def set_cover(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Greedy set cover, in rounds of local maxima.
 
-    In a round, each free node that beats all free nodes within two hops by (number of free neighbours, then the lesser
-    key) becomes a centre and takes its free neighbours; two such centres share none, so the order among them is of no
-    effect. Rounds go on until no edge between free nodes is left; who then is free stands alone.
+    In a round, each free node that comes before all free nodes within two hops in the order of cover_rank() becomes a
+    centre and takes its free neighbours; two such centres share none, so the order among them is of no effect, and the
+    result is that of the sequential greedy in this order. Levels are geometric and ties are hashed, so rounds grow with
+    the logarithm of the table: runs of ascending keys or degrees don't wait for each other. Rounds go on until no edge
+    between free nodes is left; who then is free stands alone.
     """
     free_edges, taken = stored(both_ways(edges)), None
     while not free_edges.isEmpty():
         degree = free_edges.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
-        rank = degree.select("a", F.struct((-F.col("n")).alias("n"), F.col("a").alias("k")).alias("rank"))
+        rank = degree.select("a", cover_rank(F.col("n"), F.col("a")).alias("rank"))
         near = free_edges.join(rank.select(F.col("a").alias("b"), "rank"), "b").groupBy("a").agg(F.min("rank").alias("near"))
         near = rank.join(near, "a").select("a", "rank", F.least("rank", "near").alias("near"))
         best = free_edges.join(near.select(F.col("a").alias("b"), "near"), "b").groupBy("a").agg(F.min("near").alias("far"))
@@ -78,20 +90,29 @@ def set_cover(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return taken.unionByName(alone.select(F.col("key").alias("clusterId"), F.col("key").alias("clonotypeKey")))
 
 
-def linear_time(seqs: DataFrame, k: int, accept) -> DataFrame:
-    """Centre per k-mer group: the longest sequence of each group is compared to its members, no others.
+def centre_pairs(seqs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """a, b, seq_a, seq_b: each sequence a with the longest sequence b (then the least key) of each of its seeds' groups.
 
-    accept(centre_seq, seq) is the test of a pair. A sequence joins its best centre (longest, then least key) that is
-    itself in no longer one's cluster; others stand alone.
+    As many pairs as rows of `seeds` (key, kmer) at most, however large a group is.
     """
-    sized = seqs.select("key", "seq", F.struct((-F.length("seq")).alias("l"), F.col("key").alias("k")).alias("rank"))
-    grams = kmers(seqs, k)
-    ranked = grams.join(sized.select("key", "rank"), "key")
+    sized = seqs.select("key", F.struct((-F.length("seq")).alias("l"), F.col("key").alias("k")).alias("rank"))
+    ranked = seeds.join(sized, "key")
     centres = ranked.groupBy("kmer").agg(F.min("rank").alias("centre"))
-    pairs = ranked.join(centres, "kmer").filter("centre < rank").select("key", F.col("centre.k").alias("centre")).distinct()
-    both = pairs.join(seqs.select("key", "seq"), "key").join(sized.select(F.col("key").alias("centre"), F.col("seq").alias("c_seq"), F.col("rank").alias("c_rank")), "centre")
-    good = both.filter(accept(F.col("c_seq"), F.col("seq"))).groupBy("key").agg(F.min("c_rank").alias("best"))
-    joins = stored(good.select("key", F.col("best.k").alias("to")))
+    met = ranked.join(centres, "kmer").filter("centre < rank").select(F.col("key").alias("a"), F.col("centre.k").alias("b")).distinct()
+    one, two = (seqs.select(F.col("key").alias(c), F.col("seq").alias(f"seq_{c}")) for c in "ab")
+    return met.join(one, "a").join(two, "b").select("a", "b", "seq_a", "seq_b")
+
+
+def linear_time(seqs: DataFrame, seeds: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Centre per seed group: the longest sequence of each group is compared to its members, no others.
+
+    seeds: (key, kmer); verify() leaves those pairs (a, b) of centre_pairs() that may be joined, b being the centre. A
+    sequence joins its best centre (longest, then least key) that is itself in no longer one's cluster; others stand alone.
+    """
+    good = verify(centre_pairs(seqs, seeds)).select("a", "b")
+    rank = seqs.select(F.col("key").alias("b"), F.struct((-F.length("seq")).alias("l"), F.col("key").alias("k")).alias("rank"))
+    best = good.join(rank, "b").groupBy("a").agg(F.min("rank").alias("best"))
+    joins = stored(best.select(F.col("a").alias("key"), F.col("best.k").alias("to")))
     heads = seqs.select("key").join(joins, "key", "left_anti").withColumn("head", F.lit(True))
     placed = seqs.select("key").join(joins, "key", "left").join(heads.select(F.col("key").alias("to"), "head"), "to", "left")
     return placed.select(F.when(F.col("head"), F.col("to")).otherwise(F.col("key")).alias("clusterId"), F.col("key").alias("clonotypeKey"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .candidates import bounded_edits, segment_pairs
@@ -40,9 +40,12 @@ def sample(found: DataFrame, n: int = 10) -> DataFrame:
     return found.orderBy("norm_dist", "member_key").limit(n)
 
 
-def reassign_singletons(clusters: DataFrame, seqs: DataFrame, identity: float) -> DataFrame:
+def reassign_singletons(clusters: DataFrame, seqs: DataFrame, identity: float, observed: Observation | None = None) -> DataFrame:
+    """The clusters with singletons moved; `observed` gets reassigned_singletons when the result is worked out."""
     if identity >= 1:
         return clusters.select("clusterId", "clonotypeKey")
     found = best_matches(clusters, seqs, identity)
     joined = clusters.join(found, clusters["clonotypeKey"] == found["member_key"], "left")
+    if observed is not None:
+        joined = joined.observe(observed, F.count("member_key").alias("reassigned_singletons"))
     return joined.select(F.coalesce("new_clusterId", clusters["clusterId"]).alias("clusterId"), "clonotypeKey")

@@ -14,10 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .candidates import kmers
-
 #: Residues that replace each other easily: aliphatic, aromatic, basic, acidic and amides, small, and the rest alone.
 GROUPS = ("ILMV", "FWY", "HKR", "DENQ", "AGPST", "C")
+AMINO_ACIDS = "ACDEFGHIKLMNPQRSTVWY"
 #: Bytes of a matrix file that are read at most; real ones have a few thousand.
 MOST_BYTES = 1 << 20
 #: Score of a residue that the matrix doesn't know, and of what fills up the shorter sequences of a block.
@@ -49,6 +48,25 @@ def read_matrix(spark: SparkSession, path: str) -> np.ndarray:
     return matrix
 
 
+def named_matrix(spark: SparkSession, name: str, folder: str) -> np.ndarray:
+    """The matrix of this name (such as blosum62) from a folder of files: `name` itself, in either case, or with .out, .txt or .mat.
+
+    FileNotFoundError if there is none, ValueError if it doesn't score all twenty amino acids, and alike both ways.
+    """
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    tried = [n + ending for n in (name, name.upper(), name.lower()) for ending in ("", ".out", ".txt", ".mat")]
+    for file in tried:
+        path = spark._jvm.org.apache.hadoop.fs.Path(where, file)
+        if system.exists(path):
+            matrix = read_matrix(spark, path.toString())
+            block = matrix[np.ix_(*[[ord(x) for x in AMINO_ACIDS]] * 2)]
+            if (np.diag(block) <= 0).any() or (block != block.T).any():
+                raise ValueError(f"{path} is no matrix of the amino acids")
+            return matrix
+    raise FileNotFoundError(f"{folder} has no matrix {name} (looked for {', '.join(tried)})")
+
+
 def grouped_matrix(same: float = 5.0, like: float = 1.0, other: float = -2.0, groups: tuple[str, ...] = GROUPS) -> np.ndarray:
     """Scores by rule: equal residues, residues of one group, all others; capitals and small letters alike."""
     matrix = _empty()
@@ -63,7 +81,7 @@ def grouped_matrix(same: float = 5.0, like: float = 1.0, other: float = -2.0, gr
 
 
 def level_matrix(level: int) -> np.ndarray:
-    """A stand-in by rule for the matrix of a level (40 .. 90): the higher, the more a replacement costs."""
+    """A matrix by rule, graded by level (40 .. 90): the higher, the more a replacement costs. It is none of the published ones."""
     return grouped_matrix(5.0, 2.5 - level / 40, -1.0 - level / 40)
 
 
@@ -72,7 +90,7 @@ def local_scores(a: list[str], b: list[str], matrix: np.ndarray, gap_open: float
 
     All pairs of a block go through their score tables together, a row at a time; gaps along a row are a running maximum.
     """
-    x, y = _coded(a), _coded(b)
+    x, y = coded(a), coded(b)
     out = np.zeros(len(a))
     ramp = gap_extend * np.arange(y.shape[1] + 1)
     above, up = np.zeros((len(a), y.shape[1] + 1)), np.full((len(a), y.shape[1] + 1), NOTHING)
@@ -88,7 +106,7 @@ def local_scores(a: list[str], b: list[str], matrix: np.ndarray, gap_open: float
     return out
 
 
-def _coded(seqs: list[str]) -> np.ndarray:
+def coded(seqs: list[str]) -> np.ndarray:
     """Sequences as rows of ASCII codes, filled up with 0; other characters are residues that no matrix knows."""
     width = max(map(len, seqs), default=0)
     return np.frombuffer("".join(s.ljust(width, "\0") for s in seqs).encode("ascii", "replace"), dtype=np.uint8).reshape(len(seqs), width)
@@ -117,15 +135,3 @@ def scored_pairs(pairs: DataFrame, matrix: np.ndarray, gap_open: float = 11.0, g
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found), pa.array(share)], names=["a", "b", "score", "similarity"])
 
     return pairs.select("a", "b", "seq_a", "seq_b").mapInArrow(score, "a string, b string, score double, similarity double")
-
-
-def seed_pairs(seqs: DataFrame, k: int) -> DataFrame:
-    """a, b, seq_a, seq_b: each (key, seq) with the longest sequence (then the least key) of each of its k-mers' groups.
-
-    As many pairs as k-mers at most, however large a group is.
-    """
-    ranked = kmers(seqs, k).join(seqs.select("key", F.struct((-F.length("seq")).alias("l"), F.col("key").alias("k")).alias("rank")), "key")
-    centres = ranked.groupBy("kmer").agg(F.min("rank").alias("centre"))
-    met = ranked.join(centres, "kmer").filter("centre < rank").select(F.least("key", "centre.k").alias("a"), F.greatest("key", "centre.k").alias("b")).distinct()
-    one, two = (seqs.select(F.col("key").alias(c), F.col("seq").alias(f"seq_{c}")) for c in "ab")
-    return met.join(one, "a").join(two, "b").select("a", "b", "seq_a", "seq_b")

@@ -118,5 +118,5 @@ def warnings(input_empty: bool, min_length: int | None, peptide: bool) -> list[s
     if input_empty:
         out.append("The input dataset is empty.")
     elif peptide and min_length is not None and min_length < 5:
-        out.append("Peptides shorter than 5 residues can't be seeded by 5-mers; they are compared by length.")
+        out.append("Peptides shorter than 5 residues have few seeds or none; they are compared by edit distance.")
     return out

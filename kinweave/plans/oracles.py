@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from .queries import IDENTITY, TRIM_END, TRIM_START
+from ..operators import seeding
+from ..operators.scoring import GROUPS, UNKNOWN
+from .queries import IDENTITY, LINEAR_IDENTITY, TRIM_END, TRIM_START, WHOLE_SCORES
 
 
 def trim_key(c: str, start: int, end: int) -> str:
@@ -125,6 +127,76 @@ _RADIUS = f"(1.0::DOUBLE - {IDENTITY}::DOUBLE)"
 #: Pairs of words long enough for an edit within the radius. One edit leaves the first five letters or the last four as they
 #: are; words long enough for two are compared with each other.
 _WORDS = f"""{_seqs(1)}, clean AS (SELECT min(clonotypeKey) AS key, regexp_replace(sequence_0, '[^A-Za-z]', 'X', 'g') AS seq, length(sequence_0) AS l FROM seqs GROUP BY 2, 3)"""
+_ALL_WORDS = f"{_seqs(1)}, wds AS (SELECT clonotypeKey AS key, sequence_0 AS seq FROM seqs)"
+
+
+def _levenshtein(a: str, b: str) -> str:
+    """Edits of lower-case words; levenshtein() counts bytes, so Latin letters beyond ASCII are renamed to ASCII ones that words lack."""
+    plain = lambda c: f"translate({c}, 'ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ01234')"
+    return f"levenshtein({plain(a)}, {plain(b)})"
+
+
+def _grams(k: int, mark: str, where: str) -> str:
+    most = seeding.LINEAR_SEEDS
+    return f"""SELECT key, '{mark}' || gram AS kmer FROM (
+    SELECT key, gram, row_number() OVER (PARTITION BY key ORDER BY md5(gram), gram) AS rn FROM (
+      SELECT DISTINCT key, substr(seq, unnest(range(1, length(seq) - {k - 2})), {k}) AS gram FROM wds WHERE length(seq) >= {k} AND {where}))
+  WHERE rn <= {most}"""
+
+
+_SEEDS = f"""{_ALL_WORDS}, kept AS (
+  {_grams(seeding.LINEAR_K, "", "TRUE")}
+  UNION ALL {_grams(seeding.SHORT_K, "short:", f"length(seq) < {seeding.SHORT}")}
+)"""
+
+_LINEAR = f"""{_SEEDS}, ranked AS (SELECT kmer, key, seq, (-length(seq), key) AS r FROM kept JOIN wds USING (key))
+, centres AS (SELECT kmer, min(r) AS r FROM ranked GROUP BY kmer)
+, met AS (SELECT DISTINCT x.key, x.seq, c.key AS centre, c.seq AS c_seq, centres.r FROM ranked x JOIN centres USING (kmer) JOIN wds c ON c.key = centres.r[2] WHERE centres.r < x.r)
+, best AS (
+  SELECT key, arg_min(centre, r) AS goes FROM met
+  WHERE {_levenshtein("seq", "c_seq")}::DOUBLE / greatest(length(seq), length(c_seq))::DOUBLE <= 1.0::DOUBLE - {LINEAR_IDENTITY}::DOUBLE GROUP BY key)"""
+
+
+def _group(c: str) -> str:
+    """Number of the group of a lower-case letter, null for those of none."""
+    return "CASE " + " ".join(f"WHEN contains('{g.lower()}', {c}) THEN '{k}'" for k, g in enumerate(GROUPS)) + " END"
+
+
+def _seed_levels() -> str:
+    k, hot, longest = seeding.K, seeding.HOT, seeding.LONGEST
+    out = [f"s{k} AS (SELECT key, seq, pos, substr(seq, pos, {k}) AS seed FROM (SELECT key, seq, unnest(range(1, length(seq) - {k - 2})) AS pos FROM wds WHERE length(seq) >= {k}))"]
+    for m in range(k, longest + 1):
+        if m > k:
+            out.append(f"s{m} AS (SELECT key, seq, pos, substr(seq, pos, {m}) AS seed FROM s{m - 1} WHERE seed IN (FROM c{m - 1}) AND pos + {m - 1} <= length(seq))")
+        out.append(f"c{m} AS (SELECT seed FROM s{m} GROUP BY seed HAVING count(*) > {hot})")
+    each = " UNION ALL ".join(f"SELECT key, pos, seed FROM s{m} WHERE seed NOT IN (FROM c{m})" for m in range(k, longest + 1))
+    return ", ".join([*out, f"held AS ({each})"])
+
+
+_SAME, _LIKE, _OTHER = WHOLE_SCORES
+_MASKED = " UNION ALL ".join(
+    f"SELECT key, pos, seed, {i} AS i, substr(seed, 1, {i - 1}) || {_group(f'substr(seed, {i}, 1)')} || substr(seed, {i + 1}) AS masked FROM held WHERE length(seed) = {seeding.K}"
+    for i in range(1, seeding.K + 1)
+)
+_NEIGHBOURS = f"""{_ALL_WORDS}, {_seed_levels()}
+, masked AS ({_MASKED})
+, hits AS (
+  SELECT x.key AS a, y.key AS b, x.pos, y.pos - x.pos AS d FROM held x JOIN held y ON x.seed = y.seed AND x.key < y.key
+  UNION SELECT x.key, y.key, x.pos, y.pos - x.pos FROM masked x JOIN masked y ON x.i = y.i AND x.masked = y.masked AND x.key < y.key)
+, tallied AS (SELECT a, b, max(n) AS n FROM (SELECT a, b, d, count(*) AS n FROM hits GROUP BY a, b, d) GROUP BY a, b)"""
+
+_DIAGONALS = f"""{_ALL_WORDS}, grams AS (SELECT key, pos, substr(seq, pos, {seeding.LINEAR_K}) AS kmer FROM (
+  SELECT key, seq, unnest(range(1, length(seq) - {seeding.LINEAR_K - 2})) AS pos FROM wds WHERE length(seq) >= {seeding.LINEAR_K}))
+, met AS (SELECT DISTINCT x.key AS a, y.key AS b, y.pos - x.pos AS d FROM grams x JOIN grams y ON x.kmer = y.kmer AND x.key < y.key)
+, laid AS (SELECT a, b, substr(wa.seq, 1 + greatest(0, -d)) AS x, substr(wb.seq, 1 + greatest(0, d)) AS y FROM met JOIN wds wa ON wa.key = a JOIN wds wb ON wb.key = b)
+, letters AS (SELECT chr(i::INTEGER) AS c, {_group("chr(i::INTEGER)")} AS g FROM range(97, 123) t(i))
+, alike AS (SELECT map(list(x.c || y.c), list(CASE WHEN x.c = y.c THEN {_SAME} WHEN x.g = y.g THEN {_LIKE} ELSE {_OTHER} END)) AS m FROM letters x, letters y WHERE x.g IS NOT NULL AND y.g IS NOT NULL)
+, scored AS (
+  SELECT a, b, greatest(0, list_max(list_reduce(list_prepend([0.0::DOUBLE], list_transform(range(1, least(length(x), length(y)) + 1),
+    lambda i: [coalesce(m[x[i] || y[i]], {UNKNOWN})::DOUBLE])), lambda s, v: list_append(s, greatest(s[-1], 0) + v[1])))) AS score FROM laid, alike)
+, best AS (SELECT a, b, max(score)::DOUBLE AS score FROM scored GROUP BY a, b)
+, ways AS (SELECT a AS query, b AS target, score FROM best UNION ALL SELECT b, a, score FROM best)"""
+
 _PAIRS = f"""{_WORDS}, long AS (SELECT key, seq, l FROM clean WHERE 1.0::DOUBLE / (l + 1)::DOUBLE <= {_RADIUS})
 , met AS (
   SELECT a.key AS ka, b.key AS kb, a.seq AS sa, b.seq AS sb FROM long a JOIN long b ON left(a.seq, 5) = left(b.seq, 5) AND abs(a.l - b.l) <= 2 AND a.key < b.key
@@ -194,6 +266,14 @@ ORACLES = {
     "abundances_top": f"{_TOP1} SELECT b.* FROM (SELECT *, {_SHARE} AS abundance_normalized FROM by_sample) b JOIN top USING (clusterId)",
     "cluster_radius_top": f"WITH {_parts(2)}{_ABUND} SELECT radius.* FROM radius JOIN top USING (clusterId)",
     "clone_to_cluster": f"WITH {_members()} SELECT clusterId, clonotypeKey, clusterLabel, 1::BIGINT AS link FROM members LEFT JOIN labels USING (clusterId)",
+    "linear_seeds": f"WITH {_SEEDS} SELECT key, kmer FROM kept",
+    "linear_time_clusters": f"""WITH {_LINEAR}
+SELECT CASE WHEN goes IS NOT NULL AND goes NOT IN (SELECT key FROM best) THEN goes ELSE key END AS clusterId, key AS clonotypeKey FROM wds LEFT JOIN best USING (key)""",
+    "neighbour_pairs": f"""WITH {_NEIGHBOURS}
+SELECT a, b FROM tallied JOIN wds x ON x.key = a JOIN wds y ON y.key = b WHERE n >= least({seeding.HITS}, length(x.seq) - {seeding.K - 1}, length(y.seq) - {seeding.K - 1})""",
+    "diagonal_candidates": f"""WITH {_DIAGONALS}
+SELECT query, count(*)::BIGINT AS n_targets, sum(score)::DOUBLE AS total_score, arg_min(target, (-score, target)) AS best_target, max(score) AS best_score
+FROM (FROM ways QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, target) <= {seeding.TOP}) GROUP BY query""",
     "levenshtein_pairs": f"WITH {_PAIRS} SELECT a, b, distance FROM pairs",
     "connected_components": f"""WITH RECURSIVE {_PAIRS}, reach AS (
   SELECT a AS node, a AS seen FROM ways UNION SELECT reach.node, ways.b FROM reach JOIN ways ON ways.a = reach.seen

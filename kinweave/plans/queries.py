@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs
-from ..operators import candidates, cluster, dedup, layout, profile, reassign, rollup, scoring
+from ..operators import candidates, cluster, dedup, layout, profile, reassign, rollup, scoring, seeding
 from ..params import ClusterParams
 from ..sources import tables
 from ..storage import stored
 from . import analysis, views
 
 TRIM_START, TRIM_END, IDENTITY = 0, 1, 0.9
+#: Identity of linear-time clustering; scores of equal, like and other residues in whole numbers, and the loss of one like for an equal.
+LINEAR_IDENTITY, WHOLE_SCORES, ONE_ALIKE = 0.8, (5.0, 1.0, -2.0), 4.0
 TRIMS = {1: ["trim_sequence_0"], 2: ["trim_sequence_0", "trim_sequence_1"]}
 
 
@@ -235,9 +237,36 @@ def set_cover_clusters(spark, sf):
 
 
 def linear_time_clusters(spark, sf):
+    """Centres of the seeds of least hash, under the edit distance."""
     words = stored(_full_words(spark, sf))
-    radius = F.lit(1.0 - 0.8)
-    return cluster.linear_time(words, 5, lambda c, s: F.levenshtein(c, s) / F.greatest(F.length(c), F.length(s)).cast("double") <= radius)
+    radius = F.lit(1.0 - LINEAR_IDENTITY)
+    near = F.levenshtein("seq_a", "seq_b") / F.greatest(F.length("seq_a"), F.length("seq_b")).cast("double") <= radius
+    return cluster.linear_time(words, seeding.linear_seeds(words), lambda pairs: pairs.filter(near))
+
+
+def linear_time_scored(spark, sf):
+    """The same under scored similarity."""
+    words = stored(_full_words(spark, sf))
+    alike = lambda pairs: scoring.scored_pairs(pairs, scoring.level_matrix(62)).filter(F.col("similarity") >= LINEAR_IDENTITY)
+    return cluster.linear_time(words, seeding.linear_seeds(words), alike)
+
+
+def linear_seeds(spark, sf):
+    """The seeds that linear-time clustering keeps of each word."""
+    return seeding.linear_seeds(_full_words(spark, sf))
+
+
+def neighbour_pairs(spark, sf):
+    """Pairs of words with two seeds of a neighbourhood on one diagonal; one letter of a seed may be replaced by a like one."""
+    return seeding.neighbour_pairs(stored(_full_words(spark, sf)), scoring.grouped_matrix(*WHOLE_SCORES), ONE_ALIKE)
+
+
+def diagonal_candidates(spark, sf):
+    """The high-precision search: how many partners each word has by ungapped score on a diagonal with a common 5-mer, and the best."""
+    found = seeding.diagonal_candidates(stored(_full_words(spark, sf)), scoring.grouped_matrix(*WHOLE_SCORES))
+    best = F.min(F.struct((-F.col("score")).alias("minus"), "target")).alias("b")
+    told = found.groupBy("query").agg(F.count(F.lit(1)).alias("n_targets"), F.sum("score").alias("total_score"), best)
+    return told.select("query", "n_targets", "total_score", F.col("b.target").alias("best_target"), (-F.col("b.minus")).alias("best_score"))
 
 
 def kmer_candidates(spark, sf):
@@ -490,19 +519,23 @@ def reassignment_sample(spark, sf):
 
 def scored_pairs(spark, sf):
     """Words and the longest word of each of their 5-mers, scored under a matrix by rule."""
-    return scoring.scored_pairs(scoring.seed_pairs(stored(_full_words(spark, sf)), 5), scoring.level_matrix(62))
+    words = stored(_full_words(spark, sf))
+    pairs = cluster.centre_pairs(words, candidates.kmers(words, 5))
+    return scoring.scored_pairs(pairs, scoring.level_matrix(62)).withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")}).distinct()
 
 
 def scored_clusters(spark, sf):
-    """Set cover over pairs of scored similarity."""
+    """Set cover over the pairs of scored similarity that neighbourhood seeds find."""
     words = stored(_full_words(spark, sf))
-    pairs = scoring.scored_pairs(scoring.seed_pairs(words, 5), scoring.level_matrix(62)).filter(F.col("similarity") >= IDENTITY)
-    return cluster.set_cover(words.select("key"), stored(pairs.select("a", "b")))
+    matrix = scoring.level_matrix(62)
+    pairs = seeding.with_sequences(seeding.neighbour_pairs(words, matrix, analysis.NEIGHBOURHOOD * 5.0), words)
+    alike = scoring.scored_pairs(pairs, matrix).filter(F.col("similarity") >= IDENTITY)
+    return cluster.set_cover(words.select("key"), stored(alike.select("a", "b")))
 
 
 def family_analysis(spark, sf):
     """The whole analysis with its own clustering: the clusters table."""
-    out = analysis.analyse(tables.clone_table(spark, sf), ClusterParams(identity=IDENTITY, trimEnd=TRIM_END, weightByAbundance=True, generateDataset=True, centroidAlignment="ungapped"))
+    out = analysis.analyse(tables.clone_table(spark, sf), ClusterParams(identity=IDENTITY, trimEnd=TRIM_END, weightByAbundance=True, generateDataset=True, centroidAlignment="ungapped"), matrix=scoring.level_matrix(62))
     return views.clusters_table(out["cluster-to-seq"], out["cluster-radius"], out["abundances-per-cluster"])
 
 
@@ -513,5 +546,6 @@ set_cover_clusters linear_time_clusters kmer_candidates coverage_modes reassign_
 absent_columns greedy_layout gapped_layout consensus_centroid plurality_centroid profile_distance cluster_radius medoid_reference peptide_label
 cluster_to_seq cluster_to_seq_top trimmed_sequences anonymize_roundtrip cluster_size_histogram bubble_view msa_view centroid_dataset clusters_view
 family_analysis clone_table_join key_uniqueness distance_relation plurality_relation plurality_unwanted centroid_untrimmed cluster_to_seq_full
-padded_absent_columns dropped_members reassignment_sample scored_pairs scored_clusters""".split()
+padded_absent_columns dropped_members reassignment_sample scored_pairs scored_clusters
+linear_seeds linear_time_scored neighbour_pairs diagonal_candidates""".split()
 QUERIES = {name: globals()[name] for name in _NAMES}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from ..storage import row_numbers
 
 
 def clusters_table(cluster_to_seq: DataFrame, radius: DataFrame, per_cluster: DataFrame) -> DataFrame:
@@ -38,11 +39,11 @@ def msa_panel(link: DataFrame, selected: DataFrame, trimmed: DataFrame, distance
 def anonymise(df: DataFrame, column: str, prefix: str = "S") -> tuple[DataFrame, DataFrame]:
     """df with opaque ids in `column`, and the inverse map (anonymised, original).
 
-    The ids number the sorted distinct values, which are few (samples): one task sorts them. Joins aren't told to broadcast,
-    as nothing here bounds the map.
+    The ids number the sorted distinct values by ranges, so no task sorts them all. Joins aren't told to broadcast, as
+    nothing here bounds the map.
     """
-    order = W.orderBy("original")
-    mapping = df.select(F.col(column).alias("original")).distinct().select(F.concat(F.lit(prefix), F.row_number().over(order)).alias("anonymised"), "original")
+    numbered, _ = row_numbers(df.select(F.col(column).alias("original")).filter("original IS NOT NULL").distinct(), ["original"], "n", "anonymised")
+    mapping = numbered.select(F.concat(F.lit(prefix), F.col("n") + 1).alias("anonymised"), "original")
     hidden = df.join(mapping, F.col(column) == F.col("original")).withColumn(column, F.col("anonymised")).drop("anonymised", "original")
     return hidden, mapping
 

@@ -35,11 +35,14 @@ def write_fasta(reps: DataFrame, path: str) -> None:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """clonotypeKey, sequence; records may span lines."""
-    raw = spark.read.text(path, lineSep=">").filter(F.trim("value") != "")
+    """clonotypeKey, sequence; records may span lines.
+
+    Records are cut before a > that begins a line, and nowhere else; files are read in splits.
+    """
+    raw = spark.read.text(path, lineSep="\n>").select(F.regexp_replace("value", r"^\s*>", "").alias("value")).filter(F.trim("value", F.lit(" \t\r\n")) != "")
     parts = F.split("value", "\n", 2)
     sequence = F.regexp_replace(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), r"\s", "")
-    return raw.select(strip_file_prefix(F.trim(parts[0])).alias("clonotypeKey"), sequence.alias("sequence"))
+    return raw.select(strip_file_prefix(F.trim(parts[0], F.lit(" \t\r"))).alias("clonotypeKey"), sequence.alias("sequence"))
 
 
 def import_frame(raw: DataFrame, axes: dict[str, str], columns: dict[str, str]) -> DataFrame:

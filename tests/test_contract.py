@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from kinweave import catalog, storage
-from kinweave.operators import cluster
+from kinweave.operators.scoring import level_matrix
 from kinweave.params import ClusterParams, prune_selection, suggest_similarity, warnings
 from kinweave.plans import analysis, oracles, views
 from kinweave.plans import queries as family
@@ -45,24 +45,7 @@ def test_params():
 
 
 def test_catalog(spark):
-    sample, key = catalog.Axis("sampleId"), catalog.Axis("variantKey", domain=(("peptide/extractionRunId", "r"),))
-    made = catalog.Axis("variantKey", domain=(("clustering/algorithm", "x"),))
-    anchor = catalog.ColumnSpec("count", (sample, key), annotations=(("isAnchor", "true"),))
-    own = catalog.ColumnSpec("count", (sample, made), annotations=(("isAnchor", "true"),))
-    seq = catalog.ColumnSpec("sequence", (key,), (("feature", "peptide"), ("alphabet", "aminoacid")), column="s")
-    c = catalog.Catalog([anchor, own, seq])
-    assert c.dataset_options() == [anchor] and c.sequence_options(anchor) == [seq]
-    assert c.single(axes=[key]) == seq
-    with pytest.raises(ValueError):
-        c.add(catalog.ColumnSpec("sequence", (key,), seq.domain, column="other"))
-    with pytest.raises(LookupError):
-        c.single(name="none")
-    df = spark.range(1).select(catalog.describe(F.lit("A"), seq))
-    assert [s.name for s in catalog.read_specs(df)] == ["sequence"]
-    assert catalog.share_labels("Number of UMIs") == {
-        "abundance": "Number of UMIs in Cluster", "abundance_normalized": "Fraction of UMIs in Cluster", "abundance_fraction_per_cluster": "Total UMIs Fraction in Cluster"
-    }
-    assert catalog.percent_text(0.35) == "35" and catalog.export_names("uniqueMoleculeCount")["fraction"] == "uniqueMoleculeFraction"
+    assert catalog.percent_text(0.35) == "35" and catalog.centroid_domain(ClusterParams())["clustering/weighting"] in ("abundance", "equal")
     table = catalog.missing_chain_join(spark.createDataFrame([("a",)], "clonotypeKey string"), {"sequence_0": spark.createDataFrame([("b", "X")], "clonotypeKey string, value string")})
     assert {(r.clonotypeKey, r.sequence_0) for r in table.collect()} == {("a", ""), ("b", "X")}
 
@@ -85,6 +68,14 @@ def test_files(spark, tmp_path):
     reps = spark.createDataFrame([("k1", "ACD"), ("k2", "EF")], "clonotypeKey string, sequence string")
     files.write_fasta(reps, str(tmp_path / "f"))
     assert {tuple(r) for r in files.read_fasta(spark, str(tmp_path / "f")).collect()} == {("k1", "ACD"), ("k2", "EF")}
+    odd = {f"k{i}>{i}|> x": "ACDEFGHIKL" * (i % 7 + 1) for i in range(400)}
+    (tmp_path / "odd.fasta").write_text("\n" + "\n".join(f">s-{k}\r\n" + "\n".join(s[j : j + 9] for j in range(0, len(s), 9)) for k, s in odd.items()) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    try:
+        read = files.read_fasta(spark, str(tmp_path / "odd.fasta"))
+        assert read.rdd.getNumPartitions() > 5 and {tuple(r) for r in read.collect()} == set(odd.items())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
     (tmp_path / "c.tsv").write_text("s-k1\ts-k1\ns-k1\ts-k2\n")
     assert [tuple(r) for r in files.read_clusters(spark, str(tmp_path / "c.tsv")).collect()] == [("k1", "k1"), ("k1", "k2")]
 
@@ -96,7 +87,7 @@ def _clones(spark):
 
 @pytest.mark.parametrize("params", [{}, {"trimEnd": 2, "weightByAbundance": True, "generateDataset": True}, {"clusteringTool": "easy-linclust"}, {"highPrecision": True}, {"similarityType": "sequence-identity"}])
 def test_analysis(spark, params):
-    out = analysis.analyse(_clones(spark), ClusterParams.from_dict(params))
+    out = analysis.analyse(_clones(spark), ClusterParams.from_dict(params), matrix=level_matrix(62))
     for name, schema in result_schemas(1).items():
         assert set(out[name].columns) == set(schema.names), name
     link = {r.clonotypeKey: r.clusterId for r in out["clone-to-cluster"].collect()}
@@ -105,34 +96,23 @@ def test_analysis(spark, params):
     assert top["d"].centroid_sequence_0 == "KKKKKKKK" and top[link["a"]].size == 4
     assert all(0 <= r.distanceToCentroid <= 1 for r in out["distance_to_centroid"].collect())
     assert sum(r.abundance_fraction_per_cluster for r in out["abundances-per-cluster"].collect()) == pytest.approx(1)
+    keys = out["trimmed-sequences"]
+    counted = {
+        "clone_rows": _clones(spark).count(), "keys": keys.count(), "emptied_sequences": keys.filter("trimmed_fullSequence = ''").count(),
+        "members": out["clone-to-cluster"].count(), "dropped_members": out["dropped-members"].count(),
+    }
+    assert {k: out.metrics[k] for k in counted} == counted and out.metrics.get("reassigned_singletons", 0) in range(3)
+    assert ("reassigned_singletons" in out.metrics) == ("highPrecision" in params)
 
 
 def test_scored_similarity(spark):
     """Replacements within a group of residues count less under a matrix than as edits."""
     reps = spark.createDataFrame([("a", "ACDEFGHIKLMACDEFGHIKLM"), ("b", "ACDEFGHIKLMGCDEFGHIKLI"), ("c", "WWWWWWWWWW"), ("d", "ACDE")], "clonotypeKey string, sequence string")
-    made = lambda **p: {r.clonotypeKey: r.clusterId for r in analysis.cluster_representatives(reps, ClusterParams(coverageThreshold=0.5, **p), 4).collect()}
-    assert made(identity=0.92, similarityType="sequence-identity") == {k: k for k in "abcd"}
-    scored = made(identity=0.92, similarityType="blosum62")
-    assert scored == {"a": "a", "b": "a", "c": "c", "d": "d"} == made(identity=0.92, highPrecision=True) == made(identity=0.92, clusteringTool="easy-linclust")
-    p = ClusterParams()
-    assert [analysis.seed_length(n, p) for n in (None, 1, 4, 9, 30)] == [5, 1, 3, 5, 5] and analysis.seed_length(4, ClusterParams(highPrecision=True)) == 5
-
-
-def test_linear_time(spark):
-    """Centres of k-mer groups against a plain walk over all groups."""
-    rng = random.Random(4)
-    seqs = {f"k{i:02d}": "".join(rng.choices("ABC", k=rng.randint(4, 9))) for i in range(40)}
-    df = spark.createDataFrame(list(seqs.items()), "key string, seq string")
-    got = {r.clonotypeKey: r.clusterId for r in cluster.linear_time(df, 4, lambda c, s: F.levenshtein(c, s) <= 2).collect()}
-    edits = lambda a, b: len(b) if not a else len(a) if not b else min(edits(a[1:], b) + 1, edits(a, b[1:]) + 1, edits(a[1:], b[1:]) + (a[0] != b[0]))
-    rank, best = {k: (-len(s), k) for k, s in seqs.items()}, {}
-    for gram in {s[i : i + 4] for s in seqs.values() for i in range(len(s) - 3)}:
-        group = [k for k, s in seqs.items() if gram in s]
-        centre = min(group, key=rank.get)
-        for k in group:
-            if k != centre and edits(seqs[k], seqs[centre]) <= 2:
-                best[k] = min(best.get(k, centre), centre, key=rank.get)
-    assert got == {k: best[k] if k in best and best[k] not in best else k for k in seqs}
+    made = lambda m, **p: {r.clonotypeKey: r.clusterId for r in analysis.cluster_representatives(reps, ClusterParams(coverageThreshold=0.5, **p), m).collect()}
+    assert made(None, identity=0.92, similarityType="sequence-identity") == {k: k for k in "abcd"}
+    for p in ({}, {"highPrecision": True}, {"clusteringTool": "easy-linclust"}):
+        got = made(level_matrix(62), identity=0.92, similarityType="blosum62", **p)
+        assert got["a"] == got["b"] and got["c"] == "c" and got["d"] == "d"
 
 
 def test_clone_table_needs_labels(spark):
@@ -158,6 +138,9 @@ def test_anonymise(spark):
     df = spark.createDataFrame([("x", 1), ("y", 2)], "sampleId string, n int")
     hidden, mapping = views.anonymise(df, "sampleId")
     assert {r.sampleId for r in hidden.collect()} == {"S1", "S2"}
+    assert "exchange SinglePartition" not in mapping._jdf.queryExecution().executedPlan().toString()
+    many = spark.range(5000).select(F.format_string("s%05d", "id").alias("sampleId"))
+    assert {(r.anonymised, r.original) for r in views.anonymise(many, "sampleId")[1].collect()} == {(f"S{i + 1}", f"s{i:05d}") for i in range(5000)}
     assert {tuple(r) for r in views.deanonymise(hidden, "sampleId", mapping).select("sampleId", "n").collect()} == {("x", 1), ("y", 2)}
 
 
@@ -170,7 +153,7 @@ def test_stream(spark, tmp_path):
     assert {(r.sampleId, r.abundance) for r in spark.table("running").collect()} == {("s1", 6), ("s2", 6)}
 
 
-@pytest.mark.parametrize("name", ["clone_table", "full_sequence_concat", "abundances", "consensus_centroid", "medoid_reference", "connected_components", "cluster_size_histogram"])
+@pytest.mark.parametrize("name", ["clone_table", "full_sequence_concat", "abundances", "consensus_centroid", "medoid_reference", "connected_components", "cluster_size_histogram", "linear_time_clusters", "neighbour_pairs", "diagonal_candidates"])
 def test_against_sql(spark, name):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from itertools import product
 
@@ -194,9 +195,11 @@ def test_clusterings(spark):
         heads = {r.clusterId for r in rows}
         assert heads <= {r.clonotypeKey for r in rows if r.clusterId == r.clonotypeKey}
     # greedy set cover, one centre after the other
+    hashes = {int(r.key[1:]): r.h for r in nodes.select("key", F.xxhash64("key").alias("h")).collect()}
+    level = lambda m: math.floor(math.log2(m) * cluster.LEVELS) if m else -1
     free, neighbours, want = set(range(n)), {i: {x for p in near if i in p for x in p if x != i} for i in range(n)}, {}
     while free:
-        c = min(free, key=lambda i: (-len(neighbours[i] & free), i))
+        c = min(free, key=lambda i: (-level(len(neighbours[i] & free)), hashes[i]))
         for x in (neighbours[c] & free) | {c}:
             want[f"k{x:02d}"] = f"k{c:02d}"
         free -= neighbours[c] | {c}

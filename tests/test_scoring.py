@@ -5,7 +5,9 @@ import random
 import numpy as np
 import pytest
 
-from kinweave.operators.scoring import grouped_matrix, level_matrix, local_scores, read_matrix, scored_pairs, seed_pairs
+from kinweave.operators.candidates import kmers
+from kinweave.operators.cluster import centre_pairs
+from kinweave.operators.scoring import grouped_matrix, level_matrix, local_scores, read_matrix, scored_pairs
 
 
 def _reference(a, b, m, gap_open, extend):
@@ -40,11 +42,11 @@ def test_local_scores(spark, tmp_path):
     assert got == {"y": (21.0, 0.84), "z": (0.0, 0.0)}
 
 
-def test_seed_pairs(spark):
+def test_centre_pairs(spark):
     seqs = {"a": "ACDEFGH", "b": "ACDEF", "c": "CDEFK", "d": "WWWWW", "e": "AC"}
     df = spark.createDataFrame(list(seqs.items()), "key string, seq string")
     want = set()
     for k in {s[i : i + 3] for s in seqs.values() for i in range(len(s) - 2)}:
         group = sorted((-len(s), key) for key, s in seqs.items() if k in s)
         want |= {tuple(sorted((group[0][1], key))) for _, key in group[1:]}
-    assert {(r.a, r.b) for r in seed_pairs(df, 3).collect()} == want
+    assert {tuple(sorted((r.a, r.b))) for r in centre_pairs(df, kmers(df, 3)).collect()} == want
