@@ -3,9 +3,9 @@
 Lines are equal if their lower-cased words are, however much white space is around them. Near lines are within one edit
 (Levenshtein's) of each other, and one edit has to be a tenth of the line at most: lines of MIN_UNITS words or more are
 compared word by word, others character by character, as code points, which also serves scripts that put no spaces
-between words. Both lines have to be of the same kind and of MIN_UNITS units or more; lines compared by characters have
-to hold the same digits too, as another number says another thing. A line goes if an equal line, or a near one, comes
-earlier; the earliest stays. Earlier means by doc_id (null first), then by a hash of the text, then by line number, over
+between words. Both lines have to be of the same kind and of MIN_UNITS units or more. With same_digits=True lines compared
+by characters have to hold the same digits too; by default a number that differs by a digit is an edit like others. A
+line goes if an equal line, or a near one, comes earlier; the earliest stays. Earlier means by doc_id (null first), then by a hash of the text, then by line number, over
 the whole table. Lines of fewer than ten characters have no near lines, as an edit is too much of them; they go if an
 equal line comes earlier. Blank lines always stay.
 
@@ -39,11 +39,11 @@ _BLANKS = " \t\r\x0b\x0c"
 
 def line_key(line: Column) -> Column:
     """What makes lines equal: their lower-cased text without blanks at either end, one blank for any white space inside."""
-    return F.regexp_replace(F.lower(F.trim(line, F.lit(_BLANKS))), r"[\t\r\x0b\x0c]\s*| \s+", " ")
+    return F.regexp_replace(F.lower(F.trim(line, F.lit(_BLANKS))), r"[\t\r\x0b\x0c][ \t\r\x0b\x0c]*| [ \t\r\x0b\x0c]+", " ")
 
 
 def line_words(key: Column) -> Column:
-    return F.split(key, r"\s+")
+    return F.split(key, " ")
 
 
 def line_units(key: Column) -> Column:
@@ -52,13 +52,13 @@ def line_units(key: Column) -> Column:
     return F.when(F.size(words) >= MIN_UNITS, words).otherwise(F.regexp_extract_all(key, F.lit("(?s)."), F.lit(0)))
 
 
-def line_kind(key: Column, words: Column) -> Column:
-    """What near lines have in common: 0 for lines of words, a hash of the digits for lines of characters."""
-    return F.when(F.size(words) >= MIN_UNITS, F.lit(0).cast("long")).otherwise(digits(key))
+def line_kind(key: Column, words: Column, same_digits: bool = False) -> Column:
+    """What near lines have in common: 0 for lines of words, 1 or a hash of the digits for lines of characters."""
+    return F.when(F.size(words) >= MIN_UNITS, F.lit(0).cast("long")).otherwise(_of_characters(key, same_digits))
 
 
-def digits(key: Column) -> Column:
-    return F.xxhash64(F.regexp_replace(key, "[^0-9]", ""))
+def _of_characters(key: Column, same_digits: bool) -> Column:
+    return F.xxhash64(F.regexp_replace(key, "[^0-9]", "")) if same_digits else F.lit(1).cast("long")
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -131,15 +131,17 @@ def _variants(open_lines: DataFrame) -> DataFrame:
     key = [F.xxhash64(F.lit(2), kind, "m", "d1").alias("v1"), F.xxhash64(F.lit(3), kind, "m", "d2").alias("v2")]
     full = base.filter(F.array_contains("kinds", "full")).select("kind", F.col("n").alias("m"), F.col("t1").alias("d1"), F.col("t2").alias("d2"), "o")
     full = full.select(*key, F.lit("full").alias("role"), "o")
-    # running sums, as units behind the deleted one move up by one place
+    # units behind the deleted one move up by one place: a running sum of those before it, and what is left of the moved ones' total
     gone = open_lines.filter(F.array_contains("kinds", "del_left") | F.array_contains("kinds", "del_right"))
-    each = gone.select("o", "kind", "kinds", F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
-    line = W.partitionBy("o").orderBy("i")
-    before, behind = line.rowsBetween(W.unboundedPreceding, -1), line.rowsBetween(1, W.unboundedFollowing)
-    d = {
-        f"d{s}": F.coalesce(F.sum(_at(F.col("w"), F.col("i"), s)).over(before), zero) + F.coalesce(F.sum(_at(F.col("w"), F.col("i") - 1, s)).over(behind), zero)
-        for s in (1, 2)
-    }
+
+    def moved(seed: int) -> Column:
+        return F.aggregate(F.transform(words, lambda w, j: _at(w, j - 1, seed)), zero, lambda a, x: a + x)
+
+    each = gone.withColumns({"m1": moved(1), "m2": moved(2)}).select("o", "kind", "kinds", F.size("words").alias("n"), "m1", "m2", F.posexplode("words").alias("i", "w"))
+    upto = W.partitionBy("o").orderBy("i").rowsBetween(W.unboundedPreceding, W.currentRow)
+    here = {s: (_at(F.col("w"), F.col("i"), s), _at(F.col("w"), F.col("i") - 1, s)) for s in (1, 2)}
+    # the sum of (as it is, less moved) up to here, less the deleted unit itself
+    d = {f"d{s}": F.sum(own - up).over(upto) - own + F.col(f"m{s}") for s, (own, up) in here.items()}
     left = F.col("i") < F.floor(F.col("n") / 2)
     short = each.withColumns(d).filter((left & F.array_contains("kinds", "del_left")) | (~left & F.array_contains("kinds", "del_right")))
     short = short.withColumn("m", F.col("n") - 1).select(*key, F.lit("var").alias("role"), "o")
@@ -163,7 +165,7 @@ def within_one(a: Column, b: Column) -> Column:
     )
 
 
-def _later_neighbours(docs: DataFrame, distinct: DataFrame) -> DataFrame:
+def _later_neighbours(docs: DataFrame, distinct: DataFrame, same_digits: bool) -> DataFrame:
     """Keys (k1, k2) of lines that are within the bound of an earlier line."""
     found = materialize(_open_lines(distinct), "open-lines")
     by_doc = found.groupBy("first.doc_id", "first.tie").agg(F.collect_list(F.struct("first.line_no", "k1", "k2", "first", "kinds")).alias("here"))
@@ -176,7 +178,7 @@ def _later_neighbours(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     order = F.struct("x.first.doc_id", "x.first.tie", "x.first.line_no", "x.k1", "x.k2")
     # explode() makes the key a column that is worked out once
     keyed = split.select(order.alias("o"), "x.kinds", F.explode(F.array(line_key(F.get("lines", F.col("x.line_no"))))).alias("key"))
-    own = keyed.select("o", "kinds", line_kind(F.col("key"), line_words(F.col("key"))).alias("kind"), line_units(F.col("key")).alias("words")).dropDuplicates(["o"])
+    own = keyed.select("o", "kinds", line_kind(F.col("key"), line_words(F.col("key")), same_digits).alias("kind"), line_units(F.col("key")).alias("words")).dropDuplicates(["o"])
     own = materialize(own, "open-words")
     variants = _variants(own)
     earliest = variants.groupBy("v1", "v2").agg(
@@ -193,7 +195,7 @@ def _later_neighbours(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return both.filter(within_one(F.col("a"), F.col("b"))).select("o.k1", "o.k2").distinct()
 
 
-def removals(docs: DataFrame) -> DataFrame:
+def removals(docs: DataFrame, same_digits: bool = False) -> DataFrame:
     """doc_id, tie and the numbers (from 0) of the lines that go."""
     each = lines(docs)
     # explode() makes the words a column that is worked out once
@@ -208,18 +210,18 @@ def removals(docs: DataFrame) -> DataFrame:
         F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.first("halves").alias("halves"), F.first("key").alias("key")
     )
     size = F.length(key)
-    by_character = F.when(key.isNotNull(), _halves(digits(key), size, lambda at, n: F.substring(key, at, n)))
+    by_character = F.when(key.isNotNull(), _halves(_of_characters(key, same_digits), size, lambda at, n: F.substring(key, at, n)))
     distinct = materialize(distinct.select("k1", "k2", "first", "n", F.coalesce("halves", by_character).alias("halves")), "distinct-lines")
-    near = materialize(_later_neighbours(docs, distinct).withColumn("near", F.lit(True)), "near-lines")
+    near = materialize(_later_neighbours(docs, distinct, same_digits).withColumn("near", F.lit(True)), "near-lines")
     marks = distinct.select("k1", "k2", "first", "n").join(near, ["k1", "k2"], "left").filter("n > 1 OR near").select("k1", "k2", "first", "near")
     gone = each.select("k1", "k2", "doc_id", "tie", "line_no", place.alias("place")).join(marks, ["k1", "k2"])
     gone = gone.filter(F.col("near").isNotNull() | (F.col("place") != F.col("first")))
     return gone.groupBy("doc_id", "tie").agg(F.collect_set("line_no").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, same_digits: bool = False) -> DataFrame:
     """docs with the text rid of repeated lines, n_lines (before) and removed (their number)."""
-    gone = removals(docs.select("doc_id", "text")).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "gone")
+    gone = removals(docs.select("doc_id", "text"), same_digits).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "gone")
     packed = pack(docs, "doc_id", "text").withColumn("tie", F.xxhash64("text"))
     joined = packed.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")), "left")
     numbered = F.transform(F.split("text", "\n"), lambda line, i: F.struct(line.alias("line"), i.alias("i")))
@@ -237,13 +239,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE = f"""
 WITH each AS (
-  SELECT doc_id, i - 1 AS line_no, line, lower(trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12))) AS k
+  SELECT doc_id, i - 1 AS line_no, line,
+    regexp_replace(lower(trim(line, chr(32) || chr(9) || chr(13) || chr(11) || chr(12))), '[\\t\\r\\x0b\\x0c][ \\t\\r\\x0b\\x0c]*| [ \\t\\r\\x0b\\x0c]+', ' ', 'g') AS k
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)
 ), firsts AS (
-  SELECT k, string_split_regex(k, '\\s+') AS ws, min((doc_id, line_no)) AS p FROM each WHERE k <> '' GROUP BY k
+  SELECT k, string_split(k, ' ') AS ws, min((doc_id, line_no)) AS p FROM each WHERE k <> '' GROUP BY k
 ), units AS (
   SELECT k, p, '' AS kind, ws FROM firsts WHERE len(ws) >= {MIN_UNITS}
-  UNION ALL SELECT k, p, 'c' || regexp_replace(k, '[^0-9]', '', 'g'), regexp_extract_all(k, '(?s).') FROM firsts WHERE len(ws) < {MIN_UNITS} AND length(k) >= {MIN_UNITS}
+  UNION ALL SELECT k, p, 'c', regexp_extract_all(k, '(?s).') FROM firsts WHERE len(ws) < {MIN_UNITS} AND length(k) >= {MIN_UNITS}
 ), longish AS (
   SELECT row_number() OVER () AS r, k, kind, ws, p, len(ws) AS n FROM units
 ), halves AS (

@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -92,13 +94,14 @@ def _near(a, b):
     return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
 
 
-def _units(line):
+def _units(line, same_digits=False):
     words = line.split()
     chars = list(line) if len(line) >= 10 else None
-    return ("w", words) if len(words) >= 10 else chars and (re.sub("[^0-9]", "", line), chars)
+    return ("w", words) if len(words) >= 10 else chars and (re.sub("[^0-9]", "", line) if same_digits else "c", chars)
 
 
-def test_line_dedup_short_and_unspaced(spark):
+@pytest.mark.parametrize("same_digits", [False, True])
+def test_line_dedup_short_and_unspaced(spark, same_digits):
     rng = random.Random(5)
     cjk = [chr(0x4E00 + rng.randrange(500)) for _ in range(60)]
     base = ["".join(rng.choices(cjk, k=n)) for n in (9, 10, 12, 40, 120)] + ["subscribe to our newsletter now!", "page 12 of the book", "😀" * 9 + "ab", "tiny"]
@@ -111,10 +114,10 @@ def test_line_dedup_short_and_unspaced(spark):
         lines.append("".join(line).strip())
     seen, want = [], {}
     for d, line in enumerate(lines):
-        u = _units(line)
-        want[d] = int(any(line == s or (u and (v := _units(s)) and u[0] == v[0] and _near(u[1], v[1])) for s in seen))
+        u = _units(line, same_digits)
+        want[d] = int(any(line == s or (u and (v := _units(s, same_digits)) and u[0] == v[0] and _near(u[1], v[1])) for s in seen))
         seen.append(line)
-    got = {r.doc_id: r.removed for r in linededup.dedup_lines(_docs(spark, list(enumerate(lines)))).collect()}
+    got = {r.doc_id: r.removed for r in linededup.dedup_lines(_docs(spark, list(enumerate(lines))), same_digits).collect()}
     assert got == want and 20 < sum(want.values()) < 140
 
 
@@ -125,6 +128,35 @@ def test_line_dedup_long(spark):
     assert {r.doc_id: r.removed for r in linededup.dedup_lines(_docs(spark, rows)).collect()} == {1: 0, 2: 1, 3: 0, 4: 1}
 
 
+def test_line_dedup_of_a_megabyte(spark):
+    """One unspaced line of a million characters with an insertion, a deletion and a replacement: work grows with its length."""
+    rng = random.Random(9)
+    line = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    took = {}
+    for n in (100_000, 1_000_000):
+        own = line[:n]
+        rows = [(1, own), (2, own[: n // 3] + "?" + own[n // 3 :]), (3, own[: n // 2] + own[n // 2 + 1 :]), (4, own[:-1] + "!"), (5, own[: n // 4] + "??" + own[n // 4 :])]
+        began = time.time()
+        assert {r.doc_id: r.removed for r in linededup.dedup_lines(_docs(spark, rows)).collect()} == {1: 0, 2: 1, 3: 1, 4: 1, 5: 0}
+        took[n] = time.time() - began
+    assert took[1_000_000] < 25 * took[100_000]
+
+
+def test_line_dedup_sql_has_the_same_rule(spark):
+    """Inner white space and numbers, in Spark and in the SQL."""
+    rows = [(1, "Click here now"), (2, "click  here now\nnew"), (3, "Click\there \t now"), (4, "Click here\x0b\x0cnow \r"), (5, "Page 3 of 10 pages"), (6, "Page 4 of 10 pages"), (7, "Page 44 of 10 pages"), (8, None)]
+    rows += [(9, "one  two three four\tfive six seven eight nine ten"), (10, "one two three  four five six seven eight 9 ten\n \t"), (11, "x")]
+    df = _docs(spark, rows)
+    got = linededup.dedup_lines(df).selectExpr("doc_id", "n_lines", "removed", "CAST(length(coalesce(text, '')) AS bigint) AS kept_chars", "sha2(coalesce(text, ''), 256) AS kept_sha256")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.execute(linededup.ORACLE).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    removed = {r[0]: r[2] for r in want}
+    assert removed == {1: 0, 2: 1, 3: 1, 4: 1, 5: 0, 6: 1, 7: 1, 8: 0, 9: 0, 10: 1, 11: 0}
+
+
 def test_line_dedup_brute_force(spark):
     rng = random.Random(2)
     base = [[rng.choice("abcdefgh") for _ in range(rng.randint(9, 14))] for _ in range(12)]
