@@ -1,14 +1,16 @@
-"""Pieces that several operators share: tables in the shared folder, global row numbers, columns."""
+"""Pieces that several operators share: columns, counted broadcasts, and the tables in the shared folder (kinweave.storage)."""
 
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from ..storage import drop_stored, n_stored, row_numbers, shared_dir
+from ..storage import stored as materialize
+
+__all__ = ["ascii_lower", "div", "drop_stored", "levels", "materialize", "n_stored", "pack", "row_numbers", "shared_dir", "small", "table", "unpack"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -17,43 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; one of our own only where that setting is absent and all runs on this machine."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base
-
-
-#: Folders of the tables stored so far; drop_stored() shortens the list.
-_STORED: list[str] = []
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage ends here and lost executors cost nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/kinweave-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _STORED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def n_stored() -> int:
-    return len(_STORED)
-
-
-def drop_stored(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
-    """Delete the tables stored after the first `since`, but for the last `keep`. Results that read them must be used up."""
-    end = len(_STORED) - keep
-    for path in _STORED[since:end]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    del _STORED[since:end]
-
-
 #: Rows up to which small() broadcasts; the tables it is given have narrow rows, so this is below 100 MB.
 BROADCAST_ROWS = 500_000
 
@@ -72,26 +37,6 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
-def row_numbers(df: DataFrame, order: list[str], out: str = "row_number", name: str = "rows") -> tuple[DataFrame, int]:
-    """Number all rows 0 .. n-1 by `order`, without a single-partition sort; gives the numbered table and n.
-
-    Rows are dealt by ranges of `order`, sorted, numbered inside their partition and stored; the offsets of the
-    partitions (one row a partition, so bounded by the number of shuffle partitions) are then joined by broadcast.
-    `df` should be narrow: all its columns are shuffled once.
-    """
-    mid = f"_{out}_in_partition"
-    keys = [F.col(c).asc_nulls_first() for c in order]
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn(mid, F.monotonically_increasing_id())
-    stored = materialize(ranged, name)
-    pid, at = F.shiftright(F.col(mid), 33), F.col(mid).bitwiseAND(F.lit((1 << 33) - 1))
-    counts = stored.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
-    before = W.orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    n = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]
-    numbered = stored.withColumn("_pid", pid).join(F.broadcast(offsets), "_pid").withColumn(out, F.col("_offset") + at)
-    return numbered.select(*df.columns, out), n
-
-
 def levels(n: int, fan_out: int) -> int:
     """Levels that a tree of this fan-out needs above n leaves, one at least."""
     return max(1, math.ceil(math.log(n, fan_out) - 1e-12)) if n > 1 else 1

@@ -5,7 +5,11 @@ item are its runs of `width` consecutive words; an item of fewer words, but not
 frequency of every test term is counted over all documents; windows with a term that occurs nowhere are done with. The
 index then stores the postings (term, document, position) of the two rarest terms of each window. Their offset-adjusted
 lists are intersected (rarest first), which leaves candidate places; these are checked against the words themselves, so
-the result is exact. Words inside any occurrence of a window are hit. Long texts are taken whole.
+the result is exact. Words inside any occurrence of a window are hit. Where the two rarest terms of a window stand at most
+`within` words apart, in either order, the document has a proximity match with the window's items. Long texts are taken
+whole. Documents are split into words three times: to count the test terms, for the postings, and for the result, where
+those without a match are only counted; they don't meet the matches by a shuffle of texts unless the matches are too many
+to broadcast.
 
 Nulls: a null text has no words; a null item_id counts as an empty string. Empty texts have no words and no windows.
 Repeated documents each get their own, equal result; repeated items count once by item_id. Without items nothing is
@@ -20,6 +24,10 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, materialize, pack, small, table, unpack
 
 WIDTH = 10
+#: Words between the two rarest terms of a window at most, for a proximity match.
+WITHIN = 20
+#: Places and matched documents up to which they are broadcast to the documents; a place has a few hundred bytes.
+BROADCAST_PLACES = 50_000
 #: ASCII characters that are no letters (in lower case) or digits.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -69,8 +77,7 @@ def intersect(index: DataFrame, sought: DataFrame) -> DataFrame:
     first = index.join(small(sought), F.col("term") == F.col("term_a")).withColumn("start", F.col("position") - F.col("offset_a"))
     first = first.filter("start >= 0").select("k1", "k2", "start", "window", "items", "term_b", (F.col("start") + F.col("offset_b")).alias("position_b"))
     second = index.select("k1", "k2", F.col("term").alias("term_b"), F.col("position").alias("position_b"))
-    # equal documents have equal keys, hence distinct()
-    return first.join(second.distinct(), ["k1", "k2", "term_b", "position_b"], "left_semi").select("k1", "k2", "start", "window", "items")
+    return first.join(second, ["k1", "k2", "term_b", "position_b"], "left_semi").select("k1", "k2", "start", "window", "items")
 
 
 def proximity(index: DataFrame, pairs: DataFrame, within: int) -> DataFrame:
@@ -81,41 +88,59 @@ def proximity(index: DataFrame, pairs: DataFrame, within: int) -> DataFrame:
     block = within + 1
     a = index.join(small(pairs), F.col("term") == F.col("term_a")).select("k1", "k2", "term_a", "term_b", F.col("position").alias("position_a"))
     near = F.array(*[F.floor(F.col("position_a") / block) + d for d in (-1, 0, 1)])
-    a = a.distinct().withColumn("block", F.explode(near))
-    b = index.distinct().select("k1", "k2", F.col("term").alias("term_b"), F.col("position").alias("position_b"))
+    a = a.withColumn("block", F.explode(near))
+    b = index.select("k1", "k2", F.col("term").alias("term_b"), F.col("position").alias("position_b"))
     b = b.withColumn("block", F.floor(F.col("position_b") / block))
     both = a.join(b, ["k1", "k2", "term_b", "block"])
     apart = F.abs(F.col("position_a") - F.col("position_b"))
     return both.filter((apart <= within) & (apart > 0)).select("k1", "k2", "term_a", "term_b", "position_a", "position_b")
 
 
-def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
-    """All rows and columns of docs, with n_words, n_hit and items (sorted ids of items with occurring windows), which replace columns so named."""
+def near_items(index: DataFrame, sought: DataFrame, within: int) -> DataFrame:
+    """k1, k2, _near: the items of which a window's two rarest terms stand near each other."""
+    of = sought.select("term_a", "term_b", F.explode("items").alias("item")).distinct()
+    met = proximity(index, of.select("term_a", "term_b").distinct(), within).select("k1", "k2", "term_a", "term_b").distinct()
+    return met.join(small(of), ["term_a", "term_b"]).groupBy("k1", "k2").agg(F.collect_set("item").alias("_near"))
+
+
+def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, within: int | None = None) -> DataFrame:
+    """All rows and columns of docs, with n_words, n_hit, items (sorted ids of items with occurring windows) and, if `within`
+    is given, near_items (those with a proximity match), which replace columns so named."""
     own = keyed(docs.select("doc_id", "text"))
     distinct_windows = materialize(windows(benchmark, width), "windows")
     terms = distinct_windows.select(F.explode("window").alias("term")).distinct()
     counts = materialize(term_counts(own, terms), "term-counts")
     sought = materialize(anchors(distinct_windows, counts), "anchors")
     rare = sought.select(F.explode(F.array("term_a", "term_b")).alias("term")).distinct()
-    index = materialize(postings(own, rare), "postings")
+    # equal documents have equal keys and one list of postings
+    index = materialize(postings(own, rare).distinct(), "postings")
     places = intersect(index, sought).distinct().groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "window", "items")).alias("_places"))
-    joined = keyed(pack(docs, "doc_id", "text")).withColumn("_n_words", F.size(words(F.col("text")))).join(places, ["k1", "k2"], "left")
+    if within is None:
+        found = places.withColumn("_near", F.array().cast("array<string>"))
+    else:
+        found = places.join(near_items(index, sought, within), ["k1", "k2"], "full_outer")
+    found = materialize(found, "places")
+    told = found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(F.coalesce("_places", F.array().cast(found.schema["_places"].dataType)))).alias("places")).first()
+    found = F.broadcast(found) if max(told["n"], told["places"] or 0) <= BROADCAST_PLACES else found
+    joined = keyed(pack(docs, "doc_id", "text")).join(found, ["k1", "k2"], "left")
+    # one split a document: the words are kept where they are looked at, else only their number
+    split = joined.withColumn("_all", F.explode(F.array(words(F.col("text")))))
+    full = split.withColumns({"_n_words": F.size("_all"), "_words": F.when(F.col("_places").isNotNull(), F.col("_all"))}).drop("_all")
     here = F.filter("_places", lambda p: F.slice(F.col("_words"), p["start"] + 1, F.size(p["window"])) == p["window"])
-    full = joined.withColumn("_words", F.when(F.col("_places").isNotNull(), words(F.col("text")))).withColumn(
-        "_hits", F.coalesce(F.when(F.col("_places").isNotNull(), here), F.array().cast(places.schema["_places"].dataType))
-    )
+    full = full.withColumn("_hits", F.coalesce(F.when(F.col("_places").isNotNull(), here), F.array().cast(found.schema["_places"].dataType)))
     covered = F.array_distinct(F.flatten(F.transform("_hits", lambda p: F.sequence(p["start"], p["start"] + F.size(p["window"]) - 1))))
-    return unpack(
-        full,
-        docs,
-        n_words=F.col("_n_words").cast("long"),
-        n_hit=F.size(covered).cast("long"),
-        items=F.array_sort(F.array_distinct(F.flatten(F.col("_hits.items")))),
-    )
+    new = {
+        "n_words": F.col("_n_words").cast("long"),
+        "n_hit": F.size(covered).cast("long"),
+        "items": F.array_sort(F.array_distinct(F.flatten(F.col("_hits.items")))),
+    }
+    if within is not None:
+        new["near_items"] = F.array_sort(F.coalesce("_near", F.array().cast("array<string>")))
+    return unpack(full, docs, **new)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    found = find(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), within=WITHIN)
     return found.select(
         "doc_id",
         "n_words",
@@ -123,6 +148,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_items").cast("long").alias("n_near_items"),
+        F.sha2(F.array_join("near_items", ","), 256).alias("near_items_sha256"),
     )
 
 
@@ -145,10 +172,22 @@ WITH items AS (
   SELECT r, start, places.width, item FROM places JOIN wins ON wins.width = places.width AND wins.win = places.win
 ), hit AS (
   SELECT r, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT r, unnest(range(start, start + width)) AS p FROM found) GROUP BY r
+), counts AS (
+  SELECT term, count(*) AS n FROM (SELECT unnest(ws) AS term FROM docs) WHERE term IN (SELECT unnest(win) FROM wins) GROUP BY term
+), rare AS (
+  SELECT win, list((n, i, term) ORDER BY n, i) AS terms FROM (SELECT DISTINCT win, unnest(range(len(win))) AS i, unnest(win) AS term FROM (SELECT DISTINCT win FROM wins)) JOIN counts USING (term) GROUP BY win
+), term_pairs AS (
+  SELECT DISTINCT terms[1][3] AS term_a, terms[least(len(terms), 2)][3] AS term_b, item FROM rare JOIN wins USING (win) WHERE len(terms) = len(win)
+), positions AS (
+  SELECT r, term, p FROM (SELECT r, unnest(ws) AS term, unnest(range(len(ws))) AS p FROM docs) WHERE term IN (SELECT term_a FROM term_pairs UNION SELECT term_b FROM term_pairs)
+), near AS (
+  SELECT r, count(*)::BIGINT AS n_near_items, string_agg(item, ',' ORDER BY item) AS near_names FROM (
+    SELECT DISTINCT x.r, item FROM term_pairs JOIN positions x ON x.term = term_a JOIN positions y ON y.term = term_b AND y.r = x.r AND abs(x.p - y.p) BETWEEN 1 AND {WITHIN}) GROUP BY r
 ), named AS (
   SELECT r, count(*)::BIGINT AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
 )
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(n_near_items, 0)::BIGINT AS n_near_items, sha256(coalesce(near_names, '')) AS near_items_sha256
+FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r) LEFT JOIN near USING (r)
 """

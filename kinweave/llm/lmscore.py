@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, table
-from .shingles import mix, word_hashes
+from .shingles import SPACE, mix, word_hashes
 
 ORDER = 3
 #: Weight of the estimate by the next shorter context, in occurrences, for contexts of one word, two words, ...; the last
@@ -221,12 +221,31 @@ class Automaton:
 _SCORE = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
+def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of the texts (and 16 for each), and how many tokens they have at most: one more than white space, and the end."""
+    n_bytes = n_tokens = 0
+    for batch in batches:
+        texts = batch.column("text")
+        raw, held = _bytes_of(texts), batch.num_rows
+        n_bytes += len(raw) + 16 * held
+        n_tokens += int(SPACE[raw].sum()) + 2 * held
+    yield pa.RecordBatch.from_arrays([pa.array([n_bytes], pa.int64()), pa.array([n_tokens], pa.int64())], names=["bytes", "tokens"])
+
+
+def _bytes_of(texts: pa.Array) -> np.ndarray:
+    """The bytes of all texts of a column, one after the other."""
+    binary = texts.cast(pa.large_binary())
+    _, offsets, data = binary.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[binary.offset : binary.offset + len(binary) + 1]
+    return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]] if data else np.zeros(0, np.uint8)
+
+
 def score_texts(docs: DataFrame, held: Column, order: int = ORDER, weights: tuple[float, ...] = MU) -> DataFrame:
     """Train on the rows where `held` is false, score all rows by n-grams of up to `order` words."""
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), held.alias("held_out"))
     blocks = rows.mapInArrow(_to_blocks, _BLOCK)
-    bytes_ = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0)).alias("n")).first()["n"]
-    keys = 1 + bytes_ // 5 * order  # of which there are no more, words being of four letters and a blank or more, nearly always
+    told = rows.select("text").mapInArrow(_sizes, "bytes long, tokens long").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("bytes", "tokens")]).first()
+    bytes_, keys = told["bytes"], 1 + told["tokens"] * order  # there are no more n-grams than that
     shards, shift = max(min(SHARDS, 1 + bytes_ // BLOCK_BYTES), -(-keys // SHARD_KEYS)), max(0, 40 - keys.bit_length())
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

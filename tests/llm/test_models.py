@@ -338,6 +338,19 @@ def test_pipeline(spark):
     assert len(lines) == len(set(lines))
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, sf)
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {d for d, _ in left}
+    # every id of every document that is left, once and in its place; full windows but for the last of a shard
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {d: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 1], dtype="<u4") for d, t in left}
+    rows, upto, used = pieces.collect(), Counter(), Counter()
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.start)):
+        assert r.start == upto[r.doc_id] and r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
+        upto[r.doc_id] += r.length
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == used[r.sequence_id]
+        used[r.sequence_id] += r.length
+    assert upto == Counter({d: len(x) for d, x in ids.items()}) and max(used.values()) == 2048
+    assert sum(n < 2048 for n in used.values()) <= len({k >> 32 for k in used})
 
 
 def test_pipeline_brute_force(spark):

@@ -7,6 +7,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import duckdb
 import pytest
@@ -212,6 +213,40 @@ def test_decontamination(spark):
     assert decontaminate.find(_docs(spark, []), spark.createDataFrame(items, schema)).count() == 0
 
 
+def _near_items(docs, items, within, width=10):
+    """Items whose windows' two rarest terms stand near each other, by looking at all positions."""
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    n = Counter(w for _, t in docs for w in words(t))
+    out = []
+    for doc_id, text in docs:
+        w, found = words(text), set()
+        for item, t in items:
+            iw = words(t)
+            for i in range(max(1, len(iw) - width + 1)) if iw else ():
+                ranked = sorted((n[x], j, x) for j, x in enumerate(iw[i : i + width]))
+                a, b = ranked[0][2], ranked[min(1, len(ranked) - 1)][2]
+                if ranked[0][0] and any(x == a and y == b and 0 < abs(p - q) <= within for p, x in enumerate(w) for q, y in enumerate(w)):
+                    found.add("" if item is None else str(item))
+        out.append((doc_id, sorted(found)))
+    return sorted(map(str, out))
+
+
+@pytest.mark.parametrize("broadcast", [50_000, 0])
+def test_proximity_of_items(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontaminate, "BROADCAST_PLACES", broadcast)
+    rng = random.Random(12)
+    pool = [f"w{k}" for k in range(40)]
+    items = [(k, " ".join(rng.choices(pool, k=rng.randint(1, 14)))) for k in range(12)] + [(None, "w1 w2"), (50, None), (51, "never seen")]
+    docs = [(k, " ".join(rng.choices(pool, k=rng.randint(0, 60)))) for k in range(40)] + [(90, items[0][1]), (90, items[0][1]), (91, None), (92, "W1... w2")]
+    schema = "item_id long, text string"
+    for within in (1, 7):
+        out = decontaminate.find(_docs(spark, docs, extra=True), spark.createDataFrame(items, schema), within=within).collect()
+        assert sorted(str((r.doc_id, list(r.near_items))) for r in out) == _near_items(docs, items, within)
+        assert sorted(str((r.doc_id, r.n_words, r.n_hit, list(r["items"]))) for r in out) == _decontaminated(docs, items)
+    assert decontaminate.find(_docs(spark, []), spark.createDataFrame(items, schema), within=3).count() == 0
+    assert {tuple(r.near_items) for r in decontaminate.find(_docs(spark, docs), spark.createDataFrame([], schema), within=3).collect()} == {()}
+
+
 def test_proximity(spark):
     docs = decontaminate.keyed(_docs(spark, [(1, "aa x x bb x aa"), (2, "aa x x x x x bb")]))
     index = decontaminate.postings(docs, spark.createDataFrame([("aa",), ("bb",)], "term string"))
