@@ -22,7 +22,9 @@ def segment_pairs(longer: DataFrame, shorter: DataFrame, radius: float) -> DataF
     Both inputs are (key, seq). With d edits allowed, a sequence cut into d + 1 segments keeps one of them whole, and
     moved by at most d places, in any partner within d edits. The shorter side emits its segments for each length that a
     partner can have, the longer side its substrings at the places where such a segment may be; equal (length, length,
-    segment number, text) meet in a hash join. Radius 1 or more lets all pairs in and is refused.
+    segment number, text) meet in a hash join on a 64-bit hash of these (pairs that only the hash brings together are
+    candidates too many, which the distance rules out). The join's hot keys are left to the adaptive split of skewed
+    partitions: nothing but the join stands on its key. Radius 1 or more lets all pairs in and is refused.
     """
     if not 0 <= radius < 1:
         raise ValueError("the radius must be in [0, 1)")
@@ -32,7 +34,7 @@ def segment_pairs(longer: DataFrame, shorter: DataFrame, radius: float) -> DataF
     s = s.withColumn("ll", F.explode(F.sequence(F.col("ls"), widest))).withColumn("d", max_edits(F.col("ll"), radius)).filter("ll - ls <= d")
     s = s.withColumn("i", F.explode(F.sequence(zero, F.col("d"))))
     s = s.withColumns({"at": _cut(F.col("ls"), F.col("d"), F.col("i")), "to": _cut(F.col("ls"), F.col("d"), F.col("i") + 1)})
-    s = s.select("short_key", "ls", "ll", "i", F.substring("short_seq", F.col("at") + 1, F.col("to") - F.col("at")).alias("part"))
+    s = s.select("short_key", F.xxhash64("ls", "ll", "i", F.substring("short_seq", F.col("at") + 1, F.col("to") - F.col("at"))).alias("segment"))
     r = longer.select(F.col("key").alias("long_key"), F.col("seq").alias("long_seq"), F.length("seq").alias("ll")).filter("ll > 0")
     r = r.withColumn("d", max_edits(F.col("ll"), radius)).withColumn("ls", F.explode(F.sequence(F.greatest(F.col("ll") - F.col("d"), F.lit(1)), F.col("ll"))))
     r = r.withColumn("i", F.explode(F.sequence(zero, F.col("d"))))
@@ -40,8 +42,8 @@ def segment_pairs(longer: DataFrame, shorter: DataFrame, radius: float) -> DataF
     size = F.col("to") - F.col("at")
     low, high = F.greatest(F.col("at") - F.col("d"), zero), F.least(F.col("at") + F.col("d"), F.col("ll") - size)
     r = r.filter(low <= high).withColumn("p", F.explode(F.sequence(low, high)))
-    r = r.select("long_key", "ls", "ll", "i", F.substring("long_seq", F.col("p") + 1, size).alias("part"))
-    pairs = s.join(r, ["ls", "ll", "i", "part"]).select("long_key", "short_key").distinct()
+    r = r.select("long_key", F.xxhash64("ls", "ll", "i", F.substring("long_seq", F.col("p") + 1, size)).alias("segment"))
+    pairs = s.join(r, "segment").select("long_key", "short_key").distinct()
     longs, shorts = (side.select(F.col("key").alias(f"{name}_key"), F.col("seq").alias(f"{name}_seq")) for side, name in ((longer, "long"), (shorter, "short")))
     return pairs.join(longs, "long_key").join(shorts, "short_key")
 

@@ -91,7 +91,8 @@ def neighbour_pairs(
         F.when(first, F.col("key")).otherwise(F.col("other")).alias("a"), F.when(first, F.col("other")).otherwise(F.col("key")).alias("b"),
         F.when(first, F.col("pos")).otherwise(F.col("at")).alias("pos"), F.when(first, F.col("at") - F.col("pos")).otherwise(F.col("pos") - F.col("at")).alias("diagonal"),
     )
-    counted = placed.distinct().groupBy("a", "b", "diagonal").agg(F.count(F.lit(1)).alias("n"))
+    # dealt by pair once: what follows stays where it is
+    counted = placed.repartition("a", "b").distinct().groupBy("a", "b", "diagonal").agg(F.count(F.lit(1)).alias("n"))
     found = counted.groupBy("a", "b").agg(F.max("n").alias("n"))
     room = seqs.select("key", F.least(F.lit(hits), F.length("seq") - (k - 1)).alias("room"))
     # only pairs below `hits` have to be held against the room of their shorter sequence
@@ -99,10 +100,10 @@ def neighbour_pairs(
     return found.filter(F.col("n") >= hits).select("a", "b").unionByName(few.filter(F.col("n") >= F.least("ra", "rb")).select("a", "b"))
 
 
-def with_sequences(pairs: DataFrame, seqs: DataFrame, *more: str) -> DataFrame:
+def with_sequences(pairs: DataFrame, seqs: DataFrame) -> DataFrame:
     """Pairs (a, b) with seq_a and seq_b."""
     one, two = (seqs.select(F.col("key").alias(c), F.col("seq").alias(f"seq_{c}")) for c in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "seq_a", "seq_b", *more)
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "seq_a", "seq_b")
 
 
 def ungapped_scores(a: list[str], b: list[str], diagonal: list[int], matrix: np.ndarray) -> np.ndarray:
@@ -125,16 +126,18 @@ def diagonal_candidates(seqs: DataFrame, matrix: np.ndarray, k: int = LINEAR_K,
     keeps `top` rows a query in each task before it shuffles.
     """
     at = F.explode(F.sequence(F.lit(1), F.length("seq") - (k - 1)))
-    index = seqs.filter(F.length("seq") >= k).select("key", "seq", at.alias("pos")).select("key", "pos", F.substring("seq", F.col("pos"), F.lit(k)).alias("kmer"))
-    there = index.select(F.col("key").alias("b"), F.col("pos").alias("at"), "kmer")
-    met = index.withColumnRenamed("key", "a").join(there, "kmer").filter("a < b").select("a", "b", (F.col("at") - F.col("pos")).alias("diagonal")).distinct()
+    index = seqs.filter(F.length("seq") >= k).select("key", "seq", at.alias("pos")).withColumn("kmer", F.substring("seq", F.col("pos"), F.lit(k)))
+    here, there = (index.select(F.col("key").alias(c), F.col("seq").alias(f"seq_{c}"), F.col("pos").alias(f"pos_{c}"), "kmer") for c in "ab")
+    # dealt by pair once; the sequences come along, as they are short
+    met = here.join(there, "kmer").filter("a < b").select("a", "b", "seq_a", "seq_b", (F.col("pos_b") - F.col("pos_a")).alias("diagonal"))
+    met = met.repartition("a", "b").distinct()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = ungapped_scores(*(batch.column(c).to_pylist() for c in ("seq_a", "seq_b", "diagonal")), matrix)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found)], names=["a", "b", "score"])
 
-    scored = with_sequences(met, seqs, "diagonal").mapInArrow(score, "a string, b string, score double")
+    scored = met.mapInArrow(score, "a string, b string, score double")
     # grouping the other way again needs no other scores, as a diagonal's score is the same from both sides
     best = stored(scored.groupBy("a", "b").agg(F.max("score").alias("score")))
     both = best.select(F.col("a").alias("query"), F.col("b").alias("target"), "score").unionByName(best.select(F.col("b").alias("query"), F.col("a").alias("target"), "score"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from kinweave.functions import exprs
 from kinweave.operators import candidates, cluster, dedup, layout, profile, reassign, rollup
+from kinweave.operators.scoring import AMINO_ACIDS
 
 #: rows, weights, threshold, gap threshold, keep gaps, consensus. Fixed cases.
 MSA = [
@@ -140,6 +141,65 @@ def test_ungapped_layout(seqs, weights):
     assert len({len(r) for r in gapped}) == 1 and [r.replace("-", "") for r in gapped] == seqs
 
 
+def _consensus(rows, weights):
+    """Most frequent residue of each column that isn't mostly gaps."""
+    out = ""
+    for column in zip(*rows, strict=True):
+        held = {}
+        for c, w in zip(column, weights, strict=True):
+            held[c] = held.get(c, 0.0) + w
+        if held.pop("-", 0.0) / sum(weights) <= 0.5:
+            out += max(held, key=lambda c: (held[c], -ord(c)))
+    return out
+
+
+def _library(rng, length, n, rate, deletions):
+    """A parent, and distinct members with their numbers: replacements at a rate, and one deletion in a share of them."""
+    parent, made = "".join(rng.choices(AMINO_ACIDS, k=length)), {}
+    for _ in range(n):
+        member = [rng.choice(AMINO_ACIDS) if rng.random() < rate else c for c in parent]
+        if rng.random() < deletions:
+            del member[rng.randrange(length)]
+        made["".join(member)] = made.get("".join(member), 0.0) + 1
+    order = sorted(made, key=lambda s: (-made[s], s))
+    return parent, order, [made[s] for s in order]
+
+
+#: Mean edits from centroid to parent with gaps, by the share of members with a deletion; mean, 90th percentile and most
+#: columns beyond the length (length, members); least agreement of both layouts. Fixed values.
+GAPPED_ERROR = {0.0: 0.27, 0.12: 0.29, 0.25: 0.36, 0.38: 0.47, 0.5: 0.46}
+EXCESS_WIDTH = {(15, 8): (0.16, 1, 3), (15, 128): (2.68, 6, 8), (9, 128): (3.32, 9, 11)}
+AGREEMENT = 0.93
+
+
+def test_gapped_layout_meets_its_calibrations():
+    for deletions, most in GAPPED_ERROR.items():
+        rng, found = random.Random(1), []
+        for _ in range(120):
+            parent, seqs, weights = _library(rng, 15, 4, 0.15, deletions)
+            found.append(_edits(_consensus(layout.place_gapped(seqs, weights), weights), parent))
+        assert sum(found) / len(found) <= most, deletions
+    for (length, n), (mean, high, most) in EXCESS_WIDTH.items():
+        rng = random.Random(2)
+        excess = sorted(len(layout.place_gapped(*_library(rng, length, n, 0.3, 0)[1:])[0]) - length for _ in range(150 if n < 100 else 20))
+        assert sum(excess) / len(excess) <= mean and excess[int(0.9 * len(excess))] <= high and excess[-1] <= most
+    for n in (4, 16, 128):
+        rng, same = random.Random(3), 0
+        for _ in range(30):
+            _, seqs, weights = _library(rng, 15, n, 0.15, 0)
+            same += _consensus(layout.place_gapped(seqs, weights), weights) == _consensus(layout.place_ungapped(seqs, weights), weights)
+        assert same >= AGREEMENT * 30
+
+
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
 def test_layout_offsets(spark):
     assert layout.place_ungapped(["CASSLGQGAETQYFG", "GQGAETQYFG"], [2, 1])[1] == "-----GQGAETQYFG"
     assert layout.place_gapped(["ACDEF", "ACDEG", "ACEF"], [3, 2, 1]) == ["ACDEF", "ACDEG", "AC-EF"]
