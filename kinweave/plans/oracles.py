@@ -266,6 +266,20 @@ ORACLES = {
     "abundances_top": f"{_TOP1} SELECT b.* FROM (SELECT *, {_SHARE} AS abundance_normalized FROM by_sample) b JOIN top USING (clusterId)",
     "cluster_radius_top": f"WITH {_parts(2)}{_ABUND} SELECT radius.* FROM radius JOIN top USING (clusterId)",
     "clone_to_cluster": f"WITH {_members()} SELECT clusterId, clonotypeKey, clusterLabel, 1::BIGINT AS link FROM members LEFT JOIN labels USING (clusterId)",
+    "tsv_round_trip": f"""WITH {_clones(1)}
+SELECT sampleId, count(*)::BIGINT AS n_rows, sum(abundance)::BIGINT AS abundance, count(*) FILTER (length(sequence_0) % 3 = 0)::BIGINT AS n_unlabelled,
+  sum(length(sequence_0))::BIGINT AS n_letters, min(clonotypeKey) AS first_key, max(clonotypeKey) AS last_key FROM clones GROUP BY sampleId""",
+    "string_import": f"WITH {_clones(1)} SELECT sampleId, clonotypeKey, abundance, sequence_0 FROM clones",
+    "cluster_list_scan": f"WITH {_members()} SELECT clusterId, clonotypeKey FROM clusters",
+    "fasta_round_trip": f"WITH {_keyed(1)} SELECT clonotypeKey, sequence FROM reps",
+    "content_record": f"""WITH {_keyed(1)}
+SELECT count(*)::BIGINT AS n_sequences, count(DISTINCT sequence)::BIGINT AS n_distinct, min(length(sequence))::INTEGER AS min_length, max(length(sequence))::INTEGER AS max_length FROM keyed""",
+    "chain_order": f"""WITH {_seqs(1)}, cut AS (SELECT clonotypeKey, list_transform(range(12), lambda k: substr(sequence_0, 2 * k + 1, 2)) AS parts FROM seqs)
+SELECT clonotypeKey, array_to_string(parts, '====') AS fullSequence, array_to_string(list_transform(parts, lambda p: {trim_report('p', 0, 1)}), '====') AS trimmed_fullSequence FROM cut""",
+    "alignment_model": f"""WITH {_clones(1)}, lengths AS (SELECT sampleId, length(word) AS l, count(*) AS c FROM counted GROUP BY sampleId, length(word))
+, shares AS (SELECT sampleId, max(c)::DOUBLE / sum(c)::DOUBLE AS share FROM lengths GROUP BY sampleId)
+SELECT sampleId, CASE WHEN peptide AND share >= least THEN 'ungapped' ELSE 'gapped' END AS model, peptide, least, round(share, 9) AS modal_share
+FROM shares, (VALUES (TRUE), (FALSE)) p(peptide), (VALUES (0.1::DOUBLE), (0.9::DOUBLE)) t(least)""",
     "linear_seeds": f"WITH {_SEEDS} SELECT key, kmer FROM kept",
     "linear_time_clusters": f"""WITH {_LINEAR}
 SELECT CASE WHEN goes IS NOT NULL AND goes NOT IN (SELECT key FROM best) THEN goes ELSE key END AS clusterId, key AS clonotypeKey FROM wds LEFT JOIN best USING (key)""",

@@ -6,6 +6,7 @@ are set by a rule that SQL can state too: representatives of equal length and eq
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 from ..functions import exprs
 from ..operators import candidates, cluster, dedup, layout, profile, reassign, rollup, scoring, seeding
 from ..params import ClusterParams
-from ..sources import tables
-from ..storage import stored
+from ..schemas import clone_table as clone_schema
+from ..sources import files, tables
+from ..storage import shared_dir, stored
 from . import analysis, views
 
 TRIM_START, TRIM_END, IDENTITY = 0, 1, 0.9
@@ -539,6 +541,72 @@ def family_analysis(spark, sf):
     return views.clusters_table(out["cluster-to-seq"], out["cluster-radius"], out["abundances-per-cluster"])
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/kinweave-{name}-{uuid.uuid4().hex}"
+
+
+def tsv_round_trip(spark, sf):
+    """The clone table through a TSV file with a header, every third label empty: what comes back, sample by sample."""
+    third = F.pmod(F.length("sequence_0"), F.lit(3)) == 0
+    clones = tables.clone_table(spark, sf).withColumn("clonotypeKeyLabel", F.when(~third, F.col("clonotypeKeyLabel")))
+    path = _folder(spark, "tsv")
+    files.write_tsv(clones.select(*clone_schema(1).names), path)
+    back = files.read_tsv(spark, path, clone_schema(1))
+    return back.groupBy("sampleId").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("abundance").alias("abundance"), F.count_if(F.col("clonotypeKeyLabel").isNull()).alias("n_unlabelled"),
+        F.sum(F.length("sequence_0")).alias("n_letters"), F.min("clonotypeKey").alias("first_key"), F.max("clonotypeKey").alias("last_key"),
+    )
+
+
+def string_import(spark, sf):
+    """The same file read as strings, cast by an import, written as a typed frame under its keys and read again."""
+    path, frame = _folder(spark, "tsv"), _folder(spark, "frame")
+    clones = tables.clone_table(spark, sf).select("sampleId", "clonotypeKey", "abundance", "sequence_0")
+    files.write_tsv(clones, path)
+    text = files.read_strings(spark, path, clones.columns)
+    files.write_frame(files.import_frame(text, {"sampleId": "string", "clonotypeKey": "string"}, {"abundance": "long", "sequence_0": "string"}), frame, ["sampleId", "clonotypeKey"], 1)
+    return spark.read.parquet(frame).select("sampleId", "clonotypeKey", "abundance", "sequence_0")
+
+
+def cluster_list_scan(spark, sf):
+    """The edge list of an external clustering: a TSV without a header, whose keys carry a prefix."""
+    path = _folder(spark, "edges")
+    rows = rule_clusters(dedup.representatives(_keyed(_words_of(spark, sf))))
+    rows.select(*[F.concat(F.lit("s-"), c).alias(c) for c in ("clusterId", "clonotypeKey")]).write.csv(path, sep="\t", header=False, quote="")
+    return files.read_clusters(spark, path)
+
+
+def fasta_round_trip(spark, sf):
+    """Representatives written as FASTA and read again."""
+    path = _folder(spark, "fasta")
+    files.write_fasta(dedup.representatives(_keyed(_words_of(spark, sf))), path)
+    return files.read_fasta(spark, path)
+
+
+def content_record(spark, sf):
+    """The figures of the input as one NDJSON record, read again."""
+    path = _folder(spark, "content")
+    files.write_content(dedup.diagnostics(_keyed(_words_of(spark, sf))).select("n_sequences", "n_distinct", "min_length", "max_length"), path)
+    return spark.read.schema("n_sequences long, n_distinct long, min_length int, max_length int").json(path)
+
+
+def chain_order(spark, sf):
+    """Words cut into twelve chains of two letters, given in no order: chains sort by their numbers, not as text."""
+    words = _words_of(spark, sf).select("clonotypeKey", F.col("sequence_0").alias("word"))
+    cut = words.select("clonotypeKey", *[F.substring("word", 2 * k + 1, 2).alias(f"sequence_{k}") for k in (10, 2, 0, 11, 1, 9, 3, 8, 4, 7, 5, 6)])
+    full = dedup.report_columns(cut, 0, 1)
+    return full.select("clonotypeKey", "fullSequence", "trimmed_fullSequence")
+
+
+def alignment_model(spark, sf):
+    """Which layout each language's words would get, and from what share of the most common length."""
+    counted = stored(tables.word_counts(spark, sf))
+    lengths = counted.select("sampleId", F.length("word").alias("l")).groupBy("sampleId", "l").agg(F.count(F.lit(1)).alias("c"))
+    share = lengths.groupBy("sampleId").agg((F.max("c").cast("double") / F.sum("c").cast("double")).alias("modal_share"))
+    rows = [(r["sampleId"], dedup.resolve_alignment("auto", peptide, [r["modal_share"]], least), peptide, least) for r in share.collect() for peptide in (True, False) for least in (0.1, 0.9)]
+    return spark.createDataFrame(rows, "sampleId string, model string, peptide boolean, least double").join(share.withColumn("modal_share", F.round("modal_share", 9)), "sampleId")
+
+
 _NAMES = """clone_table seq_table seq_trim full_sequence_concat cluster_label_regex sanitize_sequences dedup_mapping fasta_diagnostics
 input_empty_flag min_peptide_length modal_length_share clonotype_weights unit_weights cluster_expand_size cluster_labels abundances
 abundances_per_cluster top_clusters abundances_top cluster_radius_top clone_to_cluster levenshtein_pairs connected_components one_hop_clusters
@@ -547,5 +615,6 @@ absent_columns greedy_layout gapped_layout consensus_centroid plurality_centroid
 cluster_to_seq cluster_to_seq_top trimmed_sequences anonymize_roundtrip cluster_size_histogram bubble_view msa_view centroid_dataset clusters_view
 family_analysis clone_table_join key_uniqueness distance_relation plurality_relation plurality_unwanted centroid_untrimmed cluster_to_seq_full
 padded_absent_columns dropped_members reassignment_sample scored_pairs scored_clusters
-linear_seeds linear_time_scored neighbour_pairs diagonal_candidates""".split()
+linear_seeds linear_time_scored neighbour_pairs diagonal_candidates
+tsv_round_trip string_import cluster_list_scan fasta_round_trip content_record chain_order alignment_model""".split()
 QUERIES = {name: globals()[name] for name in _NAMES}
