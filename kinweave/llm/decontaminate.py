@@ -8,8 +8,7 @@ lists are intersected (rarest first), which leaves candidate places; these are c
 the result is exact. Words inside any occurrence of a window are hit. Where the two rarest terms of a window stand at most
 `within` words apart, in either order, the document has a proximity match with the window's items. Long texts are taken
 whole. Documents are split into words three times: to count the test terms, for the postings, and for the result, where
-those without a match are only counted; they don't meet the matches by a shuffle of texts unless the matches are too many
-to broadcast.
+those without a match are only counted. Texts meet their matches by a shuffle at every size, as matches grow with the corpus.
 
 Nulls: a null text has no words; a null item_id counts as an empty string. Empty texts have no words and no windows.
 Repeated documents each get their own, equal result; repeated items count once by item_id. Without items nothing is
@@ -26,8 +25,6 @@ from .common import ascii_lower, materialize, pack, small, table, unpack
 WIDTH = 10
 #: Words between the two rarest terms of a window at most, for a proximity match.
 WITHIN = 20
-#: Places and matched documents up to which they are broadcast to the documents; a place has a few hundred bytes.
-BROADCAST_PLACES = 50_000
 #: ASCII characters that are no letters (in lower case) or digits.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -120,8 +117,6 @@ def find(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, within: int
     else:
         found = places.join(near_items(index, sought, within), ["k1", "k2"], "full_outer")
     found = materialize(found, "places")
-    told = found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(F.coalesce("_places", F.array().cast(found.schema["_places"].dataType)))).alias("places")).first()
-    found = F.broadcast(found) if max(told["n"], told["places"] or 0) <= BROADCAST_PLACES else found
     joined = keyed(pack(docs, "doc_id", "text")).join(found, ["k1", "k2"], "left")
     # one split a document: the words are kept where they are looked at, else only their number
     split = joined.withColumn("_all", F.explode(F.array(words(F.col("text")))))

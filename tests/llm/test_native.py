@@ -231,9 +231,7 @@ def _near_items(docs, items, within, width=10):
     return sorted(map(str, out))
 
 
-@pytest.mark.parametrize("broadcast", [50_000, 0])
-def test_proximity_of_items(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(decontaminate, "BROADCAST_PLACES", broadcast)
+def test_proximity_of_items(spark):
     rng = random.Random(12)
     pool = [f"w{k}" for k in range(40)]
     items = [(k, " ".join(rng.choices(pool, k=rng.randint(1, 14)))) for k in range(12)] + [(None, "w1 w2"), (50, None), (51, "never seen")]
