@@ -63,7 +63,8 @@ def seeds(seqs: DataFrame, k: int = K, hot: int = HOT, longest: int = LONGEST) -
     at = F.explode(F.sequence(F.lit(1), F.length("seq") - (k - 1)))
     open_, out, size = seqs.filter(F.length("seq") >= k).select("key", "seq", at.alias("pos")), None, k
     while True:
-        here = open_.filter(F.col("pos") + (size - 1) <= F.length("seq")).withColumn("seed", F.substring("seq", F.col("pos"), F.lit(size)))
+        seed = F.substring("seq", F.col("pos"), F.lit(size)).alias("seed")
+        here = stored(open_.filter(F.col("pos") + (size - 1) <= F.length("seq")).select("key", "seq", "pos", seed))
         common = stored(here.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot).select("seed"))
         done = here.join(common, "seed", "left_anti").select("key", "pos", "seed")
         out = done if out is None else out.unionByName(done)
@@ -81,7 +82,9 @@ def neighbour_pairs(
     seed and word of its neighbourhood.
     """
     index = stored(seeds(seqs, k, hot, longest))
-    near = neighbours(index.filter(F.length("seed") == k).select(F.col("seed").alias("kmer")).distinct(), matrix, loss)
+    words = stored(index.filter(F.length("seed") == k).select(F.col("seed").alias("kmer")).distinct())
+    # only neighbours that some sequence has
+    near = neighbours(words, matrix, loss).join(words.withColumnRenamed("kmer", "near"), "near", "left_semi")
     asked = index.join(near, F.col("seed") == F.col("kmer"), "left").select("key", "pos", F.coalesce("near", "seed").alias("seed"), (F.coalesce("near", "seed") == F.col("seed")).alias("equal"))
     there = index.select(F.col("key").alias("other"), F.col("pos").alias("at"), "seed")
     # equal seeds meet both ways, so one way is enough; of unequal ones only one need be near the other
