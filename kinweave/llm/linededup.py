@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import materialize, pack, table, unpack
+from .common import materialize, pack, row_numbers, table, unpack
 
 MIN_UNITS = 10
 #: Survivors of the first half are broadcast up to this many rows (about 50 bytes each), else joined by a shuffle.
@@ -108,7 +108,7 @@ def _open_lines(distinct: DataFrame) -> DataFrame:
 
 
 def _variants(open_lines: DataFrame) -> DataFrame:
-    """v1, v2 (key of a variant), role, o (order and key of the line)."""
+    """v1, v2 (key of a variant), role, o (number of the line)."""
     n, words = F.size("words"), F.col("words")
     kind = F.col("kind")
 
@@ -166,18 +166,21 @@ def within_one(a: Column, b: Column) -> Column:
 
 
 def _later_neighbours(docs: DataFrame, distinct: DataFrame, same_digits: bool) -> DataFrame:
-    """Keys (k1, k2) of lines that are within the bound of an earlier line."""
-    found = materialize(_open_lines(distinct), "open-lines")
-    by_doc = found.groupBy("first.doc_id", "first.tie").agg(F.collect_list(F.struct("first.line_no", "k1", "k2", "first", "kinds")).alias("here"))
-    if found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+    """Keys (k1, k2) of lines that are within the bound of an earlier line.
+
+    Open lines are numbered in their order first, so that variants carry and compare a number each.
+    """
+    open_lines = _open_lines(distinct).select("k1", "k2", "first.*", "kinds")
+    found, n = row_numbers(open_lines, ["doc_id", "tie", "line_no", "k1", "k2"], "o", "open-lines")
+    by_doc = found.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("line_no", "o", "kinds")).alias("here"))
+    if n <= BROADCAST_ROWS:
         by_doc = F.broadcast(by_doc)
     by_doc = by_doc.select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "here")
     texts = docs.select("doc_id", F.xxhash64("text").alias("tie"), "text")
     joined = texts.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie")))
     split = joined.withColumn("lines", F.split("text", "\n")).select("lines", F.explode("here").alias("x"))
-    order = F.struct("x.first.doc_id", "x.first.tie", "x.first.line_no", "x.k1", "x.k2")
     # explode() makes the key a column that is worked out once
-    keyed = split.select(order.alias("o"), "x.kinds", F.explode(F.array(line_key(F.get("lines", F.col("x.line_no"))))).alias("key"))
+    keyed = split.select("x.o", "x.kinds", F.explode(F.array(line_key(F.get("lines", F.col("x.line_no"))))).alias("key"))
     own = keyed.select("o", "kinds", line_kind(F.col("key"), line_words(F.col("key")), same_digits).alias("kind"), line_units(F.col("key")).alias("words")).dropDuplicates(["o"])
     own = materialize(own, "open-words")
     variants = _variants(own)
@@ -192,7 +195,8 @@ def _later_neighbours(docs: DataFrame, distinct: DataFrame, same_digits: bool) -
     pairs = variants.join(earliest, ["v1", "v2"]).select("o", other.alias("e")).filter("e < o").distinct()
     words = own.select("o", F.col("words").alias("a"))
     both = pairs.join(words, "o").join(words.select(F.col("o").alias("e"), F.col("a").alias("b")), "e")
-    return both.filter(within_one(F.col("a"), F.col("b"))).select("o.k1", "o.k2").distinct()
+    near = both.filter(within_one(F.col("a"), F.col("b"))).select("o").distinct()
+    return near.join(found.select("o", "k1", "k2"), "o").select("k1", "k2")
 
 
 def removals(docs: DataFrame, same_digits: bool = False) -> DataFrame:

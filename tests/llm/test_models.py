@@ -137,7 +137,7 @@ def test_pairs_do_not_meet():
         assert np.array_equal(ours, np.setdiff1d(x, y)) and np.array_equal(theirs, np.setdiff1d(y, x))
 
 
-@pytest.mark.parametrize("apart,seeds", [(1, 60), (2, 60), (19, 60), (30, 60), (150, 40), (1000, 20), (6000, 20), (16000, 10), (120_000, 3), (500_000, 2)])
+@pytest.mark.parametrize("apart,seeds", [(1, 40), (2, 40), (19, 40), (30, 40), (150, 30), (1000, 20), (6000, 10), (16000, 6), (120_000, 2), (500_000, 1)])
 def test_likeness_is_that_of_the_sets(apart, seeds):
     for seed in range(seeds):
         rng = np.random.default_rng(seed)
