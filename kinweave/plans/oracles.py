@@ -284,7 +284,8 @@ FROM shares, (VALUES (TRUE), (FALSE)) p(peptide), (VALUES (0.1::DOUBLE), (0.9::D
     "linear_time_clusters": f"""WITH {_LINEAR}
 SELECT CASE WHEN goes IS NOT NULL AND goes NOT IN (SELECT key FROM best) THEN goes ELSE key END AS clusterId, key AS clonotypeKey FROM wds LEFT JOIN best USING (key)""",
     "neighbour_pairs": f"""WITH {_NEIGHBOURS}
-SELECT a, b FROM tallied JOIN wds x ON x.key = a JOIN wds y ON y.key = b WHERE n >= least({seeding.HITS}, length(x.seq) - {seeding.K - 1}, length(y.seq) - {seeding.K - 1})""",
+SELECT a, count(*)::BIGINT AS n_pairs, min(b) AS first_b, max(b) AS last_b FROM tallied JOIN wds x ON x.key = a JOIN wds y ON y.key = b
+WHERE n >= least({seeding.HITS}, length(x.seq) - {seeding.K - 1}, length(y.seq) - {seeding.K - 1}) GROUP BY a""",
     "diagonal_candidates": f"""WITH {_DIAGONALS}
 SELECT query, count(*)::BIGINT AS n_targets, sum(score)::DOUBLE AS total_score, arg_min(target, (-score, target)) AS best_target, max(score) AS best_score
 FROM (FROM ways QUALIFY row_number() OVER (PARTITION BY query ORDER BY score DESC, target) <= {seeding.TOP}) GROUP BY query""",

@@ -259,8 +259,10 @@ def linear_seeds(spark, sf):
 
 
 def neighbour_pairs(spark, sf):
-    """Pairs of words with two seeds of a neighbourhood on one diagonal; one letter of a seed may be replaced by a like one."""
-    return seeding.neighbour_pairs(stored(_full_words(spark, sf)), scoring.grouped_matrix(*WHOLE_SCORES), ONE_ALIKE)
+    """Pairs of words with two seeds of a neighbourhood on one diagonal, where one letter of a seed may be replaced by a like
+    one: for each word how many greater words it is paired with, and the first and the last of them."""
+    pairs = seeding.neighbour_pairs(stored(_full_words(spark, sf)), scoring.grouped_matrix(*WHOLE_SCORES), ONE_ALIKE)
+    return pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n_pairs"), F.min("b").alias("first_b"), F.max("b").alias("last_b"))
 
 
 def diagonal_candidates(spark, sf):
