@@ -243,6 +243,31 @@ def test_token_ids(monkeypatch):
         assert all(packing.token_ids(t, path).tolist() == [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for t in texts)
 
 
+def test_token_ids_without_looking_ahead(monkeypatch):
+    """White space of every kind and length; only texts with an added token go to the slower encoder."""
+    path, asked, made = public_tokenizers.path("byte_bpe_50k.json"), [], packing.encoder
+    tokenizer = Tokenizer.from_file(path)
+    monkeypatch.setattr(packing, "encoder", lambda path, ahead=True: asked.append(ahead) or made(path, ahead))
+    rng = random.Random(9)
+    parts = [*"ab  \n\t\r\x0b\x1c\x85\xa0\u2003\u200b\u3000's\u0301\u00bd7.", "\r\n", "\n\n", "'ll", "'LL"]
+    for text in [*("".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(2000)), "a  b \n\n c  "]:
+        assert packing.token_ids(text, path).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    assert True not in asked
+    text = "a  <|endoftext|>  b \n<|endoftext|>\n\nc"
+    assert packing.token_ids(text, path).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    assert True in asked
+
+
+def test_document_frequency():
+    rng = np.random.default_rng(6)
+    doc, bucket = np.sort(rng.integers(0, 50, 4000)), rng.integers(0, 300, 4000)
+    want = np.bincount([b for _, b in set(zip(doc.tolist(), bucket.tolist(), strict=True))], minlength=packing.TERMS)
+    assert (packing._document_frequency(doc, bucket, 50) == want).all()
+    one = packing._document_frequency(np.zeros_like(bucket), bucket, 1)
+    assert (one[:300] == np.isin(np.arange(300), bucket)).all() and one.sum() == len(set(bucket.tolist()))
+    assert not packing._document_frequency(doc[:0], bucket[:0], 0).any()
+
+
 def test_retrieval_is_bm25():
     """Scores of a shard against the formula, term by term."""
     rng = np.random.default_rng(4)
