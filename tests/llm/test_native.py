@@ -101,6 +101,20 @@ def _units(line, same_digits=False):
     return ("w", words) if len(words) >= 10 else chars and (re.sub("[^0-9]", "", line) if same_digits else "c", chars)
 
 
+def test_line_keys(spark):
+    """Keys and numbers of words against Python, on white space of every kind; the key of a line is worked out once."""
+    rng = random.Random(12)
+    texts = ["".join(rng.choices([*"aB\u00c4\u03a3\u0130 \t\r\x0b\x0c\x85\xa0", "  ", " c"], k=rng.randint(0, 12))) for _ in range(400)] + ["one two", " x ", "", "   "]
+    df = _docs(spark, list(enumerate(texts)))
+    key = linededup.line_key(F.col("text"))
+    got = df.select("text", key.alias("key"), F.lower("text").alias("low"), linededup.n_words(key).alias("n")).collect()
+    for r in got:
+        assert r.key == re.sub("[ \t\r\x0b\x0c]+", lambda m: " " if m[0] != " " else m[0], r.low.strip(" \t\r\x0b\x0c"))
+        assert r.n == len(r.key.split(" "))
+    plan = linededup.lines(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
 @pytest.mark.parametrize("same_digits", [False, True])
 def test_line_dedup_short_and_unspaced(spark, same_digits):
     rng = random.Random(5)
