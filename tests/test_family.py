@@ -6,6 +6,7 @@ import math
 import random
 from itertools import product
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,6 +228,30 @@ def test_similar_pairs_lose_nothing(spark, identity):
     assert {(r.a, r.b) for r in candidates.similar_pairs(df, identity).collect()} == want
 
 
+def shuffled_rows(spark, df) -> int:
+    """Rows that the stages of df write to the shuffle."""
+    context = spark.sparkContext
+    tracker = lambda: {s.stageId(): s.shuffleWriteRecords() for s in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(context._jsc.sc().statusStore().stageList(None, False, False, context._gateway.new_array(spark._jvm.double, 0), None))}
+    before = set(tracker())
+    df.collect()
+    context._jsc.sc().listenerBus().waitUntilEmpty()
+    return sum(n for k, n in tracker().items() if k not in before)
+
+
+def test_common_halves_make_no_candidates(spark):
+    """Of words with a common half few are within an edit: what is shuffled grows with the words, not with their square."""
+    rng = random.Random(5)
+    seqs = sorted({"ofthedelos" + "".join(rng.choice("abcdefgh") for _ in range(rng.randint(5, 6))) for _ in range(2500)})
+    seqs += [s[:7] + s[8:] for s in seqs[::100]] + [s[:6] + "z" + s[7:] for s in seqs[::90]] + ["abc", "abc", "a" * 25, "a" * 23 + "b", "aaa" + "b" * 22, ""]
+    df = spark.createDataFrame([(f"k{i:04d}", s) for i, s in enumerate(seqs)], "key string, seq string")
+    con = duckdb.connect()
+    con.sql("CREATE TABLE t (key VARCHAR, seq VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", [(f"k{i:04d}", s) for i, s in enumerate(seqs)])
+    want = con.sql("SELECT x.key, y.key, levenshtein(x.seq, y.seq) AS d FROM t x JOIN t y ON x.key < y.key AND x.seq <> '' AND y.seq <> '' WHERE d / greatest(length(x.seq), length(y.seq)) <= 1 - 0.9::DOUBLE")
+    assert {tuple(r) for r in candidates.similar_pairs(df, 0.9).collect()} == set(want.fetchall())
+    assert (n := shuffled_rows(spark, candidates.similar_pairs(df, 0.9))) < 60 * len(seqs), n
+
+
 def test_float_radius(spark):
     """Two edits over ten letters are beyond 1.0 - 0.8, as doubles go."""
     df = spark.createDataFrame([("a", "AAAAAAAAAA"), ("b", "AAAAAAAABB"), ("c", "AAAAAAAAAB")], "key string, seq string")
