@@ -14,6 +14,8 @@ from kinweave.functions import exprs
 from kinweave.operators import candidates, cluster, dedup, layout, profile, reassign, rollup
 from kinweave.operators.scoring import AMINO_ACIDS
 
+from conftest import shuffled_rows
+
 #: rows, weights, threshold, gap threshold, keep gaps, consensus. Fixed cases.
 MSA = [
     (["-K", "-K", "AK"], [1, 1, 1], 0.6, 0.5, True, "-K"),
@@ -228,16 +230,6 @@ def test_similar_pairs_lose_nothing(spark, identity):
     assert {(r.a, r.b) for r in candidates.similar_pairs(df, identity).collect()} == want
 
 
-def shuffled_rows(spark, df) -> int:
-    """Rows that the stages of df write to the shuffle."""
-    context = spark.sparkContext
-    tracker = lambda: {s.stageId(): s.shuffleWriteRecords() for s in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(context._jsc.sc().statusStore().stageList(None, False, False, context._gateway.new_array(spark._jvm.double, 0), None))}
-    before = set(tracker())
-    df.collect()
-    context._jsc.sc().listenerBus().waitUntilEmpty()
-    return sum(n for k, n in tracker().items() if k not in before)
-
-
 def test_common_halves_make_no_candidates(spark):
     """Of words with a common half few are within an edit: what is shuffled grows with the words, not with their square."""
     rng = random.Random(5)

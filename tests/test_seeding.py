@@ -14,6 +14,8 @@ from kinweave.operators import candidates, cluster, scoring, seeding
 from kinweave.params import ClusterParams
 from kinweave.plans import analysis
 
+from conftest import shuffled_rows
+
 AA = scoring.AMINO_ACIDS
 MATRIX = scoring.grouped_matrix(5.0, 1.0, -2.0)
 
@@ -71,6 +73,27 @@ def test_neighbour_pairs(spark, hot):
     assert lists.filter(F.length("seed") < 8).agg(F.max("count")).first()[0] <= hot
 
 
+def test_single_hits_are_not_shuffled(spark):
+    """Words with many seeds in common and few on one diagonal: rows of the shuffle are far fewer than hits."""
+    rng = random.Random(9)
+    seqs = {f"k{i:04d}": "".join(rng.choices("ACDE", k=7)) for i in range(3000)}
+    lists = Counter(s[p : p + 3] for s in seqs.values() for p in range(5))
+    hits = sum(n * (n - 1) // 2 for n in lists.values())
+    rows = shuffled_rows(spark, seeding.neighbour_pairs(_df(spark, seqs), MATRIX, 0.0, hot=2000))
+    assert rows < hits / 2, (rows, hits)
+
+
+@pytest.mark.parametrize("least", [0.0, 0.5, 0.8])
+def test_scored_neighbours(spark, least):
+    """Scoring where pairs meet, with bounds, leaves what scoring all of them leaves."""
+    rng = random.Random(12)
+    seqs = _families(rng, 12, 6) | {"e1": "", "e2": "ACD", "e3": "ACD", "e4": "ACéACéACD"}
+    df = _df(spark, seqs)
+    every = scoring.scored_pairs(seeding.with_sequences(seeding.neighbour_pairs(df, MATRIX, 4.5), df), MATRIX).filter(F.col("similarity") >= least)
+    got = [tuple(r) for r in seeding.scored_neighbours(df, MATRIX, 4.5, least).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(r.a, r.b) for r in every.collect()} and len(got) > 20
+
+
 def _families(rng, n, size):
     """Families of peptides: replacements within a group of residues and others, a few insertions and deletions."""
     like = {c: [d for d in g if d != c] or [c] for g in scoring.GROUPS for c in g}
